@@ -1,17 +1,18 @@
-"""Least squares on centered cross-products, as column expressions over one row per group.
+"""Least squares on centered cross-products, as SQL expressions over one row per group.
 
 Regressors enter one after another; each is replaced by what the earlier ones do not explain
 (Gram-Schmidt, i.e. an LDL' factorisation of the cross-product matrix). The coefficient of the
 last regressor is then its own simple regression slope. A regressor with nothing left is
-dropped: its factor is not identified.
+dropped: its coefficient is not identified.
+
+Expressions refer to earlier ones of the same select by alias, so a whole fit is one select.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 # Share of a regressor's centered sum of squares that must be left for it to be identified.
 IDENTIFIED_SHARE = 1e-9
@@ -27,8 +28,10 @@ def pair(a: str, b: str) -> str:
     return f"{first}__{second}"
 
 
-def pairs(names: Sequence[str]) -> list[tuple[str, str]]:
-    return [(a, b) for i, a in enumerate(names) for b in names[i:]]
+def pairs(*groups: Sequence[str]) -> list[tuple[str, str]]:
+    """Unordered pairs, with repetition, of variables that share a group."""
+    found = {tuple(sorted((a, b))) for names in groups for a in names for b in names}
+    return sorted(found)
 
 
 def factorise(moments: DataFrame, order: Sequence[str], y: str, tag: str) -> DataFrame:
@@ -39,61 +42,57 @@ def factorise(moments: DataFrame, order: Sequence[str], y: str, tag: str) -> Dat
     (sum of squares left), ``ok_x`` (identified), ``b_x`` (slope of y on the orthogonal x), and
     ``ssr`` and ``rank`` of the whole fit.
     """
-    def named(kind: str, *parts: str) -> Column:
-        return F.col("_".join((tag, kind, *parts)))
-
-    df = moments
+    added = []
     for i, x in enumerate(order):
         before = order[:i]
         for j, k in enumerate(before):
-            overlap = F.col(pair(x, k))
-            for m in before[:j]:
-                overlap = overlap - named("l", x, m) * named("l", k, m) * named("d", m)
-            weight = F.when(named("ok", k), overlap / named("d", k)).otherwise(0.0)
-            df = df.withColumn(f"{tag}_l_{x}_{k}", weight)
-        left, slope = F.col(pair(x, x)), F.col(pair(x, y))
-        for k in before:
-            left = left - named("l", x, k) * named("l", x, k) * named("d", k)
-            slope = slope - named("l", x, k) * named("b", k) * named("d", k)
-        own = F.col(pair(x, x))
-        varies = own > CONSTANT_SHARE * F.col("n") * F.col(f"mean_{x}") * F.col(f"mean_{x}")
-        df = df.withColumn(f"{tag}_d_{x}", left).withColumn(
-            f"{tag}_ok_{x}", varies & (named("d", x) > IDENTIFIED_SHARE * own)
+            shared = "".join(
+                f" - {tag}_l_{x}_{m} * {tag}_l_{k}_{m} * {tag}_d_{m}" for m in before[:j]
+            )
+            added.append(
+                f"if({tag}_ok_{k}, ({pair(x, k)}{shared}) / {tag}_d_{k}, 0D) AS {tag}_l_{x}_{k}"
+            )
+        own = pair(x, x)
+        left = own + "".join(f" - {tag}_l_{x}_{k} * {tag}_l_{x}_{k} * {tag}_d_{k}" for k in before)
+        slope = pair(x, y) + "".join(
+            f" - {tag}_l_{x}_{k} * {tag}_b_{k} * {tag}_d_{k}" for k in before
         )
-        df = df.withColumn(f"{tag}_b_{x}", F.when(named("ok", x), slope / named("d", x)).otherwise(0.0))
-    explained = F.lit(0.0)
-    rank = F.lit(0)
-    for x in order:
-        explained = explained + named("b", x) * named("b", x) * named("d", x)
-        rank = rank + named("ok", x).cast("int")
-    unexplained = F.greatest(F.col(pair(y, y)) - explained, F.lit(0.0))
-    return df.withColumns({f"{tag}_ssr": unexplained, f"{tag}_rank": rank})
-
-
-def coefficient(tag: str, x: str) -> Column:
+        added += [
+            f"{left} AS {tag}_d_{x}",
+            f"{own} > {CONSTANT_SHARE}D * n * mean_{x} * mean_{x} "
+            f"AND {tag}_d_{x} > {IDENTIFIED_SHARE}D * {own} AS {tag}_ok_{x}",
+            f"if({tag}_ok_{x}, ({slope}) / {tag}_d_{x}, 0D) AS {tag}_b_{x}",
+        ]
+    explained = "".join(f" - {tag}_b_{x} * {tag}_b_{x} * {tag}_d_{x}" for x in order)
+    rank = " + ".join(f"int({tag}_ok_{x})" for x in order)
+    added += [
+        f"greatest({pair(y, y)}{explained}, 0D) AS {tag}_ssr",
+        f"{rank} AS {tag}_rank",
+    ]
+    return moments.selectExpr("*", *added)
+
+
+def coefficient(tag: str, x: str) -> str:
     """Coefficient of ``x``, the last regressor of the factorisation; NULL if not identified."""
-    return F.when(F.col(f"{tag}_ok_{x}"), F.col(f"{tag}_b_{x}"))
+    return f"if({tag}_ok_{x}, {tag}_b_{x}, NULL)"
 
 
-def row_terms(order: Sequence[str], y: str, tag: str) -> tuple[list[Callable], Column, Column]:
-    """Per-row pieces of the fit, for rows joined with their group's factors.
+def factor_columns(order: Sequence[str], tag: str) -> list[str]:
+    """The factors that row_terms needs beside every row."""
+    weights = [f"{tag}_l_{x}_{k}" for i, x in enumerate(order) for k in order[:i]]
+    return weights + [f"{tag}_{kind}_{x}" for x in order for kind in ("d", "ok", "b")]
 
-    Returns steps that add the orthogonal regressors ``v_x`` one by one, the leverage and the
-    residual.
-    """
-    def named(kind: str, *parts: str) -> Column:
-        return F.col("_".join((tag, kind, *parts)))
-
-    def adding(i: int, x: str) -> Callable[[DataFrame], DataFrame]:
-        rest = F.col(x) - F.col(f"mean_{x}")
-        for k in order[:i]:
-            rest = rest - named("l", x, k) * F.col(f"v_{k}")
-        return lambda rows: rows.withColumn(f"v_{x}", rest)
-
-    leverage = 1.0 / F.col("n")
-    residual = F.col(y) - F.col(f"mean_{y}")
-    for x in order:
-        v = F.col(f"v_{x}")
-        leverage = leverage + F.when(named("ok", x), v * v / named("d", x)).otherwise(0.0)
-        residual = residual - named("b", x) * v
-    return [adding(i, x) for i, x in enumerate(order)], leverage, residual
+
+def row_terms(rows: DataFrame, order: Sequence[str], y: str, tag: str, keep: str) -> DataFrame:
+    """Per row: ``v`` (orthogonal part of the last regressor), ``free`` (1 - leverage) and ``e``
+    (residual), for rows joined with their group's factors."""
+    added = []
+    for i, x in enumerate(order):
+        rest = "".join(f" - {tag}_l_{x}_{k} * v_{k}" for k in order[:i])
+        added.append(f"{x} - mean_{x}{rest} AS v_{x}")
+    leverage = "".join(
+        f" - if({tag}_ok_{x}, v_{x} * v_{x} / {tag}_d_{x}, 0D)" for x in order
+    )
+    residual = "".join(f" - {tag}_b_{x} * v_{x}" for x in order)
+    added += [f"1D - 1D / n{leverage} AS free", f"{y} - mean_{y}{residual} AS e"]
+    return rows.selectExpr(keep, *added).select(keep, f"v_{order[-1]}", "free", "e")

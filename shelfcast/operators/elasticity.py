@@ -14,15 +14,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.constants import MIN_OBS_PER_SKU, SERIES, SIGNIFICANCE
+from shelfcast.functions.labels import elasticity_bucket
 from shelfcast.functions.regression import (
     LEVERAGE_MARGIN,
     coefficient,
+    factor_columns,
     factorise,
     pair,
     pairs,
     row_terms,
 )
-from shelfcast.functions.labels import elasticity_bucket
 from shelfcast.functions.tails import normal_pvalue, student_t_pvalue
 from shelfcast.operators.features import Stage
 from shelfcast.schemas import DID, ELASTICITY, OLS
@@ -35,6 +36,9 @@ DID_ORDER = ("any_promo", "post", "t", "week_of_year", "treated_post")
 VARIABLES = (
     "any_promo", "log_demand_baseline", "week_of_year", "t", "post", "treated_post", Y,
 )
+OLS_PAIRS = pairs((*OLS_FOR_PROMO, Y))
+DID_PAIRS = pairs((*DID_ORDER, Y))
+ALL_PAIRS = pairs((*OLS_FOR_PROMO, Y), (*DID_ORDER, Y))
 
 
 def log_columns(features: DataFrame) -> DataFrame:
@@ -66,58 +70,51 @@ def build_log_log_features(features: DataFrame, stage: Stage | None = None) -> D
 
 
 def series_moments(design: DataFrame) -> DataFrame:
-    """Count, means and population covariances of each (item, store) series.
+    """Count, means and centered products of each (item, store) series.
 
-    ``covar_pop`` merges partial results stably, so means far from zero do not cancel.
+    Plain sums, several times cheaper than ``covar_pop``. Flags, weeks and ranks sum exactly, and
+    logs of units have means of the size of their spread, so subtracting the means loses no more
+    than a few of the last digits.
     """
-    complete = F.col("any_promo").isNotNull()
-    cells = design.withColumn("treated_post", F.col("any_promo") * F.col("post")).select(
+    flagged = design.selectExpr("*", "any_promo * post AS treated_post")
+    cells = flagged.selectExpr(
         "item_nbr",
         "store_nbr",
-        *[F.when(complete, F.col(v)).cast("double").alias(v) for v in VARIABLES],
+        *[f"if(any_promo IS NOT NULL, double({v}), NULL) AS {v}" for v in VARIABLES],
     )
     return cells.groupBy("item_nbr", "store_nbr").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count("any_promo").alias("n"),
-        *[F.avg(v).alias(f"mean_{v}") for v in VARIABLES],
-        *[F.covar_pop(a, b).alias(pair(a, b)) for a, b in pairs(VARIABLES)],
+        F.expr("count(1) AS n_rows"),
+        F.expr("count(any_promo) AS n"),
+        *[F.expr(f"avg({v}) AS mean_{v}") for v in VARIABLES],
+        *[
+            F.expr(f"sum({a} * {b}) - sum({a}) * sum({b}) / nullif(count(any_promo), 0)")
+            .alias(pair(a, b))
+            for a, b in ALL_PAIRS
+        ],
     )
 
 
 def item_moments(per_series: DataFrame) -> DataFrame:
     """One row per item: centered products within stores (``w_``) and about the item mean."""
-    def total(value: F.Column) -> F.Column:
-        return F.coalesce(F.sum(value), F.lit(0.0))
-
-    n = F.col("n")
     summed = per_series.groupBy("item_nbr").agg(
-        F.sum("n_rows").alias("n_rows"),
-        F.sum("n").alias("n"),
-        F.count_if(n > 0).alias("n_stores"),
-        *[(F.sum(n * F.col(f"mean_{v}")) / F.sum("n")).alias(f"mean_{v}") for v in VARIABLES],
-        *[total(n * F.col(pair(a, b))).alias(f"w_{pair(a, b)}") for a, b in pairs(VARIABLES)],
-        *[
-            total(n * F.col(f"mean_{a}") * F.col(f"mean_{b}")).alias(f"m_{pair(a, b)}")
-            for a, b in pairs(VARIABLES)
-        ],
+        F.expr("sum(n_rows) AS n_rows"),
+        F.expr("sum(n) AS n"),
+        F.expr("count_if(n > 0) AS n_stores"),
+        *[F.expr(f"sum(n * mean_{v}) / nullif(sum(n), 0) AS mean_{v}") for v in VARIABLES],
+        *[F.expr(f"sum({pair(a, b)}) AS w_{pair(a, b)}") for a, b in ALL_PAIRS],
+        *[F.expr(f"sum(n * mean_{a} * mean_{b}) AS m_{pair(a, b)}") for a, b in DID_PAIRS],
     )
-    between = {
-        pair(a, b): F.col(f"w_{pair(a, b)}")
-        + (F.col(f"m_{pair(a, b)}") - n * F.col(f"mean_{a}") * F.col(f"mean_{b}"))
-        for a, b in pairs(VARIABLES)
-    }
-    return summed.select(
+    return summed.selectExpr(
         "item_nbr", "n_rows", "n", "n_stores",
         *[f"mean_{v}" for v in VARIABLES],
-        *[f"w_{name}" for name in between],
-        *[value.alias(name) for name, value in between.items()],
+        *[f"w_{pair(a, b)}" for a, b in OLS_PAIRS],
+        *[
+            f"w_{pair(a, b)} + (m_{pair(a, b)} - n * mean_{a} * mean_{b}) AS {pair(a, b)}"
+            for a, b in DID_PAIRS
+        ],
     )
 
 
-def _enough(moments: DataFrame, min_obs: int) -> DataFrame:
-    return moments.where(F.col("n_rows") >= min_obs)
-
-
 def fit_ols(moments: DataFrame, min_obs: int = MIN_OBS_PER_SKU) -> DataFrame:
     """Promotion and baseline coefficients with store fixed effects absorbed.
 
@@ -125,41 +122,43 @@ def fit_ols(moments: DataFrame, min_obs: int = MIN_OBS_PER_SKU) -> DataFrame:
     count in the degrees of freedom, and R2 refers to the variation about the item's grand mean.
     Rows without a promotion flag are left out, but count towards ``min_obs``.
     """
-    used = sorted({v for v in (*OLS_FOR_PROMO, Y)})
-    within = _enough(moments, min_obs).where(F.col("n") > 0).select(
+    within = moments.where(F.col("n_rows") >= min_obs).where("n > 0").selectExpr(
         "item_nbr", "n", "n_stores",
-        *[f"mean_{v}" for v in used],
-        F.col(pair(Y, Y)).alias("total_ss"),
-        *[F.col(f"w_{pair(a, b)}").alias(pair(a, b)) for a, b in pairs(used)],
+        *[f"mean_{v}" for v in (*OLS_FOR_PROMO, Y)],
+        f"{pair(Y, Y)} AS total_ss",
+        *[f"w_{pair(a, b)} AS {pair(a, b)}" for a, b in OLS_PAIRS],
     )
     fitted = factorise(factorise(within, OLS_FOR_PROMO, Y, "p"), OLS_FOR_BASELINE, Y, "q")
-    n, ssr = F.col("n"), F.col("p_ssr")
-    parameters = F.col("p_rank") + F.col("n_stores")
-    df_resid = n - parameters
-    promo = coefficient("p", "any_promo")
-    promo_se = F.sqrt(ssr / df_resid / F.col("p_d_any_promo"))
-    t_value = F.when((df_resid > 0) & (promo_se > 0), promo / promo_se)
-    deviance = n * (math.log(2.0 * math.pi) + F.log(F.when(ssr > 0, ssr / n)) + 1.0)
-    return fitted.select(
-        F.col("item_nbr").cast("string").alias("sku"),
-        promo.alias("elasticity_promo"),
-        coefficient("q", "log_demand_baseline").alias("elasticity_baseline"),
-        F.when(F.col("total_ss") > 0, 1.0 - ssr / F.col("total_ss")).alias("r_squared"),
-        n.alias("n_obs"),
-        student_t_pvalue(t_value, df_resid.cast("double")).alias("p_value_promo"),
-        (deviance + 2.0 * parameters).alias("aic"),
-    ).select(*OLS.fieldNames())
+    results = fitted.selectExpr(
+        "string(item_nbr) AS sku",
+        f"{coefficient('p', 'any_promo')} AS elasticity_promo",
+        f"{coefficient('q', 'log_demand_baseline')} AS elasticity_baseline",
+        "1 - p_ssr / if(total_ss > 0, total_ss, NULL) AS r_squared",
+        "n AS n_obs",
+        "double(n - p_rank - n_stores) AS df_resid",
+        "sqrt(p_ssr / if(df_resid > 0, df_resid, NULL) / if(p_ok_any_promo, p_d_any_promo, NULL))"
+        " AS promo_se",
+        f"n * ({math.log(2 * math.pi)}D + ln(if(p_ssr > 0, p_ssr, NULL) / n) + 1)"
+        " + 2 * (p_rank + n_stores) AS aic",
+        "elasticity_promo / if(promo_se > 0, promo_se, NULL) AS t_value",
+    )
+    p_value = student_t_pvalue("t_value", "df_resid")
+    return results.withColumn("p_value_promo", p_value).select(*OLS.fieldNames())
 
 
 def did_factors(moments: DataFrame, min_obs: int = MIN_OBS_PER_SKU) -> DataFrame:
     """Difference-in-differences fit of every item without a missing promotion flag."""
-    usable = _enough(moments, min_obs).where(F.col("n") == F.col("n_rows"))
-    names = (*DID_ORDER, Y)
-    kept = usable.select(
-        "item_nbr", "n", *[f"mean_{v}" for v in names],
-        *[pair(a, b) for a, b in pairs(sorted(names))],
+    kept = moments.where(F.col("n_rows") >= min_obs).where("n = n_rows").select(
+        "item_nbr", "n",
+        *[f"mean_{v}" for v in (*DID_ORDER, Y)],
+        *[pair(a, b) for a, b in DID_PAIRS],
+    )
+    return factorise(kept, DID_ORDER, Y, "f").select(
+        "item_nbr", "n",
+        *[f"mean_{v}" for v in (*DID_ORDER, Y)],
+        *factor_columns(DID_ORDER, "f"),
+        "f_ssr", F.col(pair(Y, Y)).alias("total_ss"),
     )
-    return factorise(kept, DID_ORDER, Y, "f")
 
 
 def fit_did(design: DataFrame, factors: DataFrame) -> DataFrame:
@@ -168,41 +167,24 @@ def fit_did(design: DataFrame, factors: DataFrame) -> DataFrame:
     ``factors`` is one row per item; pass it written down, so the join is planned on its size.
     """
     target = DID_ORDER[-1]
-    slim = factors.select(
-        "item_nbr", "n", *[f"mean_{v}" for v in (*DID_ORDER, Y)],
-        *[c for c in factors.columns if c.startswith(("f_l_", "f_d_", "f_ok_", "f_b_"))],
-    )
-    rows = design.select(
+    rows = design.selectExpr(
         "item_nbr", "any_promo", "post", "t", "week_of_year", Y,
-        (F.col("any_promo") * F.col("post")).alias("treated_post"),
-    ).join(slim, "item_nbr")
-    steps, leverage, residual = row_terms(DID_ORDER, Y, "f")
-    for step in steps:
-        rows = step(rows)
-    rows = rows.select(
-        "item_nbr", F.col(f"v_{target}").alias("v"),
-        (1.0 - leverage).alias("free"), residual.alias("e"),
-    )
-    clear = F.col("free") >= LEVERAGE_MARGIN
-    scaled = F.col("v") * F.col("e") / F.col("free")
-    meat = rows.groupBy("item_nbr").agg(
-        F.sum(F.when(clear, scaled * scaled)).alias("meat"),
-        F.bool_and(clear).alias("robust"),
-    )
-    fitted = factors.join(meat, "item_nbr")
-    att = coefficient("f", target)
-    se = F.when(
-        F.col(f"f_ok_{target}") & F.col("robust"), F.sqrt("meat") / F.col(f"f_d_{target}")
+        "any_promo * post AS treated_post",
+    ).join(factors.drop("f_ssr", "total_ss"), "item_nbr")
+    terms = row_terms(rows, DID_ORDER, Y, "f", keep="item_nbr")
+    clear = f"free >= {LEVERAGE_MARGIN}D"
+    meat = terms.groupBy("item_nbr").agg(
+        F.expr(f"sum(if({clear}, power(v_{target} * e / free, 2), NULL)) AS meat"),
+        F.expr(f"bool_and({clear}) AS robust"),
     )
-    total = F.col(pair(Y, Y))
-    with_se = fitted.select(
-        F.col("item_nbr").cast("string").alias("sku"),
-        att.alias("did_att"),
-        se.alias("did_se"),
-        F.when(total > 0, 1.0 - F.col("f_ssr") / total).alias("did_r2"),
+    fitted = factors.join(meat, "item_nbr").selectExpr(
+        "string(item_nbr) AS sku",
+        f"{coefficient('f', target)} AS did_att",
+        f"if(robust AND f_ok_{target}, sqrt(meat) / f_d_{target}, NULL) AS did_se",
+        "1 - f_ssr / if(total_ss > 0, total_ss, NULL) AS did_r2",
+        "did_att / if(did_se > 0, did_se, NULL) AS z",
     )
-    z = F.when(F.col("did_se") > 0, F.col("did_att") / F.col("did_se"))
-    return with_se.withColumn("did_pvalue", normal_pvalue(z)).select(*DID.fieldNames())
+    return fitted.withColumn("did_pvalue", normal_pvalue("z")).select(*DID.fieldNames())
 
 
 def combine(ols: DataFrame, did: DataFrame) -> DataFrame:
