@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.constants import MIN_OBS_PER_SKU, SERIES, SIGNIFICANCE
 from shelfcast.functions.labels import elasticity_bucket
+from shelfcast.functions.quantiles import quantiles
 from shelfcast.functions.regression import (
     LEVERAGE_MARGIN,
     coefficient,
@@ -212,10 +213,11 @@ def staged_design(features: DataFrame, stage: Stage) -> DataFrame:
 
 
 def elasticity_summary(results: DataFrame) -> DataFrame:
-    """Run-level metrics. A missing p-value counts as not significant."""
+    """Run-level metrics; pass a written table. A missing p-value counts as not significant."""
+    (median,) = quantiles(results, "elasticity_promo", [0.5])
     significant = F.coalesce(F.col("did_pvalue") < SIGNIFICANCE, F.lit(False))
     return results.agg(
-        F.round(F.median("elasticity_promo"), 4).alias("median_promo_elasticity"),
+        F.round(F.lit(median).cast("double"), 4).alias("median_promo_elasticity"),
         F.round(F.avg(significant.cast("int")), 4).alias("pct_did_significant_skus"),
         F.round(F.avg("r_squared"), 4).alias("mean_ols_r2"),
         F.count(F.lit(1)).alias("n_skus_modeled"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.constants import ARIMA_WEIGHT, SERIES, TARGET, TREE_WEIGHT
 from shelfcast.functions.labels import absolute_percentage_error
+from shelfcast.functions.quantiles import quantiles
 
 
 def mape(actual: str, predicted: str) -> Column:
@@ -27,12 +28,16 @@ def mape_by_sku(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 
 
 def mape_distribution(per_sku: DataFrame) -> DataFrame:
-    """Spread of the per-item MAPE: count, mean and quartiles, from the output of mape_by_sku."""
-    quartiles = {"p25_mape": 0.25, "median_mape": 0.5, "p75_mape": 0.75}
+    """Spread of the per-item MAPE: count, mean, quartiles and maximum.
+
+    ``per_sku`` is the output of mape_by_sku, written down.
+    """
+    names = ("p25_mape", "median_mape", "p75_mape")
+    quartiles = quantiles(per_sku, "mape", (0.25, 0.5, 0.75))
     return per_sku.agg(
         F.count("mape").alias("n_skus"),
         F.avg("mape").alias("mean_mape"),
-        *[F.percentile("mape", share).alias(name) for name, share in quartiles.items()],
+        *[F.lit(q).cast("double").alias(name) for name, q in zip(names, quartiles)],
         F.max("mape").alias("max_mape"),
     )
 

@@ -14,6 +14,7 @@ from shelfcast.constants import CV_SPLITS, TARGET, TREE_PARAMS
 from shelfcast.operators.design import existing, fold_starts, with_test_fold
 from shelfcast.operators.ensemble import mape
 from shelfcast.schemas import IMPORTANCE
+from shelfcast.sources.staging import staging_root
 
 
 def _with_inputs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -25,6 +26,7 @@ def _with_inputs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def train_trees(matrix: DataFrame, columns: Sequence[str], **overrides) -> PipelineModel:
     """Fit on every row of ``matrix``, which must hold no NULL inputs (see training_matrix)."""
+    staging_root(matrix.sparkSession)  # names the checkpoint folder the boosting rounds use
     settings = {**TREE_PARAMS, **overrides}
     gather = VectorAssembler(inputCols=[f"in_{c}" for c in columns], outputCol="inputs")
     trees = GBTRegressor(

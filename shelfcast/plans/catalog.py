@@ -223,7 +223,7 @@ def elasticity_combined(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def elasticity_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return elasticity.elasticity_summary(_elasticity(spark, folder))
+    return elasticity.elasticity_summary(stage(_elasticity(spark, folder), "elasticity"))
 
 
 def elasticity_buckets(spark: SparkSession, folder: str) -> DataFrame:
@@ -250,7 +250,7 @@ def mape_by_sku(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mape_distribution(spark: SparkSession, folder: str) -> DataFrame:
-    spread = ensemble.mape_distribution(_mape_by_sku(spark, folder))
+    spread = ensemble.mape_distribution(stage(_mape_by_sku(spark, folder), "mape-by-sku"))
     return rounded(spread, [c for c in spread.columns if c.endswith("_mape")])
 
 
