@@ -122,6 +122,9 @@ def fit_ols(moments: DataFrame, min_obs: int = MIN_OBS_PER_SKU) -> DataFrame:
     Store effects drop out by using the within-store products (Frisch-Waugh-Lovell); they still
     count in the degrees of freedom, and R2 refers to the variation about the item's grand mean.
     Rows without a promotion flag are left out, but count towards ``min_obs``.
+
+    Write the result down before filtering on a coefficient: a filter pushed below the fit would
+    spell out its nested expressions.
     """
     within = moments.where(F.col("n_rows") >= min_obs).where("n > 0").selectExpr(
         "item_nbr", "n", "n_stores",
@@ -196,10 +199,12 @@ def combine(ols: DataFrame, did: DataFrame) -> DataFrame:
 def run_elasticity(
     features: DataFrame, stage: Stage, min_obs: int = MIN_OBS_PER_SKU
 ) -> DataFrame:
+    """Both fits of every item with at least ``min_obs`` rows, as a written table."""
     design = staged_design(features, stage)
     moments = stage(item_moments(series_moments(design)), "item-moments")
     factors = stage(did_factors(moments, min_obs), "did-factors")
-    return combine(fit_ols(moments, min_obs), fit_did(design, factors))
+    fitted = combine(fit_ols(moments, min_obs), fit_did(design, factors))
+    return stage(fitted, "elasticity")
 
 
 DESIGN_COLUMNS: Sequence[str] = (
