@@ -84,10 +84,22 @@ def test_fit_is_a_maximum_of_the_dense_likelihood(seed):
 
 
 def test_parameters_are_recovered():
-    true = np.array([0.5, -0.3, 0.4, 0.2])
+    # Autoregressive and moving-average roots lie apart, so the four numbers are well determined.
+    true = np.array([1.1, -0.5, 0.6, 0.3])
     np.testing.assert_allclose(fitted(simulate(4000, true, 5)), true, atol=0.1)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_fit_is_not_worse_than_the_true_parameters(seed):
+    true = np.array([0.5, -0.3, 0.4, 0.2])
+    w = simulate(1000, true, seed)
+
+    def cost(c):
+        return (arma._filter(w[None, :], np.array([len(w)]), c[None, :])[0] ** 2).sum()
+
+    assert cost(fitted(w)) <= cost(true) * (1 + 1e-9)
+
+
 def test_forecast_follows_the_recursion():
     w = simulate(200, (0.6, -0.2, 0.3, 0.1), 3)
     y = 500 + np.cumsum(w)
