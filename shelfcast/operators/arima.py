@@ -30,16 +30,31 @@ def histories(panel: DataFrame, value: str = TARGET) -> DataFrame:
     return panel.groupBy(*SERIES).agg(points["value"].alias("history"))
 
 
-def forecast_all_skus_arima(
+def series_forecasts(
     panel: DataFrame,
     horizon: int = FORECAST_HORIZON,
     min_points: int = MIN_SERIES_POINTS,
 ) -> DataFrame:
-    """(store, item, forecast_step 1..horizon, arima_forecast), never negative."""
+    """Every step of every series; ``eligible`` is false where the zeros stand for a series that
+    is too short."""
     forecast = _forecaster(horizon, min_points)
-    steps = histories(panel).select(*SERIES, F.posexplode(forecast("history")))
-    return steps.select(
+    series = histories(panel).select(
+        *SERIES,
+        (F.size("history") >= min_points).alias("eligible"),
+        F.posexplode(forecast("history")),
+    )
+    return series.select(
         *SERIES,
         (F.col("pos") + 1).alias("forecast_step"),
         F.col("col").alias("arima_forecast"),
+        "eligible",
     )
+
+
+def forecast_all_skus_arima(
+    panel: DataFrame,
+    horizon: int = FORECAST_HORIZON,
+    min_points: int = MIN_SERIES_POINTS,
+) -> DataFrame:
+    """(store, item, forecast_step 1..horizon, arima_forecast), never negative."""
+    return series_forecasts(panel, horizon, min_points).drop("eligible")

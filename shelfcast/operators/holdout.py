@@ -8,10 +8,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.constants import FORECAST_HORIZON, PANEL_KEY, SERIES, TARGET
-from shelfcast.operators.arima import forecast_all_skus_arima
+from shelfcast.constants import FORECAST_HORIZON, PANEL_KEY, TARGET
+from shelfcast.operators.arima import series_forecasts
 from shelfcast.operators.design import (
-    arima_eligibility,
     feature_columns,
     holdout_cutoff,
     training_matrix,
@@ -37,7 +36,9 @@ def model_inputs(features: DataFrame, stage: Stage) -> DataFrame:
     return stage(with_previous_week(with_entity_ids(features, stage)), "model-inputs")
 
 
-def fit_holdout(inputs: DataFrame, leak_free: bool = True, **tree_overrides) -> Holdout:
+def fit_holdout(
+    inputs: DataFrame, stage: Stage, leak_free: bool = True, **tree_overrides
+) -> Holdout:
     """Train on complete rows before the cutoff, forecast the complete rows from it on.
 
     The cutoff is the quantile of all rows' weeks. It is one date, fetched so that both sides
@@ -53,7 +54,7 @@ def fit_holdout(inputs: DataFrame, leak_free: bool = True, **tree_overrides) ->
     forecast = predict(complete, model).select(
         *PANEL_KEY, "forecast_step", TARGET, "xgb_forecast"
     )
-    return Holdout(model, before, forecast)
+    return Holdout(model, before, stage(forecast, "holdout-forecast"))
 
 
 def ensemble_forecast(held: Holdout, horizon: int = FORECAST_HORIZON) -> DataFrame:
@@ -61,11 +62,8 @@ def ensemble_forecast(held: Holdout, horizon: int = FORECAST_HORIZON) -> DataFra
 
     ``eligible`` is false for series too short for ARIMA, whose second member is zero.
     """
-    arima = forecast_all_skus_arima(held.before, horizon)
-    series = arima_eligibility(held.before).select(*SERIES, "eligible")
-    return align(held.forecast.where(F.col("forecast_step") <= horizon), arima).join(
-        series, [*SERIES]
-    )
+    arima = series_forecasts(held.before, horizon)
+    return align(held.forecast.where(F.col("forecast_step") <= horizon), arima)
 
 
 def evaluate_holdout(held: Holdout, horizon: int = FORECAST_HORIZON) -> DataFrame:

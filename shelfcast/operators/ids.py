@@ -25,7 +25,9 @@ def dense_ids(df: DataFrame, key: str, out: str) -> DataFrame:
     offsets = sizes.select(
         "_block", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset")
     )
-    return ranked.join(offsets, "_block").select(
+    # Every block has an offset. As a left join it adds no filter to one side only, so both sides
+    # read the same shuffled keys.
+    return ranked.join(offsets, "_block", "left").select(
         key, (F.col("_offset") + F.col("_place") - 1).cast("int").alias(out)
     )
 

@@ -164,8 +164,10 @@ def training_matrix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _complete_keys(spark: SparkSession, folder: str) -> DataFrame:
-    """Keys of the rows that enter training. Ids never are NULL, so the features decide."""
-    rows = design.training_matrix(feature_rows(spark, folder), FEATURE_COLUMNS)
+    """Keys of the rows that enter training. Ids and the family gap never are NULL, so the
+    features of the series itself decide."""
+    deciding = [c for c in FEATURE_COLUMNS if c != "price_gap_vs_family"]
+    rows = design.training_matrix(series_feature_rows(spark, folder), deciding)
     return stage(rows.select(*PANEL_KEY), "training-keys")
 
 
@@ -273,6 +275,15 @@ def _once(spark: SparkSession, folder: str, name: str, build: Callable[[], objec
     return _MODELS[key]
 
 
+# Which query first needs which model.
+TRAINED_BY = {"gbt_forecast": "held", "feature_importance": "full-model"}
+
+
+def forget(spark: SparkSession, folder: str, name: str) -> None:
+    """Drop a kept model, so that the next query trains it again."""
+    _MODELS.pop((spark.sparkContext.applicationId, folder, name), None)
+
+
 def _model_inputs(spark: SparkSession, folder: str) -> DataFrame:
     return _once(
         spark, folder, "inputs",
@@ -293,7 +304,7 @@ def _full_model(spark: SparkSession, folder: str) -> PipelineModel:
 def _held(spark: SparkSession, folder: str) -> holdout.Holdout:
     return _once(
         spark, folder, "held",
-        lambda: holdout.fit_holdout(_model_inputs(spark, folder), maxIter=QUERY_ROUNDS),
+        lambda: holdout.fit_holdout(_model_inputs(spark, folder), stage, maxIter=QUERY_ROUNDS),
     )
 
 

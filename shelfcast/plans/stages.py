@@ -90,7 +90,7 @@ def model_forecast(
     columns = design.feature_columns(leak_free)
     matrix = stage(design.training_matrix(inputs, columns), "matrix")
     scores = trees.cross_validate(matrix, columns, **tree_overrides) if cv else []
-    held = holdout.fit_holdout(inputs, leak_free, **tree_overrides)
+    held = holdout.fit_holdout(inputs, stage, leak_free, **tree_overrides)
     members = {
         row["member"]: row["mape"] for row in holdout.evaluate_holdout(held).collect()
     }

@@ -12,21 +12,28 @@ def write_table(
     mode: str = "overwrite",
     fmt: str = "parquet",
     partition_by: tuple[str, ...] = (),
+    **options: str,
 ) -> int:
     """Write and return the number of rows written."""
     seen = Observation()
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    observed.write.format(fmt).mode(mode).partitionBy(*partition_by).save(path)
+    writer = observed.write.format(fmt).mode(mode).options(**options)
+    writer.partitionBy(*partition_by).save(path)
     return seen.get["rows"]
 
 
-def write_by_year(df: DataFrame, path: str, fmt: str = "parquet") -> int:
-    """Overwrite a table partitioned by ``year``.
+def write_by_year(
+    df: DataFrame, path: str, fmt: str = "parquet", keep_other_years: bool = False
+) -> int:
+    """Overwrite a table partitioned by ``year``: all of it, or only the years in ``df``.
 
     The rebalance hint gathers a year into few files but lets adaptive execution split a year
     that is too large for one task.
     """
-    return write_table(df.hint("rebalance", "year"), path, fmt=fmt, partition_by=("year",))
+    return write_table(
+        df.hint("rebalance", "year"), path, fmt=fmt, partition_by=("year",),
+        partitionOverwriteMode="dynamic" if keep_other_years else "static",
+    )
 
 
 def write_clustered(df: DataFrame, path: str, keys: tuple[str, ...], fmt: str = "parquet") -> int:

@@ -77,12 +77,15 @@ def test_write_reports_rows_and_overwrites(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
-def test_year_partitions_are_replaced_one_by_one(spark, tmp_path):
+def test_year_partitions_are_replaced_one_by_one_or_all_at_once(spark, tmp_path):
     path = f"{tmp_path}/y"
     rows = spark.createDataFrame([(2019, 1), (2019, 2), (2020, 3)], "year int, v int")
     assert sinks.write_by_year(rows, path) == 3
-    assert sinks.write_by_year(rows.where("year = 2020").withColumn("v", F.lit(9)), path) == 1
+    newer = rows.where("year = 2020").withColumn("v", F.lit(9))
+    assert sinks.write_by_year(newer, path, keep_other_years=True) == 1
     assert rows_of(spark.read.parquet(path), "year", "v") == [(2019, 1), (2019, 2), (2020, 9)]
+    assert sinks.write_by_year(newer, path) == 1
+    assert rows_of(spark.read.parquet(path), "year", "v") == [(2020, 9)]
 
 
 def test_clustered_files_cover_narrow_key_ranges(spark, tmp_path):

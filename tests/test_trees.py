@@ -65,7 +65,7 @@ def test_holdout_trains_on_earlier_weeks_only(spark):
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.WEEKLY)
     weekly = stage(spark.createDataFrame(panel(n_items=3, n_weeks=120, n_stores=2), columns), "weekly")
     inputs = holdout.model_inputs(features.feature_table(weekly, stage), stage)
-    held = holdout.fit_holdout(inputs, maxIter=1)
+    held = holdout.fit_holdout(inputs, stage, maxIter=1)
     last_train = held.before.agg({"week_start": "max"}).first()[0]
     assert held.forecast.where(held.forecast.week_start <= last_train).count() == 0
     steps = held.forecast.groupBy("store_nbr", "item_nbr").agg({"forecast_step": "max"})
