@@ -14,6 +14,9 @@ from collections.abc import Sequence
 import numpy as np
 
 from shelfcast.constants import FORECAST_HORIZON, MIN_SERIES_POINTS
+from shelfcast.functions.shipping import ship_by_value
+
+ship_by_value(__name__)
 
 MAX_STEPS = 40
 CHUNK = 256

@@ -9,6 +9,10 @@ import pandas as pd
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
+from shelfcast.functions.shipping import ship_by_value
+
+ship_by_value(__name__)
+
 
 def _log_beta(a: np.ndarray, b: float) -> np.ndarray:
     return np.array([math.lgamma(x) + math.lgamma(b) - math.lgamma(x + b) for x in a])

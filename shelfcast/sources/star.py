@@ -4,12 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfcast.constants import CV_METRIC, EXPERIMENT, HOLDOUT_METRIC, TREES_PARAM
 
 
+# Footers are read once per table; every later scan is planned without that job.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def _scan(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    path = f"{folder}/{table}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _brand_number() -> F.Column:
