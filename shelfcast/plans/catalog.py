@@ -9,7 +9,16 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.constants import CV_METRIC, FEATURE_COLUMNS, HOLDOUT_METRIC, PANEL_KEY, TREES_PARAM
+from shelfcast.constants import (
+    CV_METRIC,
+    FEATURE_COLUMNS,
+    FORECAST_HORIZON,
+    HOLDOUT_METRIC,
+    MIN_SERIES_POINTS,
+    PANEL_KEY,
+    SERIES,
+    TREES_PARAM,
+)
 from shelfcast.operators import (
     arima,
     design,
@@ -308,6 +317,43 @@ def _held(spark: SparkSession, folder: str) -> holdout.Holdout:
     )
 
 
+def series_history(spark: SparkSession, folder: str) -> DataFrame:
+    """What the ARIMA operator is given per series: the values in week order."""
+    rows = arima.histories(weekly_facts(spark, folder))
+    return rows.selectExpr(
+        "store_nbr", "item_nbr", "size(history) AS n_points",
+        "history[0] AS first_units", "history[size(history) - 1] AS last_units",
+        "aggregate(transform(history, (v, i) -> v * (i + 1)), 0D, (a, v) -> a + v) AS weighted_units",
+    )
+
+
+def _aligned(spark: SparkSession, folder: str) -> DataFrame:
+    """The ensemble on held-out steps with two stand-ins that SQL can state: the model-free
+    forecast for the trees, the last known level of the series for ARIMA."""
+    wanted = (*PANEL_KEY, "weekly_units", "baseline_forecast")
+    rows = scoring.baseline_forecast(series_feature_rows(spark, folder)).select(*wanted)
+    split = design.with_holdout(stage(rows, "holdout-rows"))
+    level = split.where("NOT is_holdout").groupBy(*SERIES).agg(
+        F.max_by("weekly_units", "week_start").alias("arima_forecast"),
+        (F.count(F.lit(1)) >= MIN_SERIES_POINTS).alias("eligible"),
+    )
+    second = level.withColumn(
+        "forecast_step", F.explode(F.sequence(F.lit(1), F.lit(FORECAST_HORIZON)))
+    )
+    first = ensemble.number_steps(split.where("is_holdout").drop("is_holdout"))
+    return ensemble.align(first.withColumnRenamed("baseline_forecast", "xgb_forecast"), second)
+
+
+def ensemble_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    values = ["xgb_forecast", "arima_forecast", "ensemble_forecast"]
+    rows = _aligned(spark, folder).select(*PANEL_KEY, "forecast_step", "eligible", *values)
+    return rounded(rows, values)
+
+
+def ensemble_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(ensemble.member_scores(_aligned(spark, folder)), ["mape"])
+
+
 def gbt_forecast(spark: SparkSession, folder: str) -> DataFrame:
     """Tree forecast of the held-out weeks, trained on earlier weeks only."""
     return _held(spark, folder).forecast
@@ -424,6 +470,9 @@ QUERIES: dict[str, Query] = {
     "mape_by_sku": mape_by_sku,
     "mape_distribution": mape_distribution,
     "ensemble_weighted": ensemble_weighted,
+    "ensemble_alignment": ensemble_alignment,
+    "ensemble_scores": ensemble_scores,
+    "series_history": series_history,
     "pricing_recommendation": pricing_recommendation,
     "recommendation_summary": recommendation_summary,
     "pricing_gaps_latest": pricing_gaps_latest,

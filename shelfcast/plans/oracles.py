@@ -246,6 +246,34 @@ _PER_SKU = f"""per_sku AS (
   SELECT item_nbr, avg({_APE}) AS mape, count(*) FILTER (weekly_units > 0) AS n_rows
   FROM warm GROUP BY item_nbr)"""
 
+ALIGNED = """parted AS (
+  SELECT *, epoch(week_start) / 86400 >=
+           (SELECT quantile_cont(epoch(week_start) / 86400, 0.85) FROM warm) AS is_holdout
+  FROM warm),
+levels AS (
+  SELECT store_nbr, item_nbr, arg_max(weekly_units, week_start) AS arima_forecast,
+         count(*) >= 24 AS eligible
+  FROM parted WHERE NOT is_holdout GROUP BY store_nbr, item_nbr),
+steps AS (
+  SELECT week_start, store_nbr, item_nbr, weekly_units, baseline_forecast AS xgb_forecast,
+         CAST(row_number() OVER (PARTITION BY store_nbr, item_nbr ORDER BY week_start) AS INTEGER)
+           AS forecast_step
+  FROM parted WHERE is_holdout),
+aligned AS (
+  SELECT s.*, l.arima_forecast, l.eligible,
+         0.65 * s.xgb_forecast + 0.35 * l.arima_forecast AS ensemble_forecast
+  FROM steps s JOIN levels l USING (store_nbr, item_nbr) WHERE forecast_step <= 12)"""
+
+
+def _member(name: str) -> str:
+    error = f"CASE WHEN weekly_units > 0 THEN abs(weekly_units - {name}) / weekly_units END"
+    return (
+        f"SELECT '{name}' AS member, round(avg({error}), 6) AS mape, "
+        "count(*) FILTER (weekly_units > 0) AS n_rows, "
+        "count(*) FILTER (forecast_step = 1 AND NOT eligible) AS n_zero_series FROM aligned"
+    )
+
+
 RUNS = """runs AS (
   SELECT CAST(event_id AS VARCHAR) AS run_id, value / 1000 AS mape, value / 1200 AS cv_mape,
          '500' AS n_estimators, concat('models/', event_id) AS model_path
@@ -403,6 +431,28 @@ FROM oil""",
             "round(0.65 * baseline_forecast + 0.35 * rolling_mean_12w, 6) AS ensemble_forecast "
             "FROM warm",
         ),
+        "ensemble_alignment": _query(
+            (*WARM_STEPS, ALIGNED),
+            f"SELECT {_KEY}, forecast_step, eligible, "
+            f"{_round('xgb_forecast', 'arima_forecast', 'ensemble_forecast')} FROM aligned",
+        ),
+        "ensemble_scores": _query(
+            (*WARM_STEPS, ALIGNED),
+            " UNION ALL ".join(
+                _member(m) for m in ("xgb_forecast", "arima_forecast", "ensemble_forecast")
+            ),
+        ),
+        "series_history": _query(
+            (
+                *PANEL_STEPS,
+                "placed AS (SELECT *, row_number() OVER (PARTITION BY store_nbr, item_nbr "
+                "ORDER BY week_start) AS place FROM facts)",
+            ),
+            "SELECT store_nbr, item_nbr, CAST(count(*) AS INTEGER) AS n_points, "
+            "arg_min(weekly_units, place) AS first_units, "
+            "arg_max(weekly_units, place) AS last_units, "
+            "sum(weekly_units * place) AS weighted_units FROM placed GROUP BY store_nbr, item_nbr",
+        ),
         "pricing_recommendation": _query(
             (*WARM_STEPS, LABELLED), f"SELECT {_KEY}, pricing_recommendation FROM labelled"
         ),
