@@ -1,0 +1,91 @@
+"""Mean, deviation and maximum over the previous n rows of a series.
+
+A sliding frame visits n rows again for every row. Longer frames are therefore put together from
+shorter ones that are already known: the previous 12 rows are three blocks of 4, the previous 26
+two blocks of 12 and two single rows. Blocks lie in the same sorted partition, so they are plain
+lags. Deviations are merged from sums of squares about each block's own mean, which does not
+cancel. A frame that does not divide this way is computed directly.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+
+MAX_BLOCKS = 3
+MAX_SINGLES = 2
+
+
+def _part(n: int, back: int = 0) -> dict[str, str]:
+    """Columns of the n-row block that ends ``back`` rows earlier."""
+    return {stat: f"_{stat}_{n}" + (f"_{back}" if back else "") for stat in ("n", "sum", "max", "ss")}
+
+
+def _direct(df: DataFrame, value: str, over: str, n: int) -> DataFrame:
+    frame = f"OVER ({over} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+    own = _part(n)
+    return df.selectExpr(
+        "*",
+        f"count({value}) {frame} AS {own['n']}",
+        f"coalesce(sum({value}) {frame}, 0D) AS {own['sum']}",
+        f"max({value}) {frame} AS {own['max']}",
+        f"coalesce(var_pop({value}) {frame}, 0D) * count({value}) {frame} AS {own['ss']}",
+    )
+
+
+def _composed(df: DataFrame, value: str, over: str, n: int, block: int) -> DataFrame:
+    """The previous n rows from blocks of ``block`` rows and, at the far end, single rows."""
+    count, rest = divmod(n, block)
+    missing = {"n": ", 0L", "sum": ", 0D", "max": "", "ss": ", 0D"}
+    shifts = [i * block for i in range(1, count)]
+    singles = [f"_single_{n - i}" for i in range(rest)]
+    df = df.selectExpr(
+        "*",
+        *[
+            f"lag({_part(block)[stat]}, {back}{default}) OVER ({over}) AS {_part(block, back)[stat]}"
+            for back in shifts
+            for stat, default in missing.items()
+        ],
+        *[f"lag({value}, {n - i}) OVER ({over}) AS {singles[i]}" for i in range(rest)],
+    )
+    parts = [_part(block), *[_part(block, back) for back in shifts]]
+    parts += [
+        {"n": f"if({s} IS NULL, 0L, 1L)", "sum": f"coalesce({s}, 0D)", "max": s, "ss": "0D"}
+        for s in singles
+    ]
+    own = _part(n)
+    about_mean = " + ".join(
+        f"{p['ss']} + if({p['n']} > 0, "
+        f"{p['n']} * power({p['sum']} / {p['n']} - {own['sum']} / {own['n']}, 2), 0D)"
+        for p in parts
+    )
+    return df.selectExpr(
+        "*",
+        f"{' + '.join(p['n'] for p in parts)} AS {own['n']}",
+        f"{' + '.join(p['sum'] for p in parts)} AS {own['sum']}",
+        f"greatest({', '.join(p['max'] for p in parts)}) AS {own['max']}",
+        f"if({own['n']} > 0, {about_mean}, 0D) AS {own['ss']}",
+    )
+
+
+def trailing_stats(
+    df: DataFrame, value: str, keys: Sequence[str], order: str, windows: Sequence[int]
+) -> DataFrame:
+    """Add ``rolling_mean_nw``, ``rolling_std_nw`` (sample) and ``rolling_max_nw``. The current
+    row is never part of a frame; NULL where the frame has too few values."""
+    over = f"PARTITION BY {', '.join(keys)} ORDER BY {order}"
+    kept, block, wide = df.columns, 0, df
+    for n in sorted(windows):
+        divides = block and n // block <= MAX_BLOCKS and n % block <= MAX_SINGLES
+        wide = _composed(wide, value, over, n, block) if divides else _direct(wide, value, over, n)
+        block = n
+    results = []
+    for n in windows:
+        own = _part(n)
+        results += [
+            f"{own['sum']} / if({own['n']} > 0, {own['n']}, NULL) AS rolling_mean_{n}w",
+            f"if({own['n']} > 1, sqrt({own['ss']} / ({own['n']} - 1)), NULL) AS rolling_std_{n}w",
+            f"{own['max']} AS rolling_max_{n}w",
+        ]
+    return wide.selectExpr(*[f"`{c}`" for c in kept], *results)
