@@ -20,7 +20,6 @@ from shelfcast.constants import (
     SERIES,
     TARGET,
 )
-from shelfcast.functions.trailing import trailing_stats
 from shelfcast.schemas import FEATURES
 
 Stage = Callable[[DataFrame, str], DataFrame]
@@ -44,7 +43,14 @@ def add_lag_features(df: DataFrame, weeks: Sequence[int] = LAG_WEEKS) -> DataFra
 
 def add_rolling_features(df: DataFrame, windows: Sequence[int] = ROLLING_WINDOWS) -> DataFrame:
     """Mean, sample deviation and maximum of the previous n rows, the current one excluded."""
-    return trailing_stats(df, TARGET, SERIES, "week_start", windows)
+    stats = {"mean": F.avg, "std": F.stddev_samp, "max": F.max}
+    return df.withColumns(
+        {
+            f"rolling_{name}_{n}w": stat(TARGET).over(_previous(n))
+            for n in windows
+            for name, stat in stats.items()
+        }
+    )
 
 
 def add_yoy_features(df: DataFrame) -> DataFrame:

