@@ -1,11 +1,11 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
 from check import TABLES, canonical
+from shelfcast.plans import catalog, oracles
 
 DATA = "/root/testdata/sf0.001"
-ORACLE = contract.oracle_sql()
+ORACLE = oracles.oracle_sql()
 UNCHECKED = {
     "gbt_forecast", "feature_importance", "score_skus", "arima_forecast", "ensemble_forecast",
     "holdout_mape",
@@ -21,13 +21,13 @@ def duck():
 
 
 def test_only_model_dependent_queries_have_no_sql():
-    assert set(contract.queries()) - set(ORACLE) == UNCHECKED
-    assert set(ORACLE) <= set(contract.queries())
+    assert set(catalog.QUERIES) - set(ORACLE) == UNCHECKED
+    assert set(ORACLE) <= set(catalog.QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_sql(spark, duck, name):
-    query = contract.queries()[name](spark, DATA)
+    query = catalog.QUERIES[name](spark, DATA)
     plan = query._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan  # no row-at-a-time Python
@@ -39,4 +39,4 @@ def test_query_equals_its_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(UNCHECKED))
 def test_model_query_returns_rows(spark, name):
-    assert contract.queries()[name](spark, DATA).count() > 0
+    assert catalog.QUERIES[name](spark, DATA).count() > 0
