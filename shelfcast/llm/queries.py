@@ -12,6 +12,7 @@ from shelfcast.llm.frames import table
 
 SHARDS = 40
 TOKEN_LIMIT = 1024
+ACCEPTED = 0.3
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -26,6 +27,13 @@ def op1_feistel_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard(table(spark, folder, "documents"), SHARDS)
 
 
+def op2_fourier_quality(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfcast.llm.quality import quality_scores
+
+    scores = quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scores.withColumn("predicted", (F.col("score") >= ACCEPTED).cast("int"))
+
+
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     from shelfcast.llm.token_counts import token_counts
 
@@ -33,8 +41,39 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op5_circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfcast.llm.near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_feistel_sharding": op1_feistel_sharding,
+    "op2_fourier_quality": op2_fourier_quality,
     "op3_token_counts": op3_token_counts,
+    "op5_circulant_minhash": op5_circulant_minhash,
+}
+ORACLES: dict[str, str] = {
+    "op5_circulant_minhash": r"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN []
+    WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS s
+  FROM cut
+), flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS c
+  FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (SELECT a, b FROM common WHERE 100 * c >= 75 * (na + nb - c)),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM sets
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.r = links.a
+), least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN least USING (doc_id)
+""",
 }
-ORACLES: dict[str, str] = {}
