@@ -13,6 +13,7 @@ from shelfcast.llm.frames import table
 SHARDS = 40
 TOKEN_LIMIT = 1024
 ACCEPTED = 0.3
+SEQUENCE = 2048
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -47,11 +48,25 @@ def op5_circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_multinomial_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfcast.llm.mixing import mixed_sizes
+
+    return mixed_sizes(table(spark, folder, "documents"))
+
+
+def op10_vector_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfcast.llm.packing import packed
+
+    return packed(table(spark, folder, "documents"), tokenizer_path(), SEQUENCE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_feistel_sharding": op1_feistel_sharding,
     "op2_fourier_quality": op2_fourier_quality,
     "op3_token_counts": op3_token_counts,
     "op5_circulant_minhash": op5_circulant_minhash,
+    "op6_multinomial_mixing": op6_multinomial_mixing,
+    "op10_vector_best_fit": op10_vector_best_fit,
 }
 ORACLES: dict[str, str] = {
     "op5_circulant_minhash": r"""

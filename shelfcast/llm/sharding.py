@@ -41,14 +41,16 @@ def _network(df: DataFrame, column: str, a: int, b: int, seed: int, inverse: boo
 
 def _walks(spark: SparkSession, n: int, a: int, b: int, seed: int, inverse: bool) -> int:
     """Passes after which every number below n is below n again: one more than the longest run of
-    numbers beyond n, of which there are fewer than a."""
-    outside, passes = spark.range(n, a * b).toDF("_x"), 1
-    while a * b > n:
-        outside = _network(outside, "_x", a, b, seed, inverse).where(F.col("_x") >= n)
-        if outside.isEmpty():
-            break
+    numbers beyond n that starts at the image of a number below n. Fewer than a are beyond n; a cycle
+    that lies wholly beyond n is never entered and is left out."""
+    if a * b == n:
+        return 1
+    beyond = _network(spark.range(n, a * b).withColumn("_y", F.col("id")), "_y", a, b, seed, not inverse)
+    now, passes = beyond.where(F.col("_y") < n).select(F.col("id").alias("_x")), 1
+    while not now.isEmpty():
         passes += 1
-    return passes + (a * b > n)
+        now = _network(now, "_x", a, b, seed, inverse).where(F.col("_x") >= n)
+    return passes
 
 
 def permute(
