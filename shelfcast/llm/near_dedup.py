@@ -4,9 +4,9 @@ One permutation spreads a document's shingles over 2**32 places. A second one, s
 0, 1, 2, ..., gives all signature coordinates. Documents that agree in the four coordinates of a
 band meet in a bucket. Documents with equal shingle sets are one class from the start. Buckets are
 settled without their pairs: members are compared with a pivot, confirmed links are contracted to
-components, and only pairs between components that are left in a bucket are compared, after
-a sketch of two bits per coordinate has said that they can reach the similarity. Every link is
-confirmed on the full shingle sets.
+components, and buckets that hold several components are compared block by block. Every link is
+confirmed on the full shingle sets; a sketch of two bits per coordinate spares comparisons with
+pivots that are far from the similarity.
 """
 
 from __future__ import annotations
@@ -29,8 +29,7 @@ BANDS, ROWS = 32, 4  # a pair at 0.75 misses all bands with probability 5e-6
 COORDINATES = BANDS * ROWS
 #: Coordinates whose two sketched bits agree: at 0.75 the mean is 105 and 82 lies 5.2 deviations below.
 SKETCHED = 82
-PIVOTS = 2
-CROWDED = 2000  # members of a bucket from which pairs have to share a second band
+BLOCK_SHINGLES = 1 << 18  # set elements of a block of documents that are compared with another
 SLICE = 1 << 16
 _MULTIPLIERS = np.random.default_rng(5).integers(1 << 62, 1 << 63, WORDS, dtype=np.uint64) * 2 + 1
 _TURNS = np.random.default_rng(6).integers(1 << 62, 1 << 63, ROWS, dtype=np.uint64) * 2 + 1
@@ -195,37 +194,21 @@ class _Search:
         labelled.drop()
         return out
 
-    def pivot_pairs(self, opened: DataFrame, turn: int) -> DataFrame:
-        """Every member with its bucket's pivot, where both are in different components."""
-        member = F.struct(F.xxhash64(F.lit(turn), "id").alias("order"), "id", "part")
-        pivots = opened.groupBy("bucket").agg(F.min(member).alias("pivot"))
-        pairs = opened.join(pivots, "bucket").where("part != pivot.part")
-        return pairs.select(F.least("id", "pivot.id").alias("a"), F.greatest("id", "pivot.id").alias("b"))
-
-    def left_pairs(self, opened: DataFrame) -> DataFrame:
-        """All pairs of different components in a bucket that sizes and sketches allow. In a
-        crowded bucket they have to share a second band as well, which a pair at the similarity
-        misses with probability 8e-6."""
-        sizes = opened.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"))
-        sized = opened.join(sizes, "bucket")
-        bands = self.classes.rows.select("id", F.explode("bands").alias("other"))
-        twice = (
-            sized.where(F.col("_n") > CROWDED)
-            .join(bands, "id")
-            .where("bucket != other")
-            .select(
-                F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other")).alias("bucket"),
-                "id",
-                "part",
-            )
-            .distinct()
-        )
-        meet = sized.where(F.col("_n") <= CROWDED).select("bucket", "id", "part").union(twice)
-        full = Staged(meet.join(self.short, "id"), "meeting").rows
-        a, b = full.alias("a"), full.alias("b")
-        pairs = a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.id") < F.col("b.id"))
-                       & (F.col("a.part") != F.col("b.part")) & can_be_similar("a", "b"))
-        return pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
+    def pivot_pairs(self, opened: DataFrame) -> DataFrame:
+        """Every member with its bucket's smallest id. A group meets in many buckets, mostly with
+        the same pivot."""
+        pivots = opened.groupBy("bucket").agg(F.min("id").alias("a"))
+        return opened.join(pivots, "bucket").where("id != a").select("a", F.col("id").alias("b"))
+
+    def link(self, links: DataFrame) -> None:
+        before = self.stars
+        self.stars = components(links.union(before.rows) if before else links)
+        if before:
+            before.drop()
+
+    def sets(self, ids: DataFrame) -> Staged:
+        found = _sets(self.documents, self.key, self.text, ids)
+        return Staged(found.groupBy("id").agg(F.first("shingles").alias("shingles")), "sets")
 
     def confirm(self, pairs: DataFrame) -> None:
         """Add the links among ``pairs`` and bring the components up to date."""
@@ -235,26 +218,125 @@ class _Search:
             sized = sized.join(own, side)
         likely = Staged(sized.where(can_be_similar("_a", "_b")).select("a", "b"), "likely")
         ids = likely.rows.select(F.col("a").alias("id")).union(likely.rows.select("b")).distinct()
-        sets = Staged(
-            _sets(self.documents, self.key, self.text, ids).groupBy("id").agg(F.first("shingles").alias("shingles")),
-            "sets",
-        )
+        sets = self.sets(ids)
         both = likely.rows
         for side in ("b", "a"):
             own = sets.rows.select(F.col("id").alias(side), F.col("shingles").alias(f"_{side}"))
             both = both.join(own, side)
         common = F.size(F.array_intersect("_a", "_b"))
         union = F.size("_a") + F.size("_b") - common
-        links = both.where(common * 100 >= union * 75).select(
-            F.col("b").alias("u"), F.col("a").alias("v")
-        )
-        before = self.stars
-        self.stars = components(links.union(before.rows) if before else links)
-        if before:
-            before.drop()
+        self.link(both.where(common * 100 >= union * 75).select(F.col("b").alias("u"), F.col("a").alias("v")))
         sets.drop()
         likely.drop()
 
+    def compare_blocks(self, opened: DataFrame) -> None:
+        """Links among all members of the open buckets, without rows for pairs.
+
+        A document belongs to a block of its fullest bucket, cut by hash into blocks of bounded
+        size. Two blocks (or one with itself) are compared if any open bucket has members in
+        both; a task holds the sets of two blocks and returns a spanning forest of their links.
+        """
+        sizes = opened.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"))
+        fullest = (
+            opened.join(sizes, "bucket")
+            .groupBy("id", "part")
+            .agg(F.max(F.struct("_n", "bucket")).alias("_most"))
+            .select("id", "part", F.col("_most.bucket").alias("home"))
+            .join(self.short.select("id", "n"), "id")
+        )
+        homes = Staged(fullest, "homes")
+        weight = homes.rows.groupBy("home").agg(F.sum("n").alias("_sum"))
+        chunk = F.pmod(F.xxhash64("id"), F.ceil(F.col("_sum") / BLOCK_SHINGLES))
+        blocks = Staged(
+            homes.rows.join(weight, "home").select(
+                "id", "part", F.xxhash64("home", chunk).alias("block")
+            ),
+            "blocks",
+        )
+        homes.drop()
+        met = opened.select("bucket", "id").join(blocks.rows.select("id", "block"), "id")
+        met = Staged(met.select("bucket", "block").distinct(), "met")
+        a, b = met.rows.alias("a"), met.rows.alias("b")
+        pairs = (
+            a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.block") <= F.col("b.block")))
+            .select(F.col("a.block").alias("_x"), F.col("b.block").alias("_y"))
+            .distinct()
+        )
+        sides = pairs.select("_x", "_y", F.explode(F.array_distinct(F.array("_x", "_y"))).alias("block"))
+        sets = self.sets(blocks.rows.select("id"))
+        rows = sides.join(blocks.rows, "block").join(sets.rows, "id")
+        ordered = rows.repartition("_x", "_y").sortWithinPartitions("_x", "_y", "block", "id")
+        found = ordered.select("_x", "_y", "block", "id", "part", "shingles").mapInArrow(_forests, "u long, v long")
+        self.link(found)
+        for done in (blocks, met, sets):
+            done.drop()
+
+
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of each pair of blocks; the rows of a pair follow each other."""
+    held: list[pa.RecordBatch] = []
+    now = None
+
+    def done() -> pa.RecordBatch:
+        u, v = _forest(pa.Table.from_batches(held).combine_chunks())
+        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+    for batch in batches:
+        x, y = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        cuts = np.flatnonzero((np.diff(x) != 0) | (np.diff(y) != 0)) + 1
+        for low, high in zip([0, *cuts], [*cuts, len(x)], strict=True):
+            if low == high:
+                continue
+            if now is not None and now != (x[low], y[low]):
+                yield done()
+                held = []
+            now = (x[low], y[low])
+            held.append(batch.slice(low, high - low))
+    if held:
+        yield done()
+
+
+def _forest(rows: pa.Table) -> tuple[list[int], list[int]]:
+    ids, parts, block = (rows.column(c).to_numpy() for c in ("id", "part", "block"))
+    lists = rows.column("shingles").combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy())
+    values = lists.flatten().to_numpy()
+    owner = np.repeat(np.arange(len(ids)), sizes)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    _, first, count = np.unique(values, return_index=True, return_counts=True)
+    # Elements that stand in one document only are in no intersection.
+    wide = np.repeat(count > 1, count)
+    values, owner = values[wide], owner[wide]
+    starts = np.concatenate([[0], np.cumsum(count[count > 1])])
+    place = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    by_doc = np.argsort(owner, kind="stable")
+    place_of, ends = place[by_doc], np.cumsum(np.bincount(owner, minlength=len(ids)))
+    parent = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    u, v = [], []
+    lengths = np.diff(starts)
+    for doc in range(len(ids)):
+        own = place_of[ends[doc - 1] if doc else 0 : ends[doc]]
+        if not len(own):
+            continue
+        n = lengths[own]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[own], n)
+        common = np.bincount(owner[at], minlength=len(ids))
+        fits = 100 * common >= 75 * (sizes + sizes[doc] - common)
+        for other in np.flatnonzero(fits[:doc]):
+            a, b = root(int(parts[doc])), root(int(parts[other]))
+            if a != b:
+                parent[a] = b
+                u.append(int(ids[doc]))
+                v.append(int(ids[other]))
+    return u, v
+
 
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id, kept) of every row.
@@ -268,14 +350,13 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     """
     search = _Search(documents, key, text)
     buckets = search.buckets()
-    for turn in range(PIVOTS):
-        opened = search.open_buckets(buckets.rows)
-        search.confirm(search.pivot_pairs(opened.rows, turn))
-        opened.drop()
     opened = search.open_buckets(buckets.rows)
-    search.confirm(search.left_pairs(opened.rows))
+    search.confirm(search.pivot_pairs(opened.rows))
     opened.drop()
+    opened = search.open_buckets(buckets.rows)
     buckets.drop()
+    search.compare_blocks(opened.rows)
+    opened.drop()
     named = search.classes.rows.select("f0", "f1", "id").join(
         search.stars.rows.select(F.col("u").alias("id"), "v"), "id", "left"
     ).select("f0", "f1", F.coalesce("v", "id").alias("component_id"))

@@ -14,6 +14,7 @@ SHARDS = 40
 TOKEN_LIMIT = 1024
 ACCEPTED = 0.3
 SEQUENCE = 2048
+EVERY, NEIGHBOURS = 50, 5
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -54,6 +55,18 @@ def op6_multinomial_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed_sizes(table(spark, folder, "documents"))
 
 
+def op7_mtree_search(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfcast.llm.mtree import top_products
+
+    return top_products(table(spark, folder, "embeddings"), EVERY, NEIGHBOURS)
+
+
+def op9_multiprobe_lsh(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfcast.llm.lsh import nearest
+
+    return nearest(table(spark, folder, "embeddings"), EVERY, NEIGHBOURS)
+
+
 def op10_vector_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     from shelfcast.llm.packing import packed
 
@@ -66,9 +79,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op5_circulant_minhash": op5_circulant_minhash,
     "op6_multinomial_mixing": op6_multinomial_mixing,
+    "op7_mtree_search": op7_mtree_search,
+    "op9_multiprobe_lsh": op9_multiprobe_lsh,
     "op10_vector_best_fit": op10_vector_best_fit,
 }
 ORACLES: dict[str, str] = {
+    "op7_mtree_search": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), placed AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 5
+""",
     "op5_circulant_minhash": r"""
 WITH RECURSIVE cut AS (
   SELECT doc_id, regexp_extract_all(
