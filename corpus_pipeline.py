@@ -1,12 +1,69 @@
-"""Corpus pipeline: quality filter, near-dedup, source mix, packing."""
+"""Corpus pipeline: quality filter, near-dedup, source mix, packing.
+
+Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept and returns the columns of
+documents, the last one the pieces of packed sequences. ``run`` writes every stage and reads it back.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shelfcast.llm import queries
+from shelfcast.llm.frames import Staged, table
+from shelfcast.llm.mixing import Mixture
+from shelfcast.llm.near_dedup import near_duplicates
+from shelfcast.llm.packing import packed
+from shelfcast.llm.quality import quality_scores
 
-STAGES = []
+DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
+#: A model and components of trained and iterated numbers, drawn block orders, and token ids.
 ORACLE_SQL = None
 
 
+def _where(docs: DataFrame, verdicts: DataFrame, kept: str) -> DataFrame:
+    """Rows whose key has a kept verdict. Rows of one key share their verdicts' best."""
+    ids = verdicts.where(kept).select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*DOCUMENTS)
+
+
+def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a quality score of at least the accepted one."""
+    scores = quality_scores(docs, table(spark, sf_dir, "labels"))
+    return _where(docs, scores, f"score >= {queries.ACCEPTED}")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group, the one with the smallest id."""
+    kept = _where(docs, near_duplicates(docs), "kept")
+    known = kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
+    return known.union(kept.where(F.col("doc_id").isNull()))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for every copy of a document in the mix, with the words of that copy that are taken;
+    documents of which nothing is taken go."""
+    copies = Mixture(docs, carried=DOCUMENTS).texts()
+    return copies.select(
+        "own.doc_id", "text", "own.lang", "own.source", F.length("text").cast("long").alias("n_chars")
+    )
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the mixed documents in sequences."""
+    return packed(docs, queries.tokenizer_path(), queries.SEQUENCE)
+
+
+STAGES = [
+    ("quality classifier", accept_quality),
+    ("near-dedup", drop_near_duplicates),
+    ("source mix", mix_sources),
+    ("packing", pack_sequences),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = Staged(stage(spark, docs, sf_dir), name.replace(" ", "-")).rows
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from shelfcast.llm.frames import Staged
 from shelfcast.llm.vectors import classes, matrix, meet, queries_of, ranked, usable
 
-TABLES, FUNCTIONS, WIDTH, PROBES = 8, 8, 2.0, 80
+TABLES, FUNCTIONS, WIDTH, PROBES = 8, 8, 2.0, 160
 CELL_ROWS, CELL_QUERIES = 8192, 2048
 BITS = 7  # an interval number, clipped to [-64, 63], in a bucket's key
 FOUND = "query long, query_id long, vec_id long, score double"

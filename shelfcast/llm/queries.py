@@ -61,6 +61,12 @@ def op7_mtree_search(spark: SparkSession, folder: str) -> DataFrame:
     return top_products(table(spark, folder, "embeddings"), EVERY, NEIGHBOURS)
 
 
+def op8_ans_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfcast.llm.token_files import token_digests
+
+    return token_digests(table(spark, folder, "documents"), tokenizer_path())
+
+
 def op9_multiprobe_lsh(spark: SparkSession, folder: str) -> DataFrame:
     from shelfcast.llm.lsh import nearest
 
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_circulant_minhash": op5_circulant_minhash,
     "op6_multinomial_mixing": op6_multinomial_mixing,
     "op7_mtree_search": op7_mtree_search,
+    "op8_ans_token_files": op8_ans_token_files,
     "op9_multiprobe_lsh": op9_multiprobe_lsh,
     "op10_vector_best_fit": op10_vector_best_fit,
 }
