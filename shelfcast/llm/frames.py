@@ -81,6 +81,12 @@ def running(df: DataFrame, order: Sequence[Column | str], total: str | None = No
     return out.drop("_part", "_rows", "_sum", "_at")
 
 
+def spread(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """``df`` dealt out by ``columns`` to as many partitions as shuffles have, which adaptive
+    execution leaves apart: for few bytes that make much work."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def worker_memory() -> dict:
     """A dict that lives as long as the Python worker, also when functions travel by value."""
     name = "_shelfcast_worker_memory"

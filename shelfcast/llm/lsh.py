@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.frames import Staged
+from shelfcast.llm.frames import Staged, spread
 from shelfcast.llm.vectors import classes, matrix, meet, queries_of, ranked, usable
 
 TABLES, FUNCTIONS, WIDTH, PROBES = 8, 8, 2.0, 160
@@ -166,7 +166,7 @@ def nearest(
     data = index.mapInArrow(
         hashed, f"table int, cell long, bucket long, ids array<long>, vector {vector_type}"
     )
-    asked = queries_of(rows, every).repartition(F.col("query")).mapInArrow(
+    asked = spread(queries_of(rows, every), "query").mapInArrow(
         probed, f"table int, cell long, buckets array<long>, query long, query_id long, vector {vector_type}"
     )
     data, asked = Staged(data, "hashed").rows, Staged(asked, "probed").rows

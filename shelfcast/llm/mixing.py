@@ -24,7 +24,7 @@ MOST_REPEATS = 2
 BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
 SHUFFLES = 24  # swap-or-not rounds of a source's block order
-CHUNK = 1 << 16
+CHUNK = 1 << 14
 
 
 def word_count(text: str) -> Column:
@@ -154,7 +154,8 @@ class Mixture:
         chunks = self.sources.where("quota > 0").select(
             "rank", "blocks", "quota", "slot_start",
             F.explode(F.sequence(F.lit(0).cast("long"), F.col("quota") - 1, F.lit(CHUNK).cast("long"))).alias("_from"),
-        ).repartition("rank", "_from")
+        )
+        chunks = chunks.repartition(max(1, min(10_000, total // CHUNK)), "rank", "_from")
         end = F.least(F.col("_from") + CHUNK, "quota") - 1
         slots = chunks.withColumn("_own", F.explode(F.sequence("_from", end)))
         dealt = permute(

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.frames import Staged
+from shelfcast.llm.frames import Staged, spread
 from shelfcast.llm.vectors import classes, matrix, meet, queries_of, ranked, usable
 
 PIVOTS = 256  # at most; one for every PIVOT_ROWS rows
@@ -276,7 +276,7 @@ def top_products(
         # A tree's pages stay together; only its queries are dealt out.
         return meet(pages, to_trees, ["cell", "tree"], F.lit(0), 1 << 40, TREE_QUERIES, search, FOUND)
 
-    asked = queries_of(rows, every).repartition(F.col("query"))
+    asked = spread(queries_of(rows, every), "query")
     opening = Staged(visit(asked.withColumn("floor", F.lit(None).cast("double")), True), "opening").rows
     kth = ranked_floor(opening, k)
     rest = visit(asked.join(kth, "query", "left"), False)

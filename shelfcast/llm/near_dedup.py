@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.components import components
-from shelfcast.llm.frames import Staged
+from shelfcast.llm.frames import Staged, spread
 from shelfcast.llm.tokens import arrow_texts
 
 WORDS = 5
@@ -265,7 +265,7 @@ class _Search:
         sides = pairs.select("_x", "_y", F.explode(F.array_distinct(F.array("_x", "_y"))).alias("block"))
         sets = self.sets(blocks.rows.select("id"))
         rows = sides.join(blocks.rows, "block").join(sets.rows, "id")
-        ordered = rows.repartition("_x", "_y").sortWithinPartitions("_x", "_y", "block", "id")
+        ordered = spread(rows, "_x", "_y").sortWithinPartitions("_x", "_y", "block", "id")
         found = ordered.select("_x", "_y", "block", "id", "part", "shingles").mapInArrow(_forests, "u long, v long")
         self.link(found)
         for done in (blocks, met, sets):
