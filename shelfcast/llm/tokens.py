@@ -10,14 +10,13 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
-
 import numpy as np
 
 from shelfcast.llm.frames import worker_memory
 
-REMEMBERED = 400_000  # pieces a worker keeps in each of two generations
-LONG_PIECE = 80  # longer pieces are encoded each time
+REMEMBERED = 700_000  # pieces a worker keeps in each of two generations
+LONG_PIECE = 80  # longer pieces are not remembered in counts
+TOGETHER = 500  # new pieces in one text
 SPACE = "Ġ"  # how byte-level vocabularies write the byte 0x20
 _ODD = re.compile(r"\s | \s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -35,6 +34,29 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
+class _Places(dict):
+    """piece -> place in ``values``. A piece that is met first gets a place at once and, if the
+    older generation does not have it, is noted in ``new``."""
+
+    def __init__(self, older: _Places | None = None):
+        super().__init__()
+        self.values: list[bytes | None] = []
+        self.new: list[str] = []
+        self.older = older
+        if older is not None:
+            older.older = None
+
+    def __missing__(self, piece: str) -> int:
+        place = self[piece] = len(self.values)
+        known = self.older.get(piece) if self.older is not None else None
+        if known is None:
+            self.new.append(piece)
+            self.values.append(None)
+        else:
+            self.values.append(self.older.values[known])
+        return place
+
+
 class Encoder:
     """Ids of texts as bytes of little-endian unsigned integers of ``width`` bytes."""
 
@@ -48,35 +70,34 @@ class Encoder:
         self.opens = np.zeros(self.size, dtype=bool)
         for token, number in vocabulary.items():
             self.opens[number] = token.startswith(SPACE)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.places = _Places()
 
     def plain(self, text: str) -> bytes:
         return np.array(
             self.library.encode(text, add_special_tokens=False).ids, dtype=self.dtype
         ).tobytes()
 
-    def _learn(self, new: Iterable[str]) -> None:
-        alone, together = [], []
-        for piece in new:
-            joins = piece and len(piece) <= LONG_PIECE and " " not in piece
-            (together if joins and not any(s in piece for s in self.special) else alone).append(piece)
-        for at in range(0, len(together), 500):
-            some = together[at : at + 500]
-            ids = np.array(
-                self.library.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids,
-                dtype=self.dtype,
-            )
+    def _learn(self) -> None:
+        """Fill in the values of new pieces, many pieces in one text where spaces tell them apart."""
+        places, new = self.places, self.places.new
+        texts, some = [], [new[at : at + TOGETHER] for at in range(0, len(new), TOGETHER)]
+        for group in some:
+            texts.append(" " + " ".join(group))
+        for group, text, found in zip(
+            some, texts, self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True
+        ):
+            ids = np.array(found.ids, dtype=self.dtype)
             starts = np.flatnonzero(self.opens[ids]) * self.width
-            if len(starts) != len(some):
-                alone.extend(some)
-                continue
-            raw, ends = ids.tobytes(), [*starts[1:].tolist(), len(ids) * self.width]
-            self.young.update(
-                (p, raw[a:b]) for p, a, b in zip(some, starts.tolist(), ends, strict=True)
-            )
-        for piece in alone:
-            self.young[piece] = self.plain(" " + piece)
+            apart = len(starts) == len(group) == text.count(" ") and "" not in group
+            if apart and not any(s in text for s in self.special):
+                raw, starts = ids.tobytes(), starts.tolist()
+                ends = [*starts[1:], len(raw)]
+                own = [raw[a:b] for a, b in zip(starts, ends, strict=True)]
+            else:
+                own = [self.plain(" " + piece) for piece in group]
+            for piece, value in zip(group, own, strict=True):
+                places.values[places[piece]] = value
+        places.new = []
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out = []
@@ -85,21 +106,14 @@ class Encoder:
         return out
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.young) > REMEMBERED:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
+        if len(self.places) > REMEMBERED:
+            self.places = _Places(self.places)
         parts = [pieces(text) for text in texts]
-        found = [list(map(young.get, p[1:])) for p in parts]
-        missing = set()
-        for p, f in zip(parts, found, strict=True):
-            if None in f:
-                missing.update(w for w, ids in zip(p[1:], f, strict=True) if ids is None)
-        young.update((w, old[w]) for w in missing if w in old)
-        self._learn([w for w in missing if w not in young])
-        return [
-            self.plain(p[0]) + b"".join(map(young.__getitem__, p[1:]) if None in f else f)
-            for p, f in zip(parts, found, strict=True)
-        ]
+        place = self.places.__getitem__
+        found = [list(map(place, p[1:])) for p in parts]
+        self._learn()
+        value = self.places.values.__getitem__
+        return [self.plain(p[0]) + b"".join(map(value, f)) for p, f in zip(parts, found, strict=True)]
 
 
 def encoder(path: str) -> Encoder:
