@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.frames import worker_memory
-from shelfcast.llm.tokens import LONG_PIECE, REMEMBERED, arrow_texts, load, pieces
+from shelfcast.llm.tokens import LONG_PIECE, REMEMBERED, arrow_texts, load, pieces, whole
 
 # Fixed value: the pattern of the byte-level pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -39,7 +39,7 @@ class Counter:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.letters = {b: letter for b, letter in enumerate(byte_letters())}
         self.find = regex.compile(PATTERN).findall
-        self.whole = self.prove()
+        self.proven = self.prove()
         self.young: dict[str, int] = {}
         self.old: dict[str, int] = {}
 
@@ -62,8 +62,8 @@ class Counter:
     def piece(self, text: str) -> int:
         if any(s in text for s in self.special):
             return len(self.library.encode(text, add_special_tokens=False).ids)
-        whole = self.whole
-        return sum(1 if p in whole else self.merged(p) for p in self.find(text))
+        proven = self.proven
+        return sum(1 if p in proven else self.merged(p) for p in self.find(text))
 
     def count(self, text: str) -> int:
         if len(self.young) > REMEMBERED:
@@ -77,7 +77,7 @@ class Counter:
                 if counts[at] is None:
                     n = old.get(word)
                     if n is None:
-                        n = self.piece(" " + word)
+                        n = self.piece(whole(word))
                     counts[at] = n
                     if len(word) <= LONG_PIECE:
                         young[word] = n

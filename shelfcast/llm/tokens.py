@@ -1,8 +1,8 @@
 """Ids of whole texts by a tokenizers file, with encoded pieces remembered per worker.
 
-A text may be cut before a space that stands between two characters which are not white space:
-no pre-token of the byte-level pattern spans such a place, and what stands on one side does not change
-the other. So a text's ids are those of its pieces in a row. Pieces that a worker has met before are
+A text may be cut before a space or a line feed that stands between two characters which are not
+white space: no pre-token of the byte-level pattern spans such a place, and what stands on one
+side does not change the other. So a text's ids are those of its pieces in a row. Pieces that a worker has met before are
 looked up; new ones are encoded by the library, many in one call.
 """
 
@@ -17,14 +17,21 @@ from shelfcast.llm.frames import worker_memory
 REMEMBERED = 700_000  # pieces a worker keeps in each of two generations
 LONG_PIECE = 80  # longer pieces are not remembered in counts
 TOGETHER = 500  # new pieces in one text
-SPACE = "Ġ"  # how byte-level vocabularies write the byte 0x20
-_ODD = re.compile(r"\s | \s")
+SPACE, FEED = "Ġ", "Ċ"  # how byte-level vocabularies write the bytes 0x20 and 0x0A
+PLAIN = "\u0530"  # letters below are letters in every version of the character tables
+STOPS = ",."
+_ODD = re.compile(r"\s[ \n]|[ \n]\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 def pieces(text: str) -> list[str]:
-    """The text cut at every safe space. All but the first have lost that space in front."""
-    return _CUT.split(text) if _ODD.search(text) else text.split(" ")
+    """The text cut at safe places. All but the first have lost a space in front, those that begin
+    with a line feed apart. A text with white space beside a space or line feed is cut at spaces only."""
+    return _CUT.split(text) if _ODD.search(text) else text.replace("\n", " \n").split(" ")
+
+
+def whole(piece: str) -> str:
+    return piece if piece[:1] == "\n" else " " + piece
 
 
 def load(path: str):
@@ -42,6 +49,8 @@ class _Places(dict):
         super().__init__()
         self.values: list[bytes | None] = []
         self.new: list[str] = []
+        #: (place, place of the word, stop): a word of plain letters and a stop are two pre-tokens.
+        self.stopped: list[tuple[int, int, str]] = []
         self.older = older
         if older is not None:
             older.older = None
@@ -49,11 +58,13 @@ class _Places(dict):
     def __missing__(self, piece: str) -> int:
         place = self[piece] = len(self.values)
         known = self.older.get(piece) if self.older is not None else None
+        self.values.append(None if known is None else self.older.values[known])
         if known is None:
-            self.new.append(piece)
-            self.values.append(None)
-        else:
-            self.values.append(self.older.values[known])
+            word = piece[:-1]
+            if piece[-1:] in STOPS and word.isalpha() and (word.isascii() or max(word) < PLAIN):
+                self.stopped.append((place, self[word], piece[-1]))
+            else:
+                self.new.append(piece)
         return place
 
 
@@ -67,10 +78,12 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.width = self.dtype.itemsize
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.opens = np.zeros(self.size, dtype=bool)
+        self.opens = {mark: np.zeros(self.size, dtype=bool) for mark in (SPACE, FEED)}
         for token, number in vocabulary.items():
-            self.opens[number] = token.startswith(SPACE)
+            if token[0] in self.opens:
+                self.opens[token[0]][number] = True
         self.places = _Places()
+        self.stops = {stop: self.plain(stop) for stop in STOPS}
 
     def plain(self, text: str) -> bytes:
         return np.array(
@@ -79,25 +92,29 @@ class Encoder:
 
     def _learn(self) -> None:
         """Fill in the values of new pieces, many pieces in one text where spaces tell them apart."""
-        places, new = self.places, self.places.new
-        texts, some = [], [new[at : at + TOGETHER] for at in range(0, len(new), TOGETHER)]
-        for group in some:
-            texts.append(" " + " ".join(group))
-        for group, text, found in zip(
+        places = self.places
+        fed = [piece for piece in places.new if piece[:1] == "\n"]
+        spaced = [piece for piece in places.new if piece[:1] != "\n"]
+        some = [(SPACE, " ", spaced[at : at + TOGETHER]) for at in range(0, len(spaced), TOGETHER)]
+        some += [(FEED, "\n", fed[at : at + TOGETHER]) for at in range(0, len(fed), TOGETHER)]
+        texts = ["".join(map(whole, group)) for _, _, group in some]
+        for (mark, lead, group), text, found in zip(
             some, texts, self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True
         ):
             ids = np.array(found.ids, dtype=self.dtype)
-            starts = np.flatnonzero(self.opens[ids]) * self.width
-            apart = len(starts) == len(group) == text.count(" ") and "" not in group
+            starts = np.flatnonzero(self.opens[mark][ids]) * self.width
+            apart = len(starts) == len(group) == text.count(lead) and "" not in group
             if apart and not any(s in text for s in self.special):
                 raw, starts = ids.tobytes(), starts.tolist()
                 ends = [*starts[1:], len(raw)]
                 own = [raw[a:b] for a, b in zip(starts, ends, strict=True)]
             else:
-                own = [self.plain(" " + piece) for piece in group]
+                own = [self.plain(whole(piece)) for piece in group]
             for piece, value in zip(group, own, strict=True):
                 places.values[places[piece]] = value
-        places.new = []
+        for place, word, stop in places.stopped:
+            places.values[place] = places.values[word] + self.stops[stop]
+        places.new, places.stopped = [], []
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out = []
