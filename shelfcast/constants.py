@@ -69,6 +69,8 @@ RECOMMENDATION_COLOURS = {
 REGISTER_THRESHOLD = 0.15
 SCORING_THRESHOLD = 0.20
 EXPERIMENT = "pricing/demand_forecast"
+# Models on the 22 inputs that contain the current week are compared among themselves only.
+PARITY_EXPERIMENT = "pricing/demand_forecast_parity"
 ELASTICITY_EXPERIMENT = "pricing/elasticity"
 HOLDOUT_METRIC = "ensemble_holdout_mape"
 CV_METRIC = "xgb_cv_mape"

@@ -17,22 +17,34 @@ STEPS = 65_536
 
 
 def quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
-    """Linearly interpolated quantiles of the non-NULL values; None if there are none.
+    """Linearly interpolated quantiles of the values that are neither NULL nor NaN; None if there
+    are none. Infinite values are the ends of the order.
 
     Reads ``df`` a few times, so pass a written table.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
-    whole = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
-    count, low, high = whole
+    known = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
+    endless = F.abs("v") == math.inf
+    values = known.where(~endless)
+    count, below_all, finite, low, high = known.agg(
+        F.count("v"),
+        F.count_if(F.col("v") == -math.inf),
+        F.count_if(~endless),
+        F.min(F.when(~endless, F.col("v"))),
+        F.max(F.when(~endless, F.col("v"))),
+    ).first()
     if count == 0:
         return [None for _ in shares]
     places = [share * (count - 1) for share in shares]
     ranks = {math.floor(p) for p in places} | {math.ceil(p) for p in places}
-    at = _by_rank(values, low, high, sorted(ranks))
+    inside = sorted(r - below_all for r in ranks if 0 <= r - below_all < finite)
+    at = {r: -math.inf if r < below_all else math.inf for r in ranks}
+    if inside:
+        at |= {r + below_all: v for r, v in _by_rank(values, low, high, inside).items()}
     result = []
     for place in places:
         below, above = at[math.floor(place)], at[math.ceil(place)]
-        result.append(below + (place - math.floor(place)) * (above - below))
+        share = place - math.floor(place)
+        result.append(below if below == above or not share else below + share * (above - below))
     return result
 
 
@@ -57,7 +69,9 @@ def _narrow(values: DataFrame, ranges: list[tuple], ranks: list[int]) -> list[tu
     for i, (low, high, first) in enumerate(ranges):
         inside = (F.col("v") >= low) & (F.col("v") <= high)
         which = F.when(inside, i).otherwise(which)
-        step = F.when(inside, ((F.col("v") - low) / (high - low) * STEPS).cast("int")).otherwise(step)
+        # Halves, so that the width of the whole range of doubles is still a double.
+        share = (F.col("v") / 2 - low / 2) / (high / 2 - low / 2)
+        step = F.when(inside, (share * STEPS).cast("int")).otherwise(step)
         base = F.when(F.col("which") == i, F.lit(first)).otherwise(base)
     sizes = (
         values.select("v", which.alias("which"), step.alias("step"))

@@ -83,7 +83,8 @@ def factor_columns(order: Sequence[str], tag: str) -> list[str]:
     return weights + [f"{tag}_{kind}_{x}" for x in order for kind in ("d", "ok", "b")]
 
 
-def row_terms(rows: DataFrame, order: Sequence[str], y: str, tag: str, keep: str) -> DataFrame:
+def row_terms(rows: DataFrame, order: Sequence[str], y: str, tag: str, keep: Sequence[str]
+) -> DataFrame:
     """Per row: ``v`` (orthogonal part of the last regressor), ``free`` (1 - leverage) and ``e``
     (residual), for rows joined with their group's factors."""
     added = []
@@ -95,4 +96,4 @@ def row_terms(rows: DataFrame, order: Sequence[str], y: str, tag: str, keep: str
     )
     residual = "".join(f" - {tag}_b_{x} * v_{x}" for x in order)
     added += [f"1D - 1D / n{leverage} AS free", f"{y} - mean_{y}{residual} AS e"]
-    return rows.selectExpr(keep, *added).select(keep, f"v_{order[-1]}", "free", "e")
+    return rows.selectExpr(*keep, *added).select(*keep, f"v_{order[-1]}", "free", "e")

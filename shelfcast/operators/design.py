@@ -99,7 +99,7 @@ def keys_at(rows: DataFrame, positions: Sequence[int]) -> list[tuple]:
 
 
 def _equals(names: Sequence[str], values: Sequence) -> Column:
-    return _all(F.col(n) == F.lit(v) for n, v in zip(names, values))
+    return _all(F.col(n).eqNullSafe(F.lit(v)) for n, v in zip(names, values))
 
 
 def _all(conditions) -> Column:

@@ -172,15 +172,19 @@ def fit_did(design: DataFrame, factors: DataFrame) -> DataFrame:
     """
     target = DID_ORDER[-1]
     rows = design.selectExpr(
-        "item_nbr", "any_promo", "post", "t", "week_of_year", Y,
+        "item_nbr", "store_nbr", "any_promo", "post", "t", "week_of_year", Y,
         "any_promo * post AS treated_post",
     ).join(factors.drop("f_ssr", "total_ss"), "item_nbr")
-    terms = row_terms(rows, DID_ORDER, Y, "f", keep="item_nbr")
+    terms = row_terms(rows, DID_ORDER, Y, "f", keep=("item_nbr", "store_nbr"))
     clear = f"free >= {LEVERAGE_MARGIN}D"
-    meat = terms.groupBy("item_nbr").agg(
+    # First by series, on an exchange of its own: a hot item is one row per store after it.
+    by_series = terms.repartition("item_nbr", "store_nbr").groupBy("item_nbr", "store_nbr").agg(
         F.expr(f"sum(if({clear}, power(v_{target} * e / free, 2), NULL)) AS meat"),
         F.expr(f"bool_and({clear}) AS robust"),
     )
+    meat = by_series.groupBy("item_nbr").agg(
+        F.sum("meat").alias("meat"), F.bool_and("robust").alias("robust")
+    )
     fitted = factors.join(meat, "item_nbr").selectExpr(
         "string(item_nbr) AS sku",
         f"{coefficient('f', target)} AS did_att",

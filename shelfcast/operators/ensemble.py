@@ -55,8 +55,12 @@ def number_steps(rows: DataFrame) -> DataFrame:
 
 
 def align(tree: DataFrame, arima: DataFrame) -> DataFrame:
-    """Rows both members forecast: k-th held-out row of a series with the k-th ARIMA step."""
-    both = tree.join(arima, [*SERIES, "forecast_step"])
+    """Every held-out row: the k-th row of a series with its k-th ARIMA step. A series without
+    history before the cutoff has no ARIMA forecast; it counts as zero and not eligible."""
+    both = tree.join(arima, [*SERIES, "forecast_step"], "left").withColumns({
+        "arima_forecast": F.coalesce("arima_forecast", F.lit(0.0)),
+        "eligible": F.coalesce("eligible", F.lit(False)),
+    })
     return both.withColumn(
         "ensemble_forecast", ensemble(F.col("xgb_forecast"), F.col("arima_forecast"))
     )
@@ -68,7 +72,7 @@ def member_scores(aligned: DataFrame) -> DataFrame:
     stats = aligned.agg(
         *[mape(TARGET, m).alias(m) for m in members],
         F.count_if(F.col(TARGET) > 0).alias("n_rows"),
-        F.count_if((F.col("forecast_step") == 1) & ~F.col("eligible")).alias("n_zero_series"),
+        F.count_distinct(F.when(~F.col("eligible"), F.struct(*SERIES))).alias("n_zero_series"),
     )
     return stats.unpivot(
         ["n_rows", "n_zero_series"], list(members), "member", "mape"

@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.constants import FORECAST_HORIZON, PANEL_KEY, TARGET
+from shelfcast.constants import PANEL_KEY, SERIES, TARGET
 from shelfcast.operators.arima import series_forecasts
 from shelfcast.operators.design import (
     feature_columns,
@@ -18,7 +18,7 @@ from shelfcast.operators.design import (
 )
 from shelfcast.operators.ensemble import align, mape, member_scores, number_steps
 from shelfcast.operators.features import Stage
-from shelfcast.operators.ids import with_entity_ids
+from shelfcast.operators.ids import with_entity_ids, with_saved_ids
 from shelfcast.operators.trees import predict, train_trees
 
 
@@ -31,9 +31,13 @@ class Holdout:
     forecast: DataFrame
 
 
-def model_inputs(features: DataFrame, stage: Stage) -> DataFrame:
-    """Features with ids and lagged leaking columns, written once for all model steps."""
-    return stage(with_previous_week(with_entity_ids(features, stage)), "model-inputs")
+def model_inputs(features: DataFrame, stage: Stage, ids: DataFrame | None = None) -> DataFrame:
+    """Features with ids and lagged leaking columns, written once for all model steps. ``ids`` is
+    the table of entity_ids to use; by default the ids come from the features themselves."""
+    # Dealt out by series: the id joins may leave all series of an item in one partition.
+    known = with_entity_ids(features, stage) if ids is None else with_saved_ids(features, ids)
+    rows = known.repartition(*SERIES)
+    return stage(with_previous_week(rows), "model-inputs")
 
 
 def fit_holdout(
@@ -57,17 +61,22 @@ def fit_holdout(
     return Holdout(model, before, stage(forecast, "holdout-forecast"))
 
 
-def ensemble_forecast(held: Holdout, horizon: int = FORECAST_HORIZON) -> DataFrame:
-    """Held-out steps 1..horizon with both members' forecasts and the ensemble.
+def ensemble_forecast(held: Holdout, horizon: int | None = None) -> DataFrame:
+    """Held-out rows with both members' forecasts and the ensemble: all of them, or with a
+    ``horizon`` the first so many of each series.
 
     ``eligible`` is false for series too short for ARIMA, whose second member is zero.
     """
+    rows = held.forecast
+    if horizon is None:
+        horizon = rows.agg(F.max("forecast_step")).first()[0] or 0
     arima = series_forecasts(held.before, horizon)
-    return align(held.forecast.where(F.col("forecast_step") <= horizon), arima)
+    return align(rows.where(F.col("forecast_step") <= horizon), arima)
 
 
-def evaluate_holdout(held: Holdout, horizon: int = FORECAST_HORIZON) -> DataFrame:
-    """MAPE per member on the shared steps, and of the tree model on every held-out row.
+def evaluate_holdout(held: Holdout, horizon: int | None = None) -> DataFrame:
+    """MAPE per member on the steps up to ``horizon`` (default: all), and of the tree model on
+    every held-out row.
 
     The tree sees true lags (one step ahead) while ARIMA forecasts 1..horizon steps from the
     cutoff, so the members' scores are not directly comparable.

@@ -42,6 +42,18 @@ def with_entity_ids(df: DataFrame, stage: Stage | None = None) -> DataFrame:
     return df
 
 
+def with_saved_ids(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """Attach ``store_id`` and ``item_id`` from a table of entity_ids; -1 for keys it lacks."""
+    for entity, key in (("store", "store_nbr"), ("item", "item_nbr")):
+        known = ids.where(F.col("entity") == entity).select(
+            F.col("nbr").alias(key), F.col("id").alias(f"{entity}_id")
+        )
+        df = df.join(known, key, "left").withColumn(
+            f"{entity}_id", F.coalesce(f"{entity}_id", F.lit(-1))
+        )
+    return df
+
+
 def entity_ids(df: DataFrame) -> DataFrame:
     """Both id tables in long form: (entity, nbr, id)."""
     stores = dense_ids(df, "store_nbr", "id").select(

@@ -24,6 +24,10 @@ class NoQualifyingRun(LookupError):
     """No run of the experiment is below the threshold."""
 
 
+def new_run_id() -> str:
+    return uuid.uuid4().hex
+
+
 def log_run(
     spark: SparkSession,
     path: str,
@@ -32,9 +36,10 @@ def log_run(
     metrics: Mapping[str, float | None],
     model_path: str = "",
     experiment: str = EXPERIMENT,
+    run_id: str | None = None,
 ) -> str:
     """Append one run and return its id. A metric that could not be computed is left out."""
-    run_id = uuid.uuid4().hex
+    run_id = run_id or new_run_id()
     known = {k: float(v) for k, v in metrics.items() if v is not None}
     values = (
         run_id, experiment, run_name, {k: str(v) for k, v in params.items()}, known, model_path
@@ -56,6 +61,8 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(RUNS).parquet(path)
     except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise NoQualifyingRun(f"no run log at {path}") from missing
 
 

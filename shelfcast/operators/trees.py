@@ -17,6 +17,9 @@ from shelfcast.schemas import IMPORTANCE
 from shelfcast.sources.staging import staging_root
 
 
+ROWS_PER_TASK = 20_000
+
+
 def _with_inputs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Model inputs under their own names, NULL as 0; the table's own columns stay as they are."""
     return df.withColumns(
@@ -25,15 +28,21 @@ def _with_inputs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def train_trees(matrix: DataFrame, columns: Sequence[str], **overrides) -> PipelineModel:
-    """Fit on every row of ``matrix``, which must hold no NULL inputs (see training_matrix)."""
+    """Fit on every row of ``matrix``, which must hold no NULL inputs (see training_matrix).
+
+    A boosting round is a few small jobs; their number of tasks is what a round costs. The rows are
+    dealt to partitions of about ROWS_PER_TASK, the node of each row is kept between levels, and a
+    level is one job as long as its statistics fit.
+    """
     staging_root(matrix.sparkSession)  # names the checkpoint folder the boosting rounds use
     settings = {**TREE_PARAMS, **overrides}
     gather = VectorAssembler(inputCols=[f"in_{c}" for c in columns], outputCol="inputs")
     trees = GBTRegressor(
         featuresCol="inputs", labelCol=TARGET, predictionCol="raw_forecast",
-        checkpointInterval=10, **settings,
+        cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=50, **settings,
     )
-    rows = _with_inputs(matrix.select(*existing(matrix, columns), TARGET), columns)
+    kept = matrix.select(*existing(matrix, columns), TARGET)
+    rows = _with_inputs(kept.repartition(max(1, -(-kept.count() // ROWS_PER_TASK))), columns)
     return Pipeline(stages=[gather, trees]).fit(rows)
 
 

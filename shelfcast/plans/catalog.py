@@ -143,7 +143,8 @@ def promo_rate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def price_gap(spark: SparkSession, folder: str) -> DataFrame:
-    rows = features.add_price_gap_features(written_panel(spark, folder), stage)
+    needed = panel(spark, folder).select(*PANEL_KEY, "family", "weekly_units")
+    rows = features.add_price_gap_features(stage(needed, "family-weeks"), stage)
     kept = rows.select(*PANEL_KEY, "family", "family_median_units", "price_gap_vs_family")
     return rounded(kept, ["price_gap_vs_family"])
 
@@ -161,7 +162,9 @@ def entity_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def matrix(spark: SparkSession, folder: str) -> DataFrame:
-    rows = ids.with_entity_ids(written_features(spark, folder), stage)
+    inputs = [c for c in FEATURE_COLUMNS if c not in PANEL_KEY]
+    needed = feature_rows(spark, folder).select(*PANEL_KEY, "weekly_units", *inputs)
+    rows = ids.with_entity_ids(stage(needed, "matrix-inputs"), stage)
     return design.training_matrix(rows)
 
 
@@ -191,7 +194,8 @@ def holdout_split(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def arima_eligibility(spark: SparkSession, folder: str) -> DataFrame:
-    return design.arima_eligibility(weekly_facts(spark, folder))
+    """On the rows the ARIMA fit reads, after the cold start."""
+    return design.arima_eligibility(series_feature_rows(spark, folder))
 
 
 # ---- elasticity ------------------------------------------------------------------------------
@@ -319,7 +323,7 @@ def _held(spark: SparkSession, folder: str) -> holdout.Holdout:
 
 def series_history(spark: SparkSession, folder: str) -> DataFrame:
     """What the ARIMA operator is given per series: the values in week order."""
-    rows = arima.histories(weekly_facts(spark, folder))
+    rows = arima.histories(series_feature_rows(spark, folder))
     return rows.selectExpr(
         "store_nbr", "item_nbr", "size(history) AS n_points",
         "history[0] AS first_units", "history[size(history) - 1] AS last_units",
@@ -333,14 +337,15 @@ def _aligned(spark: SparkSession, folder: str) -> DataFrame:
     wanted = (*PANEL_KEY, "weekly_units", "baseline_forecast")
     rows = scoring.baseline_forecast(series_feature_rows(spark, folder)).select(*wanted)
     split = design.with_holdout(stage(rows, "holdout-rows"))
+    first = stage(ensemble.number_steps(split.where("is_holdout").drop("is_holdout")), "held-steps")
+    steps = first.agg(F.max("forecast_step")).first()[0] or 1
     level = split.where("NOT is_holdout").groupBy(*SERIES).agg(
         F.max_by("weekly_units", "week_start").alias("arima_forecast"),
         (F.count(F.lit(1)) >= MIN_SERIES_POINTS).alias("eligible"),
     )
     second = level.withColumn(
-        "forecast_step", F.explode(F.sequence(F.lit(1), F.lit(FORECAST_HORIZON)))
+        "forecast_step", F.explode(F.sequence(F.lit(1), F.lit(steps)))
     )
-    first = ensemble.number_steps(split.where("is_holdout").drop("is_holdout"))
     return ensemble.align(first.withColumnRenamed("baseline_forecast", "xgb_forecast"), second)
 
 
@@ -360,7 +365,11 @@ def gbt_forecast(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
-    return trees.feature_importance(spark, _full_model(spark, folder)).limit(10)
+    return trees.feature_importance(spark, _full_model(spark, folder))
+
+
+def top_features(spark: SparkSession, folder: str) -> DataFrame:
+    return feature_importance(spark, folder).limit(10)
 
 
 def score_skus(spark: SparkSession, folder: str) -> DataFrame:
@@ -395,7 +404,13 @@ def recommendation_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pricing_gaps_latest(spark: SparkSession, folder: str) -> DataFrame:
-    scored = stage(labelled(spark, folder), "scored")
+    needed = labelled(spark, folder).select(
+        "store_nbr", "item_nbr", "family", "week_start", "year", "price_gap_vs_family",
+        "baseline_forecast", "rolling_mean_4w", "pricing_recommendation",
+    )
+    path = fresh_path(spark, "scored")
+    sinks.write_by_year(needed, path)
+    scored = spark.read.parquet(path)
     return rounded(
         exports.export_pricing_gaps(scored, "baseline_forecast"),
         ["price_gap_vs_family", "baseline_forecast", "rolling_mean_4w", "forecast_vs_baseline_ratio"],
@@ -432,14 +447,17 @@ def run_comparison(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(run_selection.run_comparison(star.runs(spark, folder)), ["mape", "cv_mape"])
 
 
-def _raw(loader: Callable[[SparkSession, str], DataFrame], spark, folder) -> DataFrame:
-    return loader(spark, folder)
+def _raw(table: str, build: Callable, load: Callable, spark: SparkSession, folder: str) -> DataFrame:
+    """A raw table written to a warehouse folder and read by its loader."""
+    root = fresh_path(spark, "raw")
+    build(spark, folder).write.parquet(f"{root}/{table}")
+    return load(spark, readers.Warehouse(location=root))
 
 
 QUERIES: dict[str, Query] = {
-    "load_train": daily_sales,
-    "load_items": partial(_raw, star.items),
-    "load_stores": partial(_raw, star.stores),
+    "load_train": partial(_raw, "TRAIN", star.train, readers.load_train),
+    "load_items": partial(_raw, "ITEMS", star.items, readers.load_items),
+    "load_stores": partial(_raw, "STORES", star.stores, readers.load_stores),
     "oil_ffill": lambda spark, folder: readers.fill_forward(star.oil(spark, folder), "dcoilwtico"),
     "sink_roundtrip": sink_roundtrip,
     "clustered_layout": clustered_layout,
@@ -482,6 +500,7 @@ QUERIES: dict[str, Query] = {
     "run_comparison": run_comparison,
     "gbt_forecast": gbt_forecast,
     "feature_importance": feature_importance,
+    "top_features": top_features,
     "score_skus": score_skus,
     "arima_forecast": arima_forecast,
     "ensemble_forecast": ensemble_forecast,

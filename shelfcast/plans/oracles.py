@@ -262,7 +262,11 @@ steps AS (
 aligned AS (
   SELECT s.*, l.arima_forecast, l.eligible,
          0.65 * s.xgb_forecast + 0.35 * l.arima_forecast AS ensemble_forecast
-  FROM steps s JOIN levels l USING (store_nbr, item_nbr) WHERE forecast_step <= 12)"""
+  FROM steps s LEFT JOIN (
+    SELECT keys.store_nbr, keys.item_nbr, coalesce(arima_forecast, 0) AS arima_forecast,
+           coalesce(eligible, FALSE) AS eligible
+    FROM (SELECT DISTINCT store_nbr, item_nbr FROM parted) keys
+    LEFT JOIN levels USING (store_nbr, item_nbr)) l USING (store_nbr, item_nbr))"""
 
 
 def _member(name: str) -> str:
@@ -270,14 +274,15 @@ def _member(name: str) -> str:
     return (
         f"SELECT '{name}' AS member, round(avg({error}), 6) AS mape, "
         "count(*) FILTER (weekly_units > 0) AS n_rows, "
-        "count(*) FILTER (forecast_step = 1 AND NOT eligible) AS n_zero_series FROM aligned"
+        "count(DISTINCT CASE WHEN NOT eligible THEN store_nbr * 1000000 + item_nbr END) AS n_zero_series "
+        "FROM aligned"
     )
 
 
 RUNS = """runs AS (
   SELECT CAST(event_id AS VARCHAR) AS run_id, value / 1000 AS mape, value / 1200 AS cv_mape,
          '500' AS n_estimators, concat('models/', event_id) AS model_path
-  FROM events WHERE event_type = 'purchase')"""
+  FROM events)"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -371,9 +376,9 @@ FROM oil""",
             "quantile_cont(epoch(week_start) / 86400, 0.85) FROM warm) AS is_holdout FROM warm",
         ),
         "arima_eligibility": _query(
-            PANEL_STEPS,
+            WARM_STEPS,
             "SELECT store_nbr, item_nbr, count(*) AS n_points, count(*) >= 24 AS eligible "
-            "FROM facts GROUP BY store_nbr, item_nbr",
+            "FROM warm GROUP BY store_nbr, item_nbr",
         ),
         "log_log_features": _query(
             (*WARM_STEPS, DESIGN),
@@ -444,9 +449,9 @@ FROM oil""",
         ),
         "series_history": _query(
             (
-                *PANEL_STEPS,
+                *WARM_STEPS,
                 "placed AS (SELECT *, row_number() OVER (PARTITION BY store_nbr, item_nbr "
-                "ORDER BY week_start) AS place FROM facts)",
+                "ORDER BY week_start) AS place FROM warm)",
             ),
             "SELECT store_nbr, item_nbr, CAST(count(*) AS INTEGER) AS n_points, "
             "arg_min(weekly_units, place) AS first_units, "

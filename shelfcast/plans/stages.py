@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast import schemas
@@ -12,15 +13,18 @@ from shelfcast.constants import (
     ARIMA_WEIGHT,
     CV_METRIC,
     ELASTICITY_EXPERIMENT,
+    EXPERIMENT,
     FORECAST_HORIZON,
     HOLDOUT_METRIC,
     MIN_OBS_PER_SKU,
+    PARITY_EXPERIMENT,
     SCORING_THRESHOLD,
     TREE_PARAMS,
     TREE_WEIGHT,
     TREES_PARAM,
 )
 from shelfcast.operators import (
+    arima,
     design,
     elasticity,
     exports,
@@ -31,7 +35,7 @@ from shelfcast.operators import (
     trees,
     weekly,
 )
-from shelfcast.operators.ids import with_entity_ids
+from shelfcast.operators.ids import entity_ids
 from shelfcast.sources.readers import (
     Warehouse,
     load_items,
@@ -80,19 +84,31 @@ def model_elasticity(
 
 
 def model_forecast(
-    spark: SparkSession, out: str, leak_free: bool = True, cv: bool = True, **tree_overrides
+    spark: SparkSession,
+    out: str,
+    leak_free: bool = True,
+    cv: bool = True,
+    horizon: int = FORECAST_HORIZON,
+    evaluated_steps: int | None = None,
+    **tree_overrides,
 ) -> dict[str, float | None]:
     """Cross-validate, evaluate on held-out weeks, then fit on all rows and log the run.
 
-    The logged holdout error is the ensemble's on weeks neither member has seen.
+    The logged holdout error is the ensemble's on weeks neither member has seen, up to
+    ``evaluated_steps`` of each series (default: all). The model and the ids it was trained with
+    are saved under the run's own id; the ARIMA forecast of the next ``horizon`` weeks is written.
     """
-    inputs = holdout.model_inputs(_at(spark, out, "features"), stage)
+    run_id = run_selection.new_run_id()
+    model_path = f"{out}/models/{run_id}"
+    rows = _at(spark, out, "features")
+    entity_ids(rows).write.parquet(f"{model_path}/ids")
+    inputs = holdout.model_inputs(rows, stage, spark.read.parquet(f"{model_path}/ids"))
     columns = design.feature_columns(leak_free)
     matrix = stage(design.training_matrix(inputs, columns), "matrix")
     scores = trees.cross_validate(matrix, columns, **tree_overrides) if cv else []
     held = holdout.fit_holdout(inputs, stage, leak_free, **tree_overrides)
     members = {
-        row["member"]: row["mape"] for row in holdout.evaluate_holdout(held).collect()
+        row["member"]: row["mape"] for row in holdout.evaluate_holdout(held, evaluated_steps).collect()
     }
     model = trees.train_trees(matrix, columns, **tree_overrides)
     write_small_csv(trees.feature_importance(spark, model), f"{out}/feature_importance")
@@ -106,17 +122,18 @@ def model_forecast(
     }
     params = {
         "arima_order": ARIMA_ORDER,
-        "forecast_horizon_weeks": FORECAST_HORIZON,
+        "forecast_horizon_weeks": horizon,
         "xgb_ensemble_weight": TREE_WEIGHT,
         "arima_ensemble_weight": ARIMA_WEIGHT,
         "leak_free": leak_free,
         TREES_PARAM: settings["maxIter"],
         **{f"xgb_{name}": value for name, value in settings.items()},
     }
-    model_path = f"{out}/models/{'leak_free' if leak_free else 'parity'}"
-    model.write().overwrite().save(model_path)
+    model.write().save(f"{model_path}/trees")
+    write_table(arima.forecast_all_skus_arima(rows, horizon), f"{out}/arima_forecasts")
     run_selection.log_run(
-        spark, f"{out}/runs", "trees_arima_ensemble", params, metrics, model_path
+        spark, f"{out}/runs", "trees_with_arima", params, metrics, model_path,
+        experiment=EXPERIMENT if leak_free else PARITY_EXPERIMENT, run_id=run_id,
     )
     return metrics
 
@@ -125,35 +142,54 @@ def _round(value: float | None) -> float | None:
     return None if value is None else round(value, 4)
 
 
-def score(spark: SparkSession, out: str, threshold: float = SCORING_THRESHOLD) -> int:
-    """Score every feature row with the best logged model."""
+def score(
+    spark: SparkSession, out: str, threshold: float = SCORING_THRESHOLD, leak_free: bool = True
+) -> int:
+    """Score every feature row with the best logged model of one feature set, under the ids that
+    model was trained with; a store or item it hasn't seen has id -1."""
     runs = run_selection.read_runs(spark, f"{out}/runs")
-    model = trees.load_trees(run_selection.resolve_model(runs, threshold))
+    path = run_selection.resolve_model(
+        runs, threshold, EXPERIMENT if leak_free else PARITY_EXPERIMENT
+    )
+    model = trees.load_trees(f"{path}/trees")
     rows = _at(spark, out, "features")
-    inputs = design.with_previous_week(with_entity_ids(rows, stage))
+    inputs = holdout.model_inputs(rows, stage, spark.read.parquet(f"{path}/ids"))
     scored = scoring.add_pricing_gap_signal(scoring.score_batch(inputs, model))
     kept = scored.select(
         *rows.columns, "store_id", "item_id", "xgb_forecast", "pricing_recommendation"
     )
-    return write_by_year(kept, f"{out}/scored_forecasts")
+    written = write_by_year(kept, f"{out}/scored_forecasts")
+    write_table(
+        scoring.recommendation_summary(_at(spark, out, "scored_forecasts")),
+        f"{out}/recommendation_summary",
+    )
+    return written
 
 
-def export(spark: SparkSession, out: str) -> dict[str, int]:
+def export(spark: SparkSession, out: str) -> dict[str, object]:
+    """All exports. One that fails is reported by its error and doesn't stop the others."""
     scored = _at(spark, out, "scored_forecasts")
-    trend_path = f"{out}/exports/weekly_forecast_trend"
-    counts = {
-        "pricing_gaps_latest": write_table(
-            exports.export_pricing_gaps(scored), f"{out}/exports/pricing_gaps_latest"
+    at = f"{out}/exports"
+    jobs: dict[str, Callable[[], int]] = {
+        "pricing_gaps_latest": lambda: write_table(
+            exports.export_pricing_gaps(scored), f"{at}/pricing_gaps_latest"
         ),
-        "weekly_forecast_trend": write_table(
-            exports.export_weekly_forecast_trend(scored), trend_path
+        "weekly_forecast_trend": lambda: write_table(
+            exports.export_weekly_forecast_trend(scored), f"{at}/weekly_forecast_trend"
         ),
+        "top_family_trend": lambda: write_table(
+            exports.top_family_trend(spark.read.parquet(f"{at}/weekly_forecast_trend")),
+            f"{at}/top_family_trend",
+        ),
+        "elasticity_summary": lambda: export_elasticity(spark, out),
     }
-    counts["top_family_trend"] = write_table(
-        exports.top_family_trend(spark.read.parquet(trend_path)), f"{out}/exports/top_family_trend"
-    )
-    counts["elasticity_summary"] = export_elasticity(spark, out)
-    return counts
+    report: dict[str, object] = {}
+    for name, job in jobs.items():
+        try:
+            report[name] = job()
+        except PySparkException as error:
+            report[name] = f"failed: {error}"
+    return report
 
 
 def export_elasticity(spark: SparkSession, out: str) -> int:

@@ -86,9 +86,8 @@ def oil(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def runs(spark: SparkSession, folder: str) -> DataFrame:
-    """A run log with one run per purchase event."""
-    purchases = _scan(spark, folder, "events").where(F.col("event_type") == "purchase")
-    return purchases.select(
+    """A run log with one run per event."""
+    return _scan(spark, folder, "events").select(
         F.col("event_id").cast("string").alias("run_id"),
         F.lit(EXPERIMENT).alias("experiment"),
         F.lit("ensemble").alias("run_name"),

@@ -7,7 +7,7 @@ from shelfcast.plans import catalog, oracles
 DATA = "/root/testdata/sf0.001"
 ORACLE = oracles.oracle_sql()
 UNCHECKED = {
-    "gbt_forecast", "feature_importance", "score_skus", "arima_forecast", "ensemble_forecast",
+    "gbt_forecast", "feature_importance", "top_features", "score_skus", "arima_forecast", "ensemble_forecast",
     "holdout_mape",
 }
 

@@ -43,12 +43,14 @@ def test_members_are_aligned_by_step(spark):
         [(week(9), 1, 1, 10.0, 8.0), (week(5), 1, 1, 10.0, 12.0), (week(5), 1, 2, 10.0, 1.0)],
         "week_start date, store_nbr int, item_nbr int, weekly_units double, xgb_forecast double"))
     arima = spark.createDataFrame(
-        [(1, 1, 1, 5.0), (1, 1, 2, 6.0), (1, 1, 3, 7.0)],
-        "store_nbr int, item_nbr int, forecast_step int, arima_forecast double")
+        [(1, 1, 1, 5.0, True), (1, 1, 2, 6.0, True), (1, 1, 3, 7.0, True)],
+        "store_nbr int, item_nbr int, forecast_step int, arima_forecast double, eligible boolean")
     got = ensemble.align(tree, arima)
-    assert rows_of(got, "week_start", "forecast_step", "arima_forecast") == [
-        (week(5), 1, 5.0), (week(9), 2, 6.0)]
-    scores = ensemble.member_scores(got.withColumn("eligible", F.lit(True)))
+    # Series (1, 2) starts after the cutoff: it keeps its row, with a zero second member.
+    assert rows_of(got, "week_start", "item_nbr", "forecast_step", "arima_forecast", "eligible") == [
+        (week(5), 1, 1, 5.0, True), (week(5), 2, 1, 0.0, False), (week(9), 1, 2, 6.0, True)]
+    assert {r["n_zero_series"] for r in ensemble.member_scores(got).collect()} == {1}
+    scores = ensemble.member_scores(got.where("eligible"))
     assert {r["member"]: r["mape"] for r in scores.collect()} == {
         "xgb_forecast": pytest.approx(0.2),
         "arima_forecast": pytest.approx(0.45),
