@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -104,5 +106,16 @@ def test_quantiles_by_narrowing_are_exact(spark, values):
     assert quantiles(df, "v", shares) == pytest.approx(list(np.quantile(values, shares)), rel=1e-12)
 
 
+@pytest.mark.parametrize("values, median", [
+    ([1.0, 2.0, 3.0, math.nan], 2.0),
+    ([1.0, 2.0, math.inf], 2.0),
+    ([-math.inf, -math.inf, 5.0], -math.inf),
+    ([-math.inf, math.inf, math.inf], math.inf),
+    ([-1.7e308, 1.0, 1.7e308], 1.0),
+])
+def test_quantiles_with_values_that_are_no_plain_numbers(spark, values, median):
+    assert quantiles(spark.createDataFrame([(v,) for v in values], "v double"), "v", [0.5]) == [median]
+
+
 def test_quantiles_of_nothing(spark):
     assert quantiles(spark.createDataFrame([(None,)], "v double"), "v", [0.5]) == [None]
