@@ -30,6 +30,7 @@ COORDINATES = BANDS * ROWS
 #: Coordinates whose two sketched bits agree: at 0.75 the mean is 105 and 82 lies 5.2 deviations below.
 SKETCHED = 82
 BLOCK_SHINGLES = 1 << 18  # set elements of a block of documents that are compared with another
+HOME_STEPS = 3
 SLICE = 1 << 16
 _MULTIPLIERS = np.random.default_rng(5).integers(1 << 62, 1 << 63, WORDS, dtype=np.uint64) * 2 + 1
 _TURNS = np.random.default_rng(6).integers(1 << 62, 1 << 63, ROWS, dtype=np.uint64) * 2 + 1
@@ -232,19 +233,17 @@ class _Search:
     def compare_blocks(self, opened: DataFrame) -> None:
         """Links among all members of the open buckets, without rows for pairs.
 
-        A document belongs to a block of its fullest bucket, cut by hash into blocks of bounded
-        size. Two blocks (or one with itself) are compared if any open bucket has members in
+        A document's home is the smallest id within HOME_STEPS buckets, mostly the same for a whole
+        group; a home is cut by hash into blocks of bounded size. Two blocks (or one with itself) are compared if any open bucket has members in
         both; a task holds the sets of two blocks and returns a spanning forest of their links.
         """
-        sizes = opened.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"))
-        fullest = (
-            opened.join(sizes, "bucket")
-            .groupBy("id", "part")
-            .agg(F.max(F.struct("_n", "bucket")).alias("_most"))
-            .select("id", "part", F.col("_most.bucket").alias("home"))
-            .join(self.short.select("id", "n"), "id")
-        )
-        homes = Staged(fullest, "homes")
+        rows = opened.withColumn("home", F.col("id"))
+        for _ in range(HOME_STEPS):
+            least = rows.groupBy("bucket").agg(F.min("home").alias("_least"))
+            met = opened.join(least, "bucket").groupBy("id", "part").agg(F.min("_least").alias("home"))
+            homes = Staged(met, "homes")
+            rows = opened.join(homes.rows.select("id", "home"), "id")
+        homes = Staged(homes.rows.join(self.short.select("id", "n"), "id"), "homes")
         weight = homes.rows.groupBy("home").agg(F.sum("n").alias("_sum"))
         chunk = F.pmod(F.xxhash64("id"), F.ceil(F.col("_sum") / BLOCK_SHINGLES))
         blocks = Staged(
@@ -303,11 +302,10 @@ def _forest(rows: pa.Table) -> tuple[list[int], list[int]]:
     values = lists.flatten().to_numpy()
     owner = np.repeat(np.arange(len(ids)), sizes)
     order = np.argsort(values, kind="stable")
-    values, owner = values[order], owner[order]
-    _, first, count = np.unique(values, return_index=True, return_counts=True)
+    values, owner = values[order], owner[order]  # in each element's run, documents in row order
+    count = np.unique(values, return_counts=True)[1]
     # Elements that stand in one document only are in no intersection.
-    wide = np.repeat(count > 1, count)
-    values, owner = values[wide], owner[wide]
+    owner = owner[np.repeat(count > 1, count)]
     starts = np.concatenate([[0], np.cumsum(count[count > 1])])
     place = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
     by_doc = np.argsort(owner, kind="stable")
@@ -321,15 +319,22 @@ def _forest(rows: pa.Table) -> tuple[list[int], list[int]]:
 
     u, v = [], []
     lengths = np.diff(starts)
-    for doc in range(len(ids)):
+    # Rows are sorted by block. Within one block every document meets those before it, of two
+    # blocks those of the smaller one meet all of the other.
+    split = int(np.searchsorted(block, block[-1])) if block[0] != block[-1] else 0
+    if split and split < len(ids) - split:
+        turns, others = range(split), np.arange(len(ids)) >= split
+    else:
+        turns, others = range(split, len(ids)), np.arange(len(ids)) < split
+    for doc in turns:
         own = place_of[ends[doc - 1] if doc else 0 : ends[doc]]
         if not len(own):
             continue
         n = lengths[own]
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[own], n)
         common = np.bincount(owner[at], minlength=len(ids))
-        fits = 100 * common >= 75 * (sizes + sizes[doc] - common)
-        for other in np.flatnonzero(fits[:doc]):
+        fits = (100 * common >= 75 * (sizes + sizes[doc] - common)) & (parts != parts[doc])
+        for other in np.flatnonzero(fits & others if split else fits[:doc]):
             a, b = root(int(parts[doc])), root(int(parts[other]))
             if a != b:
                 parent[a] = b
