@@ -175,12 +175,17 @@ def test_mix_meets_targets_and_limits(spark, edges, nothing):
     )
     rows = mixed_sizes(many).collect()
     assert sorted(map(tuple, rows)) == sorted(map(tuple, mixed_sizes(many.repartition(7)).collect()))
-    sizes = {r.source_size: r.target for r in rows}
+    source_of = {r.doc_id: r.source for r in many.collect()}
     total = sum(r.size for r in rows)
-    assert abs(sum(sizes.values()) - 1.5 * total) < 1e-6 * total
-    for size, target in sizes.items():
-        taken = sum(r.taken for r in rows if r.source_size == size)
-        assert target <= 2 * size and abs(taken - target) <= 64 + 0.01 * target
+    seen = {}
+    for source in set(source_of.values()):
+        own = [r for r in rows if source_of[r.doc_id] == source]
+        size = sum(r.size for r in own)
+        (target,) = {r.target for r in own}
+        assert {r.source_size for r in own} == {size}
+        assert target <= 2 * size and abs(sum(r.taken for r in own) - target) <= 64 + 0.01 * target
+        seen[source] = target
+    assert len(seen) == 7 and abs(sum(seen.values()) - 1.5 * total) < 1e-6 * total
 
 
 def test_mixed_texts_are_the_taken_words(spark):
