@@ -43,6 +43,12 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op4_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfcast.llm.revisits import page_records, resolved
+
+    return resolved(page_records(table(spark, folder, "pages")))
+
+
 def op5_circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
     from shelfcast.llm.near_dedup import near_duplicates
 
@@ -83,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_feistel_sharding": op1_feistel_sharding,
     "op2_fourier_quality": op2_fourier_quality,
     "op3_token_counts": op3_token_counts,
+    "op4_warc_revisits": op4_warc_revisits,
     "op5_circulant_minhash": op5_circulant_minhash,
     "op6_multinomial_mixing": op6_multinomial_mixing,
     "op7_mtree_search": op7_mtree_search,
