@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import queries
-from shelfcast.llm.frames import Staged, table
+from shelfcast.llm.frames import Staged, same_row, table, text_marks
 from shelfcast.llm.mixing import Mixture
-from shelfcast.llm.near_dedup import near_duplicates
+from shelfcast.llm.near_dedup import verdicts
 from shelfcast.llm.packing import packed
 from shelfcast.llm.quality import quality_scores
 
@@ -21,23 +21,27 @@ DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
 ORACLE_SQL = None
 
 
-def _where(docs: DataFrame, verdicts: DataFrame, kept: str) -> DataFrame:
-    """Rows whose key has a kept verdict. Rows of one key share their verdicts' best."""
-    ids = verdicts.where(kept).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*DOCUMENTS)
+def _where(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows of ``docs`` equal to one of ``kept`` (doc_id, h0, h1, ...) in key and text, with its columns."""
+    kept = kept.withColumnRenamed("doc_id", "_id").distinct()
+    marked = docs.select(*DOCUMENTS, *(m.alias(f"_{i}") for i, m in enumerate(text_marks())))
+    own, its = ("doc_id", "_0", "_1"), ("_id", "h0", "h1")
+    return marked.join(kept, same_row(*([F.col(c) for c in names] for names in (own, its))))
 
 
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a quality score of at least the accepted one."""
-    scores = quality_scores(docs, table(spark, sf_dir, "labels"))
-    return _where(docs, scores, f"score >= {queries.ACCEPTED}")
+    scores = quality_scores(docs, table(spark, sf_dir, "labels"), marked=True)
+    return _where(docs, scores.where(f"score >= {queries.ACCEPTED}").select("doc_id", "h0", "h1")).select(*DOCUMENTS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the one with the smallest id."""
-    kept = _where(docs, near_duplicates(docs), "kept")
-    known = kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return known.union(kept.where(F.col("doc_id").isNull()))
+    """One document of each near-duplicate group, the one with the smallest id. Texts that share an id, or have
+    none, go by their own groups. A row without words goes only if it repeats one in id and text."""
+    kept = _where(docs, verdicts(docs).where("chosen").select("doc_id", "h0", "h1", "n"))
+    alone = F.col("doc_id").isNull() & (F.col("n") == 0)
+    once = kept.where(~alone).dropDuplicates(["doc_id", "h0", "h1"])
+    return once.union(kept.where(alone)).select(*DOCUMENTS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,6 +39,17 @@ def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def text_marks(text: str = "text") -> list[Column]:
+    """128 bits of a whole text, as ``h0`` and ``h1``; with the key they name a row and its repetitions."""
+    body = text_or_empty(text)
+    return [F.xxhash64(body).alias("h0"), F.xxhash64(F.lit(1), body).alias("h1")]
+
+
+def same_row(left: Sequence[Column], right: Sequence[Column]) -> Column:
+    """Key (which may be null) and text marks are the same."""
+    return left[0].eqNullSafe(right[0]) & (left[1] == right[1]) & (left[2] == right[2])
+
+
 def running(df: DataFrame, order: Sequence[Column | str], total: str | None = None) -> DataFrame:
     """``df`` with ``row_number`` from 0 over all rows in ``order`` and, if ``total`` names a
     column, ``before``: its sum over all earlier rows.

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.components import components
-from shelfcast.llm.frames import Staged, spread
+from shelfcast.llm.frames import Staged, same_row, spread, text_marks
 from shelfcast.llm.tokens import arrow_texts
 
 WORDS = 5
@@ -32,6 +32,7 @@ SKETCHED = 82
 BLOCK_SHINGLES = 1 << 18  # set elements of a block of documents that are compared with another
 HOME_STEPS = 3
 SLICE = 1 << 16
+FIRST = ("doc_id", "h0", "h1")
 _MULTIPLIERS = np.random.default_rng(5).integers(1 << 62, 1 << 63, WORDS, dtype=np.uint64) * 2 + 1
 _TURNS = np.random.default_rng(6).integers(1 << 62, 1 << 63, ROWS, dtype=np.uint64) * 2 + 1
 
@@ -91,7 +92,7 @@ def _slices(texts: list[str]) -> Iterator[list[np.ndarray]]:
 
 
 def signed(documents: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc_id, n, f0, f1, bands, sketch): set size, 128-bit fingerprint of the set, band keys and two
+    """(doc_id, h0, h1, n, f0, f1, bands, sketch): marks of the text, set size, 128-bit fingerprint of the set, band keys and two
     bits of every coordinate."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,25 +114,28 @@ def signed(documents: DataFrame, key: str, text: str) -> DataFrame:
                 ).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(at, len(sets)),
+                        *(batch.column(c).slice(at, len(sets)) for c in (0, 2, 3)),
                         pa.array(n),
                         pa.array(prints[:, 0].copy()),
                         pa.array(prints[:, 1].copy()),
                         pa.array(list(bands.view(np.int64)), pa.list_(pa.int64())),
                         pa.array(list(sketch.view(np.int64)), pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n", "f0", "f1", "bands", "sketch"],
+                    ["doc_id", "h0", "h1", "n", "f0", "f1", "bands", "sketch"],
                 )
                 at += len(sets)
 
-    rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = documents.select(
+        F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), *text_marks(text)
+    )
     return rows.mapInArrow(
-        sign, "doc_id long, n long, f0 long, f1 long, bands array<long>, sketch array<long>"
+        sign,
+        "doc_id long, h0 long, h1 long, n long, f0 long, f1 long, bands array<long>, sketch array<long>",
     )
 
 
 def _sets(documents: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
-    """(id, shingles) of the wanted documents, from their whole texts."""
+    """(id, shingles) of the wanted classes (id, doc_id, h0, h1), from the whole texts of such rows."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,8 +144,12 @@ def _sets(documents: DataFrame, key: str, text: str, wanted: DataFrame) -> DataF
                 [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"]
             )
 
-    rows = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    return rows.join(wanted, "id", "left_semi").mapInArrow(cut, "id long, shingles array<long>")
+    rows = documents.select(
+        F.col(key).cast("long").alias("_key"), F.col(text).alias("text"),
+        *(mark.alias(f"_{i}") for i, mark in enumerate(text_marks(text))),
+    )
+    same = same_row([F.col(c) for c in ("_key", "_0", "_1")], [F.col(c) for c in ("doc_id", "h0", "h1")])
+    return rows.join(wanted, same).select("id", "text").mapInArrow(cut, "id long, shingles array<long>")
 
 
 def can_be_similar(a: str, b: str) -> Column:
@@ -161,12 +169,13 @@ class _Search:
     def __init__(self, documents: DataFrame, key: str, text: str):
         self.documents, self.key, self.text = documents, key, text
         self.all = Staged(signed(documents, key, text), "signed")
-        pick = F.min_by(F.struct("n", "bands", "sketch"), "doc_id")
+        # A class is named by a number of its own, and its texts are read from its first row.
+        pick = F.min_by(F.struct(*FIRST, "n", "bands", "sketch"), F.struct(F.isnull("doc_id"), *FIRST))
         self.classes = Staged(
-            self.all.rows.where("n > 0 and doc_id is not null")
+            self.all.rows.where("n > 0")
             .groupBy("f0", "f1")
-            .agg(F.min("doc_id").alias("id"), pick.alias("own"))
-            .select("f0", "f1", "id", "own.*"),
+            .agg(pick.alias("own"))
+            .select("f0", "f1", "own.*", F.monotonically_increasing_id().alias("id")),
             "classes",
         )
         self.short = self.classes.rows.select("id", "n", "sketch")
@@ -208,7 +217,8 @@ class _Search:
             before.drop()
 
     def sets(self, ids: DataFrame) -> Staged:
-        found = _sets(self.documents, self.key, self.text, ids)
+        wanted = self.classes.rows.select("id", *FIRST).join(ids.distinct(), "id")
+        found = _sets(self.documents, self.key, self.text, wanted)
         return Staged(found.groupBy("id").agg(F.first("shingles").alias("shingles")), "sets")
 
     def confirm(self, pairs: DataFrame) -> None:
@@ -343,16 +353,9 @@ def _forest(rows: pa.Table) -> tuple[list[int], list[int]]:
     return u, v
 
 
-def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, component_id, kept) of every row.
-
-    Links join documents whose five-word shingle sets have a Jaccard similarity of 0.75 or more;
-    ``component_id`` is the smallest key reachable over links, ``kept`` whether it is the row's own.
-    Texts without words (null, empty, white space) have no shingles and are linked with nothing;
-    texts of one to four words are one shingle. Repeated rows and equal texts are one class and get the
-    same component. A row with a null key takes its class's component if the class has any key, else
-    it is kept with a null component. An empty table gives no rows; other columns are not read.
-    """
+def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, h0, h1, n, component_id, kept, chosen) of every row; ``chosen`` marks one key and text of each
+    component and all rows without words. Rows equal in key and text have equal verdicts."""
     search = _Search(documents, key, text)
     buckets = search.buckets()
     opened = search.open_buckets(buckets.rows)
@@ -362,14 +365,38 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     buckets.drop()
     search.compare_blocks(opened.rows)
     opened.drop()
-    named = search.classes.rows.select("f0", "f1", "id").join(
+    labelled = search.classes.rows.select("f0", "f1", "id", *FIRST).join(
         search.stars.rows.select(F.col("u").alias("id"), "v"), "id", "left"
-    ).select("f0", "f1", F.coalesce("v", "id").alias("component_id"))
-    rows = search.all.rows.select("doc_id", "n", "f0", "f1").join(named, ["f0", "f1"], "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    )
+    labelled = Staged(labelled.withColumn("label", F.coalesce("v", "id")), "labels").rows
+    first = F.min_by(F.struct(*FIRST), F.struct(F.isnull("doc_id"), *FIRST))
+    least = labelled.groupBy("label").agg(first.alias("least"))
+    named = labelled.join(least, "label").select("f0", "f1", F.isnull("doc_id").alias("keyless"), "least")
+    rows = search.all.rows.select(*FIRST, "n", "f0", "f1").join(named, ["f0", "f1"], "left")
+    empty = F.col("n") == 0
+    chosen = same_row([F.col(c) for c in FIRST], [F.col(f"least.{c}") for c in FIRST])
+    by_key = F.col("doc_id").eqNullSafe(F.col("least.doc_id"))
     return rows.select(
-        F.col("doc_id").alias(key),
-        F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
+        *FIRST,
+        "n",
+        F.when(empty, F.col("doc_id")).when(~F.col("keyless"), F.col("least.doc_id")).alias("component_id"),
+        F.when(empty, True).when(F.isnull("least.doc_id"), chosen).otherwise(by_key).alias("kept"),
+        F.when(empty, True).otherwise(chosen).alias("chosen"),
+    )
+
+
+def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_shingles, component_id, kept) of every row.
+
+    Links join documents whose five-word shingle sets have a Jaccard similarity of 0.75 or more;
+    ``component_id`` is the smallest key reachable over links, ``kept`` whether it is the row's own.
+    Texts without words (null, empty, white space) have no shingles and are linked with nothing;
+    texts of one to four words are one shingle. Repeated rows and equal texts are one class and get the
+    same component. Links are between classes, so the texts of one key and those of null keys are
+    linked each for itself. A row with a null key shows its component only if its class has any key; it is
+    kept if no key is reachable and its text is the component's first, by hash. An empty
+    table gives no rows; other columns are not read.
+    """
+    return verdicts(documents, key, text).select(
+        F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), "component_id", "kept"
     )

@@ -9,7 +9,7 @@ fitted on the other folds, and their isotonic regression on the labels maps scor
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.frames import Staged
+from shelfcast.llm.frames import Staged, text_marks
 from shelfcast.llm.tokens import arrow_texts
 
 STATISTICS = (
@@ -73,16 +73,19 @@ def statistics(text: str) -> list[float]:
     ]
 
 
-def document_statistics(documents: DataFrame, key: str, text: str) -> DataFrame:
+def document_statistics(documents: DataFrame, key: str, text: str, marks: Sequence[Column] = ()) -> DataFrame:
+    named = [f"h{i}" for i in range(len(marks))]
+
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [statistics(t) for t in arrow_texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(rows, pa.list_(pa.float64()))], ["doc_id", "stats"]
+                [batch.column(0), pa.array(rows, pa.list_(pa.float64())), *batch.columns[2:]],
+                ["doc_id", "stats", *named],
             )
 
-    rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(measure, "doc_id long, stats array<double>")
+    rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), *marks)
+    return rows.mapInArrow(measure, ", ".join(["doc_id long, stats array<double>", *(f"{c} long" for c in named)]))
 
 
 def remainder(key: str) -> Column:
@@ -223,8 +226,9 @@ def quality_scores(
     text: str = "text",
     label: str = "quality",
     max_labelled: int = MAX_LABELLED,
+    marked: bool = False,
 ) -> DataFrame:
-    """(key, held_out, score) of every row of ``documents``.
+    """(key, held_out, score) of every row of ``documents``; ``marked`` adds its text marks h0 and h1.
 
     Labels are learned only from rows whose crc32(key as text) mod 5 is not 0; ``held_out`` marks
     the others, and rows with a null key. Beyond ``max_labelled`` learned rows the fit takes a hashed
@@ -232,8 +236,10 @@ def quality_scores(
     out. A null text counts as empty and is scored like any other. Without labels all scores are
     0.5. Repeated rows are scored each; other columns are not read.
     """
-    measured = Staged(document_statistics(documents, key, text), "statistics")
-    marks = (
+    marks = text_marks(text) if marked else []
+    measured = Staged(document_statistics(documents, key, text, marks), "statistics")
+    carried = [c for c in ("h0", "h1") if marked]
+    known_labels = (
         labels.select(F.col(key).cast("long").alias("doc_id"), F.col(label).cast("double").alias("y"))
         .where("doc_id is not null and y is not null")
         .groupBy("doc_id")
@@ -241,7 +247,7 @@ def quality_scores(
         .withColumn("fold", remainder("doc_id").cast("int"))
         .where("fold > 0")
     )
-    known = Staged(measured.rows.join(marks, "doc_id").select("doc_id", "stats", "y", "fold"), "labelled")
+    known = Staged(measured.rows.join(known_labels, "doc_id").select("doc_id", "stats", "y", "fold"), "labelled")
     n = known.rows.count()
     sample = known.rows
     if n > max_labelled:
@@ -254,10 +260,12 @@ def quality_scores(
         for batch in batches:
             scores = model.score(_matrix(batch.column("stats")))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"]
+                [batch.column("doc_id"), pa.array(scores), *(batch.column(c) for c in carried)],
+                ["doc_id", "score", *carried],
             )
 
-    scored = measured.rows.mapInArrow(score, "doc_id long, score double")
+    kind = ", ".join(["doc_id long, score double", *(f"{c} long" for c in carried)])
+    scored = measured.rows.mapInArrow(score, kind)
     return scored.select(
-        F.col("doc_id").alias(key), (remainder("doc_id") == 0).alias("held_out"), "score"
+        F.col("doc_id").alias(key), (remainder("doc_id") == 0).alias("held_out"), "score", *carried
     )
