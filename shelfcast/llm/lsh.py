@@ -152,13 +152,19 @@ def nearest(
                     continue
                 own = np.asarray(q.vector, dtype=float)
                 rough = unit[found] @ _unit(own[None])[0]
-                if len(found) > k + 1:  # one of them may be the query's own class
-                    least = np.partition(rough, -(k + 1))[-(k + 1)]
-                    found = found[rough >= least - 1e-9]
-                scores = cosines(vectors[found], own)
-                best = sorted(
-                    (-s, v) for s, i in zip(scores, found, strict=True) for v in ids[i] if v != q.query_id
-                )[:k]
+                least, seen = -np.inf, set()
+                for at in np.argsort(-rough, kind="stable"):
+                    seen.update(v for v in ids[found[at]] if v != q.query_id)
+                    if len(seen) >= k:
+                        least = rough[at]
+                        break
+                found = found[rough >= least - 1e-9]
+                scores, top = cosines(vectors[found], own), {}
+                for s, i in zip(scores, found, strict=True):
+                    for v in ids[i]:
+                        if v != q.query_id:
+                            top[v] = max(s, top.get(v, s))
+                best = sorted((-s, v) for v, s in top.items())[:k]
                 out.extend((q.query, q.query_id, v, -s) for s, v in best)
         return pd.DataFrame(out, columns=["query", "query_id", "vec_id", "score"])
 

@@ -115,7 +115,8 @@ class Tree:
         def reach(score: float) -> float:
             return max(0.0, square - 2 * score) ** 0.5 + slack
 
-        best: list[tuple[int, int]] = []  # a heap of (score, -id)
+        best: dict[int, int] = {}  # the best score of each of the k best ids
+        worst = -np.inf
         limit = reach(floor) if floor > -np.inf else np.inf
         far = float(_to(self.center[:1], point)[0])
         queue = [(max(0.0, far - self.radius[0]), 0, far)]
@@ -137,20 +138,18 @@ class Tree:
             near = np.flatnonzero(np.abs(far - stored) <= limit)
             scores = self.vectors[node][near] @ query
             if len(best) == k:
-                ok = scores >= best[0][0]
+                ok = scores >= worst
                 near, scores = near[ok], scores[ok]
             for i, score in zip(near.tolist(), scores.tolist(), strict=True):
                 for v in self.ids[node][i]:
-                    if v == query_id:
-                        continue
-                    entry = (int(score), -int(v))
-                    if len(best) < k:
-                        heapq.heappush(best, entry)
-                    elif entry > best[0]:
-                        heapq.heapreplace(best, entry)
+                    if v != query_id and score > best.get(v, -np.inf):
+                        best[v] = int(score)
+            if len(best) > k:
+                best = dict(heapq.nlargest(k, best.items(), key=lambda e: (e[1], -e[0])))
             if len(best) == k:
-                limit = min(limit, reach(best[0][0]))
-        return [(score, -v) for score, v in best]
+                worst = min(best.values())
+                limit = min(limit, reach(worst))
+        return [(score, v) for v, score in best.items()]
 
 
 def whole_numbers(rows: DataFrame, factor: int = 256) -> DataFrame:
@@ -284,8 +283,9 @@ def top_products(
 
 
 def ranked_floor(found: DataFrame, k: int) -> DataFrame:
-    """(query, floor): the k-th best score of queries that have k results."""
+    """(query, floor): the k-th best score, one for each id, of queries that have k results."""
+    once = found.groupBy("query", "vec_id").agg(F.max("score").alias("score"))
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score")))
-    best = found.select("query", "score", place.alias("_place")).where(F.col("_place") <= k)
+    best = once.select("query", "score", place.alias("_place")).where(F.col("_place") <= k)
     kth = best.groupBy("query").agg(F.min("score").cast("double").alias("floor"), F.count(F.lit(1)).alias("_n"))
     return kth.where(F.col("_n") == k).select("query", "floor")
