@@ -1,4 +1,4 @@
-"""Small panels with fixed seeds."""
+"""Small panels with fixed seeds, and collected rows to compare."""
 
 from datetime import date, timedelta
 
@@ -63,3 +63,9 @@ def design(n_weeks=80, stores=(1, 2, 3), item=7, seed=3):
                 }
             )
     return pd.DataFrame(rows)
+
+
+def rows_of(df, *columns):
+    """Collected tuples of the given (or all) columns, sorted."""
+    picked = df.select(*columns) if columns else df
+    return sorted((tuple(r) for r in picked.collect()), key=repr)

@@ -1,8 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import rows_of
-from frames import week
+from frames import rows_of, week
 
 from shelfcast import schemas
 from shelfcast.functions import arma

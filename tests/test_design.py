@@ -3,8 +3,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import rows_of
-from frames import panel, week
+from frames import panel, rows_of, week
 from pyspark.sql import functions as F
 
 from shelfcast.functions.quantiles import quantiles

@@ -3,8 +3,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import rows_of
-from frames import design as design_frame
+from frames import design as design_frame, rows_of
 
 from shelfcast import schemas
 from shelfcast.functions.labels import elasticity_bucket

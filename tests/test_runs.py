@@ -1,7 +1,7 @@
 import math
 
 import pytest
-from conftest import rows_of
+from frames import rows_of
 
 from shelfcast import schemas
 from shelfcast.operators import run_selection as rs

@@ -1,8 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import rows_of
-from frames import week
+from frames import rows_of, week
 from pyspark.sql import functions as F
 
 from shelfcast.constants import ARIMA_WEIGHT, TREE_WEIGHT

@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import rows_of
+from frames import rows_of
 from pyspark.sql import functions as F
 
 from shelfcast import schemas

@@ -1,7 +1,6 @@
 import numpy as np
 import pytest
-from conftest import rows_of
-from frames import panel, week
+from frames import panel, rows_of, week
 
 from shelfcast import schemas
 from shelfcast.operators import features, holdout, trees
