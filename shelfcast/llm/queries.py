@@ -85,6 +85,12 @@ def op10_vector_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packed(table(spark, folder, "documents"), tokenizer_path(), SEQUENCE)
 
 
+def op11_shallot_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfcast.llm.shallot import clustered
+
+    return clustered(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_feistel_sharding": op1_feistel_sharding,
     "op2_fourier_quality": op2_fourier_quality,
@@ -96,8 +102,47 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ans_token_files": op8_ans_token_files,
     "op9_multiprobe_lsh": op9_multiprobe_lsh,
     "op10_vector_best_fit": op10_vector_best_fit,
+    "op11_shallot_clusters": op11_shallot_clusters,
 }
+
+
+def _clusters_sql(rounds: int = 3) -> str:
+    """Assignments and floored means, one pair of CTEs for each round."""
+    nearest = """a{n} AS (
+  SELECT p.row, arg_min(c.cluster, [d, c.cluster]) AS cluster, min(d) AS distance FROM (
+    SELECT v.row, c.cluster, list_sum(list_transform(list_zip(v.x, c.x),
+      lambda z: (z[1] - z[2])::HUGEINT * (z[1] - z[2])))::HUGEINT AS d FROM v CROSS JOIN c{n} c
+  ) p JOIN c{n} c USING (cluster) GROUP BY p.row)"""
+    moved = """s{n} AS (
+  SELECT cluster, pos, sum(x)::HUGEINT AS total, count(*) AS n FROM (
+    SELECT cluster, unnest(x) AS x, unnest(range(len(x))) AS pos FROM v JOIN a{n} USING (row))
+  GROUP BY ALL
+), c{m} AS (
+  SELECT c.cluster, coalesce(s.x, c.x) AS x FROM c{n} c LEFT JOIN (
+    SELECT cluster, list(((total - ((total % n) + n) % n) // n)::BIGINT ORDER BY pos) AS x FROM s{n} GROUP BY cluster
+  ) s USING (cluster))"""
+    steps = []
+    for n in range(rounds):
+        steps += [nearest.format(n=n), moved.format(n=n, m=n + 1)]
+    return f"""
+WITH v AS (
+  SELECT row_number() OVER () AS row, vec_id,
+    list_transform(embedding, lambda e: floor(64 * e::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), x) - 1 AS cluster, x
+  FROM v WHERE vec_id IS NOT NULL QUALIFY cluster < 16
+), {", ".join(steps)}, {nearest.format(n=rounds)}
+SELECT v.vec_id, a.cluster::INTEGER AS cluster, a.distance::BIGINT AS distance,
+  (sum(a.distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+  (sum(a.distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN v USING (row) JOIN c{rounds} c ON a.cluster = c.cluster
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_shallot_clusters": _clusters_sql(),
     "op7_mtree_search": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
