@@ -91,6 +91,12 @@ def op11_shallot_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return clustered(table(spark, folder, "embeddings"))
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfcast.llm.alignment import aligned
+
+    return aligned(table(spark, folder, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_feistel_sharding": op1_feistel_sharding,
     "op2_fourier_quality": op2_fourier_quality,
@@ -103,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_multiprobe_lsh": op9_multiprobe_lsh,
     "op10_vector_best_fit": op10_vector_best_fit,
     "op11_shallot_clusters": op11_shallot_clusters,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 
