@@ -97,6 +97,12 @@ def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return aligned(table(spark, folder, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op13_t_occurrence_join(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfcast.llm.t_occurrence import similar_groups
+
+    return similar_groups(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_feistel_sharding": op1_feistel_sharding,
     "op2_fourier_quality": op2_fourier_quality,
@@ -110,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_vector_best_fit": op10_vector_best_fit,
     "op11_shallot_clusters": op11_shallot_clusters,
     "op12_token_alignment": op12_token_alignment,
+    "op13_t_occurrence_join": op13_t_occurrence_join,
 }
 
 
@@ -148,42 +155,48 @@ FROM a{rounds} a JOIN v USING (row) JOIN c{rounds} c ON a.cluster = c.cluster
 """
 
 
-ORACLES: dict[str, str] = {
-    "op11_shallot_clusters": _clusters_sql(),
-    "op7_mtree_search": """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
-  WHERE embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-), pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
-), placed AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
-  FROM pairs
-)
-SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 5
-""",
-    "op5_circulant_minhash": r"""
+def _groups_sql(words: int, percent: int, more: str = "") -> str:
+    """Components of all pairs of shingle sets at the similarity."""
+    return rf"""
 WITH RECURSIVE cut AS (
   SELECT doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x20\x09-\x0D]+') AS words FROM documents
 ), sets AS (
   SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN []
-    WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
-    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS s
+    WHEN len(words) < {words} THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - {words} + 2), lambda i: array_to_string(words[i:i + {words} - 1], ' ')) END) AS s
   FROM cut
 ), flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
 common AS (
   SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS c
   FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
-), links AS (SELECT a, b FROM common WHERE 100 * c >= 75 * (na + nb - c)),
+), links AS (SELECT a, b FROM common WHERE 100 * c >= {percent} * (na + nb - c)),
 reach AS (
   SELECT doc_id, doc_id AS r FROM sets
   UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.r = links.a
 ), least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
-SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept
+SELECT doc_id, len(s) AS n_shingles, component_id{more}
 FROM sets JOIN least USING (doc_id)
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op11_shallot_clusters": _clusters_sql(),
+    "op7_mtree_search": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), placed AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 5
 """,
+    "op5_circulant_minhash": _groups_sql(5, 75, ", doc_id = component_id AS kept"),
+    "op13_t_occurrence_join": _groups_sql(3, 90),
 }
