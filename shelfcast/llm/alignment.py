@@ -19,6 +19,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import accumulate, count
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from shelfcast.llm.token_counts import byte_letters
 from shelfcast.llm.tokens import arrow_texts, load
 
 BLOCK_WORDS = 200_000  # a block of documents is closed beyond; a longer document is a block of its own
-REMEMBERED = 150_000  # words a worker keeps in each of two generations
+REMEMBERED = 250_000  # words a worker keeps in each of two generations
 LONG_WORD = 80  # longer ones are not remembered
 TOGETHER = 512
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -44,27 +45,24 @@ BLOCKS = (
 COUNTED = ("n_a", "n_b", "n_groups", "n_links")
 
 
-def groups(a_ends: list[int], b_ends: list[int]) -> Iterator[tuple[slice, slice]]:
-    """Slices of both token lists between the byte places where tokens of both end."""
-    a_index = {end: i for i, end in enumerate(a_ends)}
-    b_index = {end: i for i, end in enumerate(b_ends)}
+def groups(a_ends: list[int], b_ends: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
+    """(end, a_from, a_to, b_from, b_to) between the byte places where tokens of both end."""
+    a_index = dict(zip(a_ends, count(1)))
+    b_index = dict(zip(b_ends, count(1)))
     a_from = b_from = 0
     for end in sorted(a_index.keys() & b_index.keys()):
-        a_to, b_to = a_index[end] + 1, b_index[end] + 1
-        yield slice(a_from, a_to), slice(b_from, b_to)
+        a_to, b_to = a_index[end], b_index[end]
+        yield end, a_from, a_to, b_from, b_to
         a_from, b_from = a_to, b_to
 
 
-def links(a_ends: list[int], b_ends: list[int], a_own: slice, b_own: slice) -> Iterator[tuple[int, int]]:
-    """Token indices of a group whose byte ranges overlap."""
-    if a_own.stop - a_own.start == 1 or b_own.stop - b_own.start == 1:
-        for i in range(a_own.start, a_own.stop):
-            for j in range(b_own.start, b_own.stop):
-                yield i, j
-        return
-    # Inside a group no two ends are equal but the last, so one side goes on at a time.
-    i, j = a_own.start, b_own.start
-    while i < a_own.stop and j < b_own.stop:
+def links(
+    a_ends: list[int], b_ends: list[int], a_from: int, a_to: int, b_from: int, b_to: int
+) -> Iterator[tuple[int, int]]:
+    """Token indices of a group whose byte ranges overlap. Inside a group no two ends are equal but the
+    last, so one side goes on at a time."""
+    i, j = a_from, b_from
+    while i < a_to and j < b_to:
         yield i, j
         if a_ends[i] < b_ends[j]:
             i += 1
@@ -72,24 +70,10 @@ def links(a_ends: list[int], b_ends: list[int], a_own: slice, b_own: slice) -> I
             j += 1
 
 
-class Word:
-    """Alignment of a text without a safe place inside: what documents add up."""
-
-    __slots__ = ("sizes", "told", "pairs", "same")
-
-    def __init__(self, text: bytes, a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]):
-        a_ends, b_ends = (np.cumsum([len(x) for x in own]).tolist() for own in (a_bytes, b_bytes))
-        self.same = b"".join(a_bytes) == text == b"".join(b_bytes)
-        self.sizes, self.told, self.pairs = (0, 0, 0, 0), "", np.empty(0, np.int64)
-        if not self.same:
-            return
-        told, found = [], []
-        for a_own, b_own in groups(a_ends, b_ends):
-            told.append(",".join(map(str, a[a_own])) + "|" + ",".join(map(str, b[b_own])))
-            found += [a[i] << _B_BITS | b[j] for i, j in links(a_ends, b_ends, a_own, b_own)]
-        self.sizes = (len(a), len(b), len(told), len(found))
-        self.told = ";".join(told)
-        self.pairs = np.array(found, np.int64)
+#: What a word adds to its document, plain so that the collector need not look at it: n_a, n_b, n_groups and n_links, the
+#: ids by group, and the linked pairs. All zeros where a tokenizer changes the text.
+Word = tuple[bytes, str, bytes]
+CHANGED: Word = (bytes(32), "", b"")
 
 
 class Aligner:
@@ -125,17 +109,53 @@ class Aligner:
         if not kept or any(_SPANS.search(raw.decode(errors="replace")) for raw in own):
             raise ValueError("words of these files cannot be aligned one by one")
 
+    def _run(self, text: str, stops: list[int]) -> list[Word] | None:
+        """The words of a space and a text, which end at the byte places ``stops``; None if a tokenizer changes it."""
+        a = self.a.encode(text, add_special_tokens=False).ids
+        b = self.b.encode(text[1:])
+        raw = text.encode()
+        a_bytes, b_bytes = list(map(self.a_bytes.__getitem__, a)), list(map(self.b_bytes.__getitem__, b))
+        if b"".join(a_bytes) != raw or b"".join(b_bytes) != raw:
+            return None
+        a_ends, b_ends = list(accumulate(map(len, a_bytes))), list(accumulate(map(len, b_bytes)))
+        told, found, lines, marks = [], [], [], []
+        at = iter(stops)
+        after = next(at)
+        told_before = 0
+        for end, a_from, a_to, b_from, b_to in groups(a_ends, b_ends):
+            if a_to - a_from == 1 == b_to - b_from:
+                x, y = a[a_from], b[b_from]
+                told.append(f"{x}|{y}")
+                found.append(x << _B_BITS | y)
+            else:
+                told.append(",".join(map(str, a[a_from:a_to])) + "|" + ",".join(map(str, b[b_from:b_to])))
+                found += [a[i] << _B_BITS | b[j] for i, j in links(a_ends, b_ends, a_from, a_to, b_from, b_to)]
+            if end == after:
+                lines.append(";".join(told[told_before:]))
+                told_before = len(told)
+                marks += (a_to, b_to, told_before, len(found))
+                after = next(at, None)
+        ends = np.array(marks, np.int64).reshape(-1, 4)
+        sizes = np.diff(ends, axis=0, prepend=0).tobytes()
+        pairs, cuts = np.array(found, np.int64).tobytes(), [0, *(8 * ends[:, 3]).tolist()]
+        return [
+            (sizes[32 * i : 32 * i + 32], line, pairs[cuts[i] : cuts[i + 1]]) for i, line in enumerate(lines)
+        ]
+
     def learn(self, words: list[str]) -> list[Word]:
-        """The words' alignments, in their order."""
-        out = []
-        for low in range(0, len(words), TOGETHER):
-            some = words[low : low + TOGETHER]
-            texts = [" " + word for word in some]
-            first = self.a.encode_batch_fast(texts, add_special_tokens=False)
-            second = self.b.encode(some, num_threads=1)
-            for text, a, b in zip(texts, first, second, strict=True):
-                a_bytes = [self.a_bytes[i] for i in a.ids]
-                out.append(Word(text.encode(), a.ids, b, a_bytes, [self.b_bytes[i] for i in b]))
+        """The words' alignments, in their order: many in one text where their ends are safe places."""
+        out: list[Word | None] = [None] * len(words)
+        joined = [i for i, w in enumerate(words) if not (w[0].isspace() or w[-1].isspace() or "▁" in w)]
+        for low in range(0, len(joined), TOGETHER):
+            some = joined[low : low + TOGETHER]
+            own = [words[i] for i in some]
+            stops = list(accumulate(len(word.encode()) + 1 for word in own))
+            for i, word in zip(some, self._run(" " + " ".join(own), stops) or ()):
+                out[i] = word
+        for i, word in enumerate(words):
+            if out[i] is None:
+                alone = self._run(" " + word, [len(word.encode()) + 1])
+                out[i] = alone[0] if alone else CHANGED
         return out
 
     def words(self, texts: set[str]) -> dict[str, Word]:
@@ -174,28 +194,32 @@ def _block(own: Aligner, keys: list[int | None], parts: list[list[str]]) -> dict
     """One row of BLOCKS but its number. ``at`` holds, for each document in turn up to ``ends``, places in
     ``pairs``, and ``times`` how often the document has that pair linked."""
     known = own.words({word for words in parts for word in words})
-    place = {text: i for i, text in enumerate(known)}
+    place = dict(zip(known, count()))
     words = list(known.values())
-    lengths = np.array([len(w.pairs) for w in words], np.int64)
+    sizes = np.frombuffer(b"".join([w[0] for w in words]), np.int64).reshape(-1, 4)
+    lengths = sizes[:, 3]
     starts = np.cumsum(lengths) - lengths
-    pairs, flat = np.unique(np.concatenate([*(w.pairs for w in words), np.empty(0, np.int64)]), return_inverse=True)
-    sizes = np.array([w.sizes for w in words], np.int64).reshape(-1, 4)
-    sums, told, at, times, ends = [], [], [], [], []
+    linked = np.frombuffer(b"".join([w[2] for w in words]), np.int64)
+    pairs, flat = np.unique(linked, return_inverse=True)
+    same = lengths > 0  # a word has tokens, and each token is linked
+    lines = [w[1] for w in words]
+    sums, told, at, times, ends = [], [], [], [], [0]
     for text in parts:
-        whole = [known[word] for word in text]
-        if not whole or not all(w.same for w in whole):
+        listed = list(map(place.__getitem__, text))
+        rows = np.array(listed, np.int64)
+        ends.append(ends[-1])
+        if not listed or not same[rows].all():
             sums.append(np.zeros(4, np.int64))
             told.append("")
-        else:
-            rows = np.array([place[word] for word in text])
-            sums.append(sizes[rows].sum(axis=0))
-            told.append(hashlib.sha256(";".join(w.told for w in whole).encode()).hexdigest())
-            n = lengths[rows]
-            here = flat[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[rows], n)]
-            distinct, often = np.unique(here, return_counts=True)
-            at.append(distinct)
-            times.append(often)
-        ends.append(sum(map(len, at[-1:])) + (ends[-1] if ends else 0) if told[-1] else (ends[-1] if ends else 0))
+            continue
+        sums.append(sizes[rows].sum(axis=0))
+        told.append(hashlib.sha256(";".join(map(lines.__getitem__, listed)).encode()).hexdigest())
+        n = lengths[rows]
+        here = flat[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[rows], n)]
+        distinct, often = np.unique(here, return_counts=True)
+        at.append(distinct)
+        times.append(often)
+        ends[-1] += len(distinct)
     at = np.concatenate([*at, np.empty(0, np.int64)]).astype(np.int32)
     times = np.concatenate([*times, np.empty(0, np.int64)]).astype(np.int32)
     documents = np.bincount(at, minlength=len(pairs)).astype(np.int64)
@@ -204,7 +228,7 @@ def _block(own: Aligner, keys: list[int | None], parts: list[list[str]]) -> dict
     columns = dict(zip(COUNTED, np.array(sums, np.int64).reshape(-1, 4).T, strict=True))
     return {
         "keys": keys, **columns, "groups_sha256": told, "pairs": pairs[used], "documents": documents[used],
-        "ends": ends, "at": renamed[at], "times": times,
+        "ends": ends[1:], "at": renamed[at], "times": times,
     }
 
 

@@ -121,5 +121,5 @@ def test_given_documents(spark, libraries):
 def test_groups_and_links_of_ends():
     a, b = [2, 5, 6, 9], [1, 5, 7, 9]
     found = list(groups(a, b))
-    assert found == [(slice(0, 2), slice(0, 2)), (slice(2, 4), slice(2, 4))]
-    assert [p for x, y in found for p in links(a, b, x, y)] == [(0, 0), (0, 1), (1, 1), (2, 2), (3, 2), (3, 3)]
+    assert found == [(5, 0, 2, 0, 2), (9, 2, 4, 2, 4)]
+    assert [p for _, *own in found for p in links(a, b, *own)] == [(0, 0), (0, 1), (1, 1), (2, 2), (3, 2), (3, 3)]
