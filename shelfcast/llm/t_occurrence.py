@@ -4,26 +4,27 @@ A text that reaches the similarity with a query shares at least T of the query's
 lists of documents, those found in T of the query's lists are wanted. DivideSkip merges the shorter lists with a
 heap, skipping what cannot reach the count any more, and probes the L longest ones by binary search.
 
-Which documents have to meet at all is settled first, without losing a pair. All shingles are put in
-one order, rare ones first (by counters of a fixed number, over all rows). Of two linked sets the first n - ceil(0.9 n) + 1
-shingles of both have one in common, so only members of such a shingle's list meet. Equal sets are one class from the
-start. Members of a list are first compared with one other member, and confirmed links contracted to
-components; lists that then still hold several components are searched: families of members are
-cut into blocks of bounded size by length, and a task holds those members of two blocks that share a
-list. No rows are made for pairs within a list.
+Which documents have to meet at all is settled first, without losing a pair. Two linked sets differ in at most a
+nineteenth of both sizes, so of a few more parts into which a hash deals all shingles, some are
+equal in both. A part's content is its key; equal sets are one class from the start, and only classes that share a key
+meet. A member goes to the cell of the smallest class among its lists, which holds a bounded number of shingles
+and is searched whole; links found there are contracted to components. The same is done with the largest
+class, and then lists that still hold several components are searched in cells of two blocks each: families of
+members are cut into blocks by length, and a cell holds those members of two blocks that share a list. No
+rows are made for pairs within a list.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.components import components
@@ -33,11 +34,11 @@ from shelfcast.llm.tokens import arrow_texts
 WORDS = 3
 PERCENT = 90
 LEAST = 9  # a smaller set reaches 90 % with no other set
-COUNTERS = 18  # bits of a shingle that choose its counter
-PARITY_WORDS = 8  # 64 bits each
+THIN = 2  # a part with fewer shingles is no key of its own, unless too many are
 BLOCK_SHINGLES = 1 << 18  # set elements of a block
 MU = 0.0085  # cost of a probe against a merged entry: how many lists are probed
 HOME_STEPS = 2
+FEW = 8  # documents that a query is searched in before the others of its cell
 FIRST = ("doc_id", "h0", "h1")
 _SEEDS = np.random.default_rng(13).integers(1 << 62, 1 << 63, WORDS, dtype=np.uint64) * 2 + 1
 
@@ -62,54 +63,49 @@ def shingles(text: str) -> np.ndarray:
     return np.unique(_scrambled(total))
 
 
-def needed(n: np.ndarray | int):
-    """Shingles of a set of ``n`` that every set similar to it holds."""
-    return -(-n * PERCENT // 100)
-
-
-def _counter(values: np.ndarray) -> np.ndarray:
-    return (values >> np.uint64(64 - COUNTERS)).astype(np.int64)
+def _edges(most: int) -> list[int]:
+    """Sizes at which the classes of size begin; the linked sets of a size are in its class and the two beside it."""
+    out = [LEAST]
+    while out[-1] <= most:
+        out.append(-(-out[-1] * 100 // PERCENT))
+    return [*out, -(-out[-1] * 100 // PERCENT)]
 
 
-def levels(documents: DataFrame, text: str) -> np.ndarray:
-    """How frequent the shingles of each counter are over all rows, as a power of two."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << COUNTERS, np.int64)
-        for batch in batches:
-            for body in arrow_texts(batch.column(0)):
-                np.add.at(total, _counter(shingles(body)), 1)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["counter", "n"])
+def needed(n: int) -> int:
+    """Shingles of a set of ``n`` that every set similar to it holds."""
+    return -(-n * PERCENT // 100)
 
-    counted = documents.select(F.col(text).alias("text")).mapInArrow(count, "counter long, n long")
-    by_level = counted.groupBy("counter").agg(F.ceil(F.log2(F.sum("n"))).cast("int").alias("level"))
-    out = np.zeros(1 << COUNTERS, np.uint8)
-    found = by_level.toPandas()  # one row per counter at most
-    out[found["counter"].to_numpy(np.int64)] = found["level"].to_numpy(np.uint8)
-    return out
 
+def signatures(values: np.ndarray) -> np.ndarray:
+    """Keys of a set. Linked sets of different content share one.
 
-def prefix(values: np.ndarray, level: np.ndarray) -> np.ndarray:
-    """The rarest shingles of a set, of which every set similar to it holds one among its own."""
+    A pair's keys belong to the size class of its larger set, so a set has those of its own class and of
+    the next. With d shingles at most in only one of the two sets, d + 1 + s parts have 1 + s equal ones. A
+    set with up to s thin parts leaves them out, as an equal part that is not thin remains; others give all.
+    """
     n = len(values)
     if n < LEAST:
         return values[:0]
-    order = np.lexsort((values, level[_counter(values)]))
-    return values[order[: n - needed(n) + 1]]
-
-
-def parity(values: np.ndarray) -> np.ndarray:
-    """A bit for every place, set if an odd number of shingles fall on it. The bits in which two sets
-    differ are at most the shingles in which they do."""
-    bits = 64 * PARITY_WORDS
-    place = (values % np.uint64(bits)).astype(np.int64)
-    odd = np.bincount(place, minlength=bits).astype(np.uint8) & 1
-    return np.packbits(odd).view(np.int64)
-
-
-def described(documents: DataFrame, key: str, text: str, level: np.ndarray) -> DataFrame:
-    """(doc_id, h0, h1, n, f0, f1, parity, prefix): marks of the text, size and 128-bit fingerprint of its set."""
+    edges = _edges(n)
+    own = bisect_right(edges, n) - 1
+    out = []
+    for grade in (own, own + 1):
+        most = (2 * (edges[grade + 1] - 1) * (100 - PERCENT)) // (100 + PERCENT)
+        spare = (most > 3) + most // 64
+        parts = most + 1 + spare
+        dealt = _scrambled(values + np.full(1, 2 * grade + 1, np.uint64) * _SEEDS[0])
+        part = ((dealt >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        sums = np.zeros(parts, np.uint64)
+        np.add.at(sums, part, _scrambled(dealt))
+        number = np.arange(parts, dtype=np.uint64) + np.uint64(grade << 40)
+        keys = _scrambled(sums + number * _SEEDS[1])
+        thin = np.bincount(part, minlength=parts) < THIN
+        out.append(keys if thin.sum() > spare else keys[~thin])
+    return np.concatenate(out)
+
+
+def described(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc_id, h0, h1, n, f0, f1, keys): marks of the text, size, 128-bit fingerprint and keys of its set."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,31 +118,20 @@ def described(documents: DataFrame, key: str, text: str, level: np.ndarray) -> D
                     [
                         some.column(0), some.column(2), some.column(3), pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(prints[:, 0].copy()), pa.array(prints[:, 1].copy()),
-                        pa.array([parity(s) for s in sets], pa.list_(pa.int64())),
-                        pa.array([prefix(s, level).view(np.int64) for s in sets], pa.list_(pa.int64())),
+                        pa.array([signatures(s).view(np.int64) for s in sets], pa.list_(pa.int64())),
                     ],
-                    [*FIRST, "n", "f0", "f1", "parity", "prefix"],
+                    [*FIRST, "n", "f0", "f1", "keys"],
                 )
 
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), *text_marks(text))
-    return rows.mapInArrow(
-        describe, "doc_id long, h0 long, h1 long, n long, f0 long, f1 long, parity array<long>, prefix array<long>"
-    )
-
-
-def may_link(a: str, b: str) -> Column:
-    """Sizes and parities allow the similarity: linked sets differ in at most (1 - s) / (1 + s) of both sizes."""
-    low, high = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-    differ = F.lit(0)
-    for i in range(PARITY_WORDS):
-        differ = differ + F.bit_count(F.col(f"{a}.parity")[i].bitwiseXOR(F.col(f"{b}.parity")[i]))
-    return (low * 100 >= high * PERCENT) & (differ * (100 + PERCENT) <= (low + high) * (100 - PERCENT))
+    return rows.mapInArrow(describe, "doc_id long, h0 long, h1 long, n long, f0 long, f1 long, keys array<long>")
 
 
 class Index:
     """Inverted lists over the sets of a block: document numbers in ascending order for each shingle."""
 
     def __init__(self, values: np.ndarray, sizes: np.ndarray, part: np.ndarray):
+        """``part`` holds the component of each document and may change between searches."""
         owner = np.repeat(np.arange(len(sizes)), sizes)
         order = np.argsort(values, kind="stable")
         self.shingle, first = np.unique(values[order], return_index=True)
@@ -155,10 +140,14 @@ class Index:
         self.sizes, self.part = sizes, part
 
     def search(self, query: np.ndarray, own: int, before: int) -> Iterator[tuple[int, int]]:
-        """(document, common shingles) of the first ``before`` documents, of other parts than ``own``, that are similar
-        to the query."""
+        """(document, common shingles) of the first ``before`` documents, of other components than ``own``, that are
+        similar to the query."""
         n = len(query)
-        least = int(needed(n))
+        least = needed(n)
+        apart = self.part[:before] != own
+        apart &= (100 * self.sizes[:before] >= PERCENT * n) & (100 * n >= PERCENT * self.sizes[:before])
+        if not apart.any():
+            return
         at = np.minimum(np.searchsorted(self.shingle, query), len(self.shingle) - 1)
         at = at[self.shingle[at] == query]
         if len(at) < least:
@@ -166,12 +155,12 @@ class Index:
         starts, lengths = self.bounds[at], self.bounds[at + 1] - self.bounds[at]
         offsets = np.cumsum(lengths) - lengths
         entries = self.owner[np.arange(lengths.sum()) - np.repeat(offsets - starts, lengths)]
-        wanted = (entries < before) & (self.part[entries] != own)
+        wanted = np.append(apart, np.zeros(len(self.part) - before, bool))[entries]
         left = np.add.reduceat(wanted, offsets, dtype=np.int64)
         if np.count_nonzero(left) < least:
             return
         cuts = np.cumsum(left)[:-1]
-        lists = sorted((own_list.tolist() for own_list in np.split(entries[wanted], cuts) if len(own_list)), key=len)
+        lists = sorted((some.tolist() for some in np.split(entries[wanted], cuts) if len(some)), key=len)
         for doc, common in occurring(lists, least):
             if 100 * common >= PERCENT * (n + int(self.sizes[doc]) - common):
                 yield doc, common
@@ -221,23 +210,23 @@ def _linked(rows: pa.Table) -> tuple[list[int], list[int]]:
     split = int(np.searchsorted(block, block[-1])) or len(ids)
     alone = split == len(ids)
     sizes = np.diff(bounds)
-    index = Index(values[: bounds[split]], sizes[:split], part[:split])
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
+    part = np.unique(part, return_inverse=True)[1]
+    few = min(FEW, split)
+    # Most queries of a family are linked with one of its first documents and need no other then.
+    indices = [Index(values[: bounds[stop]], sizes[:stop], part[:stop]) for stop in sorted({few, split})]
     u, v = [], []
     for q in range(1 if alone else split, len(ids)):
         query = values[bounds[q] : bounds[q + 1]]
-        for doc, _ in index.search(query, part[q], q if alone else split):
-            a, b = root(int(part[q])), root(int(part[doc]))
-            if a != b:
-                parent[a] = b
+        for index in indices:
+            reach = min(q, len(index.sizes)) if alone else len(index.sizes)
+            while True:
+                # Each search ends with its first link: the component that was found is left out of the next.
+                doc = next((doc for doc, _ in index.search(query, part[q], reach)), None)
+                if doc is None:
+                    break
                 u.append(int(ids[q]))
                 v.append(int(ids[doc]))
+                part[part == part[doc]] = part[q]
     return u, v
 
 
@@ -266,12 +255,12 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Join:
-    """Classes of equal sets, the lists of their prefixes, and the components found so far."""
+    """Classes of equal sets, the lists of their keys, and the components found so far."""
 
     def __init__(self, documents: DataFrame, key: str, text: str):
         self.documents, self.key, self.text = documents, key, text
-        self.all = Staged(described(documents, key, text, levels(documents, text)), "described")
-        pick = F.min_by(F.struct(*FIRST, "n", "parity", "prefix"), F.struct(F.isnull("doc_id"), *FIRST))
+        self.all = Staged(described(documents, key, text), "described")
+        pick = F.min_by(F.struct(*FIRST, "n", "keys"), F.struct(F.isnull("doc_id"), *FIRST))
         numbered = self.all.rows.where("n > 0").groupBy("f0", "f1").agg(pick.alias("own"))
         self.classes = Staged(
             numbered.select("f0", "f1", "own.*", F.monotonically_increasing_id().alias("id")), "classes"
@@ -279,23 +268,23 @@ class _Join:
         self.stars: Staged | None = None
 
     def lists(self) -> Staged:
-        """(shingle, id) of the prefix shingles that more than one class has."""
-        rows = self.classes.rows.select("id", F.explode("prefix").alias("shingle"))
-        shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("shingle")
-        return Staged(rows.join(shared, "shingle").select("shingle", "id"), "lists")
+        """(key, id) of the keys that more than one class has."""
+        rows = self.classes.rows.select("id", F.explode("keys").alias("key"))
+        shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key")
+        return Staged(rows.join(shared, "key").select("key", "id"), "lists")
 
     def open_lists(self, lists: DataFrame) -> Staged:
-        """(shingle, id, part, first, last): members of lists that hold several components, with the list's
+        """(key, id, part, first, last): members of lists that hold several components, with the list's
         smallest and largest id."""
         part = F.col("id")
         if self.stars is not None:
             lists = lists.join(self.stars.rows.withColumnRenamed("u", "id"), "id", "left")
             part = F.coalesce("v", "id")
-        named = Staged(lists.select("shingle", "id", part.alias("part")), "parts")
-        ends = named.rows.groupBy("shingle").agg(
+        named = Staged(lists.select("key", "id", part.alias("part")), "parts")
+        ends = named.rows.groupBy("key").agg(
             F.min("part").alias("_a"), F.max("part").alias("_b"), F.min("id").alias("first"), F.max("id").alias("last")
         )
-        out = Staged(named.rows.join(ends.where("_a < _b").drop("_a", "_b"), "shingle"), "open")
+        out = Staged(named.rows.join(ends.where("_a < _b").drop("_a", "_b"), "key"), "open")
         named.drop()
         return out
 
@@ -324,22 +313,29 @@ class _Join:
         if before:
             before.drop()
 
-    def compare(self, opened: DataFrame, other: str, sets: DataFrame) -> None:
-        """Compare every member of an open list with one end of its lists, the least over its lists."""
-        pairs = opened.where(F.col("id") != F.col(other)).groupBy("id").agg(F.min(other).alias("a"))
-        likely = pairs.withColumnRenamed("id", "b")
-        for side in ("a", "b"):
-            own = self.classes.rows.select(F.col("id").alias(side), F.struct("n", "parity").alias(f"_{side}"))
-            likely = likely.join(own, side)
-        likely = Staged(likely.where(may_link("_a", "_b")).select("a", "b"), "likely")
-        both = likely.rows
-        for side in ("b", "a"):
-            own = sets.select(F.col("id").alias(side), F.col("shingles").alias(f"_{side}"))
-            both = both.join(own, side)
-        common = F.size(F.array_intersect("_a", "_b"))
-        union = F.size("_a") + F.size("_b") - common
-        self.link(both.where(common * 100 >= union * PERCENT).select(F.col("b").alias("u"), F.col("a").alias("v")))
-        likely.drop()
+    def gather(self, opened: DataFrame, other: str, sets: DataFrame) -> None:
+        """Search in cells of members that have an end of their lists in common, the least over a member's lists. A
+        cell with more shingles than a block is cut by hash, and its end is in every piece."""
+        homes = opened.groupBy("id", "part").agg(F.min(other).alias("home"))
+        homes = Staged(homes.join(self.classes.rows.select("id", "n"), "id"), "homes")
+        pieces = homes.rows.groupBy("home").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("_pieces"))
+        pieces = Staged(pieces, "pieces")
+        zero = F.lit(0).cast("long")
+        members = homes.rows.join(pieces.rows, "home").select(
+            F.col("home").alias("_x"), F.pmod(F.xxhash64("id"), F.col("_pieces")).alias("_y"), "id", "part"
+        )
+        ends = pieces.rows.join(homes.rows.select(F.col("id").alias("home"), "part"), "home").select(
+            F.col("home").alias("_x"), F.explode(F.sequence(zero, F.col("_pieces") - 1)).alias("_y"),
+            F.col("home").alias("id"), "part",
+        )
+        self.find(members.union(ends).distinct().withColumn("block", zero), sets)
+        homes.drop()
+        pieces.drop()
+
+    def find(self, cells: DataFrame, sets: DataFrame) -> None:
+        """Add the links within cells (_x, _y, block, id, part)."""
+        ordered = spread(cells.join(sets, "id"), "_x", "_y").sortWithinPartitions("_x", "_y", "block", "id")
+        self.link(ordered.select("_x", "_y", "block", "id", "part", "shingles").mapInArrow(_cells, "u long, v long"))
 
     def search(self, opened: DataFrame, sets: DataFrame) -> None:
         """Links among all members of the open lists.
@@ -348,11 +344,11 @@ class _Join:
         family. A home is cut by size, then by hash, into blocks; a member goes to the cell of its
         block and another one if a list of its own has a member there of a size that allows a link.
         """
-        rows = opened.select("shingle", "id", F.col("id").alias("home"))
+        rows = opened.select("key", "id", F.col("id").alias("home"))
         for _ in range(HOME_STEPS):
-            least = rows.groupBy("shingle").agg(F.min("home").alias("_least"))
-            homes = Staged(opened.join(least, "shingle").groupBy("id").agg(F.min("_least").alias("home")), "homes")
-            rows = opened.select("shingle", "id").join(homes.rows, "id")
+            least = rows.groupBy("key").agg(F.min("home").alias("_least"))
+            homes = Staged(opened.join(least, "key").groupBy("id").agg(F.min("_least").alias("home")), "homes")
+            rows = opened.select("key", "id").join(homes.rows, "id")
         sized = homes.rows.join(self.classes.rows.select("id", "n"), "id").withColumn(
             "grade", F.floor(F.log(F.col("n")) / -math.log(PERCENT / 100)).cast("int")
         )
@@ -362,18 +358,17 @@ class _Join:
             sized.join(weight, ["home", "grade"]).select("id", "n", F.xxhash64("home", "grade", chunk).alias("block")),
             "blocks",
         )
-        members = Staged(opened.select("shingle", "id", "part").join(blocks.rows, "id"), "members")
-        there = members.rows.groupBy("shingle", "block").agg(F.min("n").alias("_low"), F.max("n").alias("_high"))
+        members = Staged(opened.select("key", "id", "part").join(blocks.rows, "id"), "members")
+        there = members.rows.groupBy("key", "block").agg(F.min("n").alias("_low"), F.max("n").alias("_high"))
         there = there.withColumnRenamed("block", "other")
         fits = (F.col("_high") * 100 >= F.col("n") * PERCENT) & (F.col("n") * 100 >= F.col("_low") * PERCENT)
         cells = (
-            members.rows.join(there, "shingle")
+            members.rows.join(there, "key")
             .where(fits)
             .select(F.least("block", "other").alias("_x"), F.greatest("block", "other").alias("_y"), "block", "id", "part")
             .distinct()
         )
-        ordered = spread(cells.join(sets, "id"), "_x", "_y").sortWithinPartitions("_x", "_y", "block", "id")
-        self.link(ordered.select("_x", "_y", "block", "id", "part", "shingles").mapInArrow(_cells, "u long, v long"))
+        self.find(cells, sets)
         for done in (homes, blocks, members):
             done.drop()
 
@@ -393,7 +388,7 @@ def similar_groups(documents: DataFrame, key: str = "doc_id", text: str = "text"
     opened = join.open_lists(lists.rows)
     sets = join.sets(opened.rows.select("id"))
     for other in ("first", "last"):
-        join.compare(opened.rows, other, sets.rows)
+        join.gather(opened.rows, other, sets.rows)
         opened.drop()
         opened = join.open_lists(lists.rows)
     join.search(opened.rows, sets.rows)

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from shelfcast.llm import t_occurrence
-from shelfcast.llm.t_occurrence import Index, needed, occurring, parity, prefix, shingles, similar_groups
+from shelfcast.llm.t_occurrence import Index, needed, occurring, signatures, similar_groups
 from tests.llm.conftest import edge_rows, prose
 
 
@@ -106,18 +106,24 @@ def test_search_of_an_index():
         assert dict(index.search(query, part[q], q)) == want
 
 
-def test_linked_sets_share_a_prefix_and_differ_in_few_bits():
-    rng = random.Random(9)
-    level = np.random.default_rng(1).integers(0, 6, 1 << t_occurrence.COUNTERS).astype(np.uint8)
-    for seed in range(150):
-        words = prose(seed, rng.randrange(9, 200)).split()
-        other = list(words)
-        for _ in range(rng.randrange(0, 4)):
-            other[rng.randrange(len(other))] = "other"
-        a, b = shingles(" ".join(words)), shingles(" ".join(other))
-        common = len(np.intersect1d(a, b))
-        differ = int(np.bitwise_count(parity(a) ^ parity(b)).sum())
-        assert differ <= len(a) + len(b) - 2 * common
-        if 100 * common >= 90 * (len(a) + len(b) - common) and common < max(len(a), len(b)):
-            assert len(np.intersect1d(prefix(a, level), prefix(b, level)))
-            assert common >= max(needed(len(a)), needed(len(b)))
+def test_linked_sets_share_a_key():
+    """Sizes on both sides of every class, differences up to the last that links."""
+    rng = np.random.default_rng(3)
+    for n in [*range(1, 60), 99, 100, 101, 250, 640, 1500]:
+        for extra in range(n // 9 + 2):
+            both = rng.integers(0, 1 << 64, n - extra // 2, dtype=np.uint64)
+            more = rng.integers(0, 1 << 64, extra, dtype=np.uint64)
+            a, b = np.unique(np.append(both, more[: extra // 2])), np.unique(np.append(both, more[extra // 2 :]))
+            common = len(both)
+            if extra and 100 * common >= 90 * (len(a) + len(b) - common):
+                assert len(np.intersect1d(signatures(a), signatures(b)))
+                assert common >= max(needed(len(a)), needed(len(b)))
+
+
+def test_unlinked_sets_share_few_keys():
+    rng = np.random.default_rng(4)
+    passage = rng.integers(0, 1 << 64, 120, dtype=np.uint64)
+    sets = [np.unique(np.append(passage, rng.integers(0, 1 << 64, 40, dtype=np.uint64))) for _ in range(300)]
+    keys = np.concatenate([signatures(s) for s in sets])
+    assert len(np.unique(keys)) > 0.8 * len(keys)
+    assert len(signatures(sets[0])) < 0.3 * len(sets[0])
