@@ -25,14 +25,17 @@ CV_SPLITS = 5
 HOLDOUT_QUANTILE = 0.85
 TARGET = "weekly_units"
 
-# Boosted trees, in Spark ML parameter names.
-TREE_PARAMS = {
-    "maxIter": 500,
-    "maxDepth": 6,
-    "stepSize": 0.05,
-    "subsamplingRate": 0.8,
-    "featureSubsetStrategy": "0.8",
-    "minInstancesPerNode": 5,
+# Boosted trees.
+TREE_SETTINGS = {
+    "rounds": 500,
+    "depth": 6,
+    "rate": 0.05,
+    "row_share": 0.8,
+    "column_share": 0.8,
+    "least_weight": 5.0,
+    "l2": 1.0,
+    "l1": 0.1,
+    "bins": 256,
     "seed": 42,
 }
 

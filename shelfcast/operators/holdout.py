@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,14 +18,14 @@ from shelfcast.operators.design import (
 from shelfcast.operators.ensemble import align, mape, member_scores, number_steps
 from shelfcast.operators.features import Stage
 from shelfcast.operators.ids import with_entity_ids, with_saved_ids
-from shelfcast.operators.trees import predict, train_trees
+from shelfcast.operators.trees import Model, predict, train_trees
 
 
 @dataclass(frozen=True)
 class Holdout:
     """Trained tree model and the held-out rows it has not seen, with its forecast."""
 
-    model: PipelineModel
+    model: Model
     before: DataFrame
     forecast: DataFrame
 

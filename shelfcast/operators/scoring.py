@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.labels import pricing_recommendation
-from shelfcast.operators.trees import predict
+from shelfcast.operators.trees import Model, predict
 
 
-def score_batch(df: DataFrame, model: PipelineModel) -> DataFrame:
+def score_batch(df: DataFrame, model: Model) -> DataFrame:
     return predict(df, model, "xgb_forecast")
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import partial
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -273,49 +272,17 @@ def ensemble_weighted(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(kept, ["baseline_forecast", "ensemble_forecast"])
 
 
-# Trained once per session and folder, like a model read from the run log: all rounds take minutes.
-# Training is seeded, so a query gives the same rows alone and after others.
-_MODELS: dict[tuple, object] = {}
-
-
-def _once(spark: SparkSession, folder: str, name: str, build: Callable[[], object]):
-    key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _MODELS:
-        _MODELS[key] = build()
-    return _MODELS[key]
-
-
-# Which query first needs which model.
-TRAINED_BY = {"gbt_forecast": "held", "feature_importance": "full-model"}
-
-
-def forget(spark: SparkSession, folder: str, name: str) -> None:
-    """Drop a kept model, so that the next query trains it again."""
-    _MODELS.pop((spark.sparkContext.applicationId, folder, name), None)
-
-
 def _model_inputs(spark: SparkSession, folder: str) -> DataFrame:
-    return _once(
-        spark, folder, "inputs",
-        lambda: holdout.model_inputs(feature_rows(spark, folder), stage),
-    )
+    return holdout.model_inputs(feature_rows(spark, folder), stage)
 
 
-def _full_model(spark: SparkSession, folder: str) -> PipelineModel:
+def _full_model(spark: SparkSession, inputs: DataFrame) -> trees.Model:
     columns = design.feature_columns(leak_free=True)
-
-    def build() -> PipelineModel:
-        rows = design.training_matrix(_model_inputs(spark, folder), columns)
-        return trees.train_trees(rows, columns)
-
-    return _once(spark, folder, "full-model", build)
+    return trees.train_trees(stage(design.training_matrix(inputs, columns), "matrix"), columns)
 
 
 def _held(spark: SparkSession, folder: str) -> holdout.Holdout:
-    return _once(
-        spark, folder, "held",
-        lambda: holdout.fit_holdout(_model_inputs(spark, folder), stage),
-    )
+    return holdout.fit_holdout(_model_inputs(spark, folder), stage)
 
 
 def series_history(spark: SparkSession, folder: str) -> DataFrame:
@@ -362,7 +329,24 @@ def gbt_forecast(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
-    return trees.feature_importance(spark, _full_model(spark, folder))
+    return trees.feature_importance(spark, _full_model(spark, _model_inputs(spark, folder)))
+
+
+def cv_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Error on each test fold after every round, all folds trained together."""
+    columns = design.feature_columns(leak_free=True)
+    matrix = stage(design.training_matrix(_model_inputs(spark, folder), columns), "matrix")
+    return trees.fold_scores(matrix, columns)
+
+
+FEW_VALUED = ("any_promo", "week_of_year", "month", "quarter", "is_holiday_season", "store_nbr")
+
+
+def tree_stumps(spark: SparkSession, folder: str) -> DataFrame:
+    """The first cut of a boosted fit for every input with few values."""
+    rows = series_feature_rows(spark, folder).select(*PANEL_KEY, "weekly_units", *FEW_VALUED[:-1])
+    cuts = trees.stumps(stage(rows, "stump-rows"), FEW_VALUED)
+    return rounded(cuts, ["gain", "left_weight", "right_weight"], 4)
 
 
 def top_features(spark: SparkSession, folder: str) -> DataFrame:
@@ -370,7 +354,8 @@ def top_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def score_skus(spark: SparkSession, folder: str) -> DataFrame:
-    scored = scoring.score_batch(_model_inputs(spark, folder), _full_model(spark, folder))
+    inputs = _model_inputs(spark, folder)
+    scored = scoring.score_batch(inputs, _full_model(spark, inputs))
     return scoring.add_pricing_gap_signal(scored).select(
         *PANEL_KEY, "store_id", "item_id", "xgb_forecast", "pricing_recommendation"
     )
@@ -497,6 +482,8 @@ QUERIES: dict[str, Query] = {
     "run_comparison": run_comparison,
     "gbt_forecast": gbt_forecast,
     "feature_importance": feature_importance,
+    "cv_scores": cv_scores,
+    "tree_stumps": tree_stumps,
     "top_features": top_features,
     "score_skus": score_skus,
     "arima_forecast": arima_forecast,

@@ -279,6 +279,26 @@ def _member(name: str) -> str:
     )
 
 
+_STUMPS = """, rows AS (
+  SELECT weekly_units - avg(weekly_units) OVER () AS r, any_promo, week_of_year, month, quarter,
+         is_holiday_season, store_nbr FROM warm
+), long AS (
+  SELECT r, unnest(['any_promo', 'week_of_year', 'month', 'quarter', 'is_holiday_season', 'store_nbr']) AS feature,
+         unnest([any_promo, week_of_year, month, quarter, is_holiday_season, store_nbr])::DOUBLE AS value FROM rows
+), cuts AS (SELECT DISTINCT feature, value AS cut FROM long
+), sides AS (
+  SELECT c.feature, c.cut, -sum(r) FILTER (value <= cut) AS gl, -sum(r) FILTER (value > cut) AS gr, -sum(r) AS ga,
+         count(*) FILTER (value <= cut) AS n_left, count(*) FILTER (value > cut) AS n_right
+  FROM cuts c JOIN long l USING (feature) GROUP BY c.feature, c.cut
+), kept AS (
+  SELECT *, power(greatest(abs(gl) - 0.1, 0), 2) / (n_left + 1) + power(greatest(abs(gr) - 0.1, 0), 2) / (n_right + 1)
+         - power(greatest(abs(ga) - 0.1, 0), 2) / (n_left + n_right + 1) AS gain
+  FROM sides WHERE n_left >= 5 AND n_right >= 5)
+SELECT feature, cut, round(gain, 4) AS gain,
+       round(-sign(gl) * greatest(abs(gl) - 0.1, 0) / (n_left + 1), 4) AS left_weight,
+       round(-sign(gr) * greatest(abs(gr) - 0.1, 0) / (n_right + 1), 4) AS right_weight, n_left, n_right
+FROM kept QUALIFY row_number() OVER (PARTITION BY feature ORDER BY round(gain, 6) DESC, cut) = 1"""
+
 RUNS = """runs AS (
   SELECT CAST(event_id AS VARCHAR) AS run_id, value / 1000 AS mape, value / 1200 AS cv_mape,
          '500' AS n_estimators, concat('models/', event_id) AS model_path
@@ -292,6 +312,7 @@ def oracle_sql() -> dict[str, str]:
     lags = ", ".join(f"units_lag_{n}w" for n in LAG_WEEKS)
     complete = " AND ".join(f"{c} IS NOT NULL" for c in FEATURE_COLUMNS)
     return {
+        "tree_stumps": _query(WARM_STEPS, _STUMPS),
         "load_train": _query((TRAIN, DAILY), "SELECT * FROM daily"),
         "load_items": _query((ITEMS,), "SELECT * FROM items"),
         "load_stores": _query((STORES,), "SELECT * FROM stores"),

@@ -19,7 +19,7 @@ from shelfcast.constants import (
     MIN_OBS_PER_SKU,
     PARITY_EXPERIMENT,
     SCORING_THRESHOLD,
-    TREE_PARAMS,
+    TREE_SETTINGS,
     TREE_WEIGHT,
     TREES_PARAM,
 )
@@ -76,8 +76,8 @@ def model_elasticity(
     write_table(fitted, path)
     metrics = elasticity.elasticity_summary(_at(spark, out, "elasticity_results")).first().asDict()
     run_selection.log_run(
-        spark, f"{out}/runs", "elasticity_hierarchical_did",
-        {"min_obs_per_sku": min_obs, "specification": "log_log_ols_did"}, metrics,
+        spark, f"{out}/runs", "promotion_response",
+        {"min_obs_per_sku": min_obs, "fits": "within-store least squares, difference in differences"}, metrics,
         experiment=ELASTICITY_EXPERIMENT,
     )
     return metrics
@@ -111,8 +111,8 @@ def model_forecast(
         row["member"]: row["mape"] for row in holdout.evaluate_holdout(held, evaluated_steps).collect()
     }
     model = trees.train_trees(matrix, columns, **tree_overrides)
-    write_small_csv(trees.feature_importance(spark, model), f"{out}/feature_importance")
-    settings = {**TREE_PARAMS, **tree_overrides}
+    write_small_csv(trees.feature_importance(spark, model), f"{model_path}/feature_importance")
+    settings = {**TREE_SETTINGS, **tree_overrides}
     metrics = {
         CV_METRIC: _round(trees.mean_score(scores)),
         HOLDOUT_METRIC: _round(members["ensemble_forecast"]),
@@ -126,10 +126,10 @@ def model_forecast(
         "xgb_ensemble_weight": TREE_WEIGHT,
         "arima_ensemble_weight": ARIMA_WEIGHT,
         "leak_free": leak_free,
-        TREES_PARAM: settings["maxIter"],
-        **{f"xgb_{name}": value for name, value in settings.items()},
+        TREES_PARAM: settings["rounds"],
+        **{f"trees_{name}": value for name, value in settings.items()},
     }
-    model.write().save(f"{model_path}/trees")
+    model.save(spark, f"{model_path}/trees")
     write_table(arima.forecast_all_skus_arima(rows, horizon), f"{out}/arima_forecasts")
     run_selection.log_run(
         spark, f"{out}/runs", "trees_with_arima", params, metrics, model_path,
@@ -151,7 +151,7 @@ def score(
     path = run_selection.resolve_model(
         runs, threshold, EXPERIMENT if leak_free else PARITY_EXPERIMENT
     )
-    model = trees.load_trees(f"{path}/trees")
+    model = trees.load_trees(spark, f"{path}/trees")
     rows = _at(spark, out, "features")
     inputs = holdout.model_inputs(rows, stage, spark.read.parquet(f"{path}/ids"))
     scored = scoring.add_pricing_gap_signal(scoring.score_batch(inputs, model))

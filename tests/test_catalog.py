@@ -9,7 +9,7 @@ DATA = "/root/testdata/sf0.001"
 ORACLE = oracles.oracle_sql()
 UNCHECKED = {
     "gbt_forecast", "feature_importance", "top_features", "score_skus", "arima_forecast", "ensemble_forecast",
-    "holdout_mape",
+    "holdout_mape", "cv_scores",
 }
 
 
@@ -41,5 +41,5 @@ def test_query_equals_its_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(UNCHECKED))
 def test_model_query_returns_rows(spark, name, monkeypatch):
     # All rounds take minutes; that they run is up to the catalog, which overrides none.
-    monkeypatch.setitem(trees.TREE_PARAMS, "maxIter", 3)
+    monkeypatch.setitem(trees.TREE_SETTINGS, "rounds", 3)
     assert catalog.QUERIES[name](spark, DATA).count() > 0

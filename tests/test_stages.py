@@ -21,7 +21,7 @@ def lake(spark, tmp_path_factory):
 
 def test_stages_in_order(spark, lake):
     source, out = lake
-    report = stages.run(spark, source, out, maxIter=1, cv=False)
+    report = stages.run(spark, source, out, rounds=1, cv=False)
     assert report["ingest"]["train_weekly"] == 5484 and report["features"] == 951
     assert report["elasticity"]["n_skus_modeled"] == 7
     # Random test data: no model gets below the threshold, so scoring is reported as skipped.
@@ -40,7 +40,7 @@ def test_the_older_better_run_is_loaded_with_its_own_ids(spark, lake):
     source, out = lake
     runs = run_selection.read_runs(spark, f"{out}/runs").where("experiment = 'pricing/demand_forecast'")
     first = runs.first()
-    again = stages.model_forecast(spark, out, cv=False, maxIter=2)
+    again = stages.model_forecast(spark, out, cv=False, rounds=2)
     path = run_selection.resolve_model(run_selection.read_runs(spark, f"{out}/runs"), 1e9)
     better = first["metrics"]["ensemble_holdout_mape"] <= again["ensemble_holdout_mape"]
     assert (path == first["model_path"]) == better

