@@ -33,6 +33,8 @@ def scaled(counts: np.ndarray) -> np.ndarray:
     out = np.zeros(len(counts), np.int64)
     if not len(used):
         return out
+    if len(used) > total:
+        raise ValueError(f"{len(used)} symbols do not fit into frequencies of {SCALE} bits")
     share = counts[used] / counts[used].sum() * (total - len(used))
     own = np.floor(share).astype(np.int64) + 1
     left = total - own.sum()

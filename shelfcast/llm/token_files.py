@@ -25,43 +25,49 @@ BLOCKS = "place long, n_tokens long, keys array<long>, lengths array<int>, paylo
 
 
 def tokenized(documents: DataFrame, tokenizer: str, end: int, key: str, text: str) -> DataFrame:
-    """(at, doc_id, ids): ids with ``end`` behind them, ``at`` in ascending order of the key (nulls
-    first; equal keys in the order of the input)."""
+    """(tie, doc_id, ids, counts): ids with ``end`` behind them, where the texts are read. The last row of a
+    task has no ids but the counts of the task, one 64-bit integer for every id up to the largest; ``tie``
+    keeps the order of the input among equal keys."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
         last = np.array([end], own.dtype).tobytes()
+        total = np.zeros(max(own.size, end + 1), np.int64)
         for batch in batches:
             for low in range(0, len(batch), 500):
                 some = batch.slice(low, 500)
                 ids = [raw + last for raw in own.encode(arrow_texts(some.column(2)))]
+                total += np.bincount(np.frombuffer(b"".join(ids), own.dtype), minlength=len(total))
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), some.column(1), pa.array(ids, pa.binary())], ["at", "doc_id", "ids"]
+                    [some.column(0), some.column(1), pa.array(ids, pa.binary()), pa.nulls(len(some), pa.binary())],
+                    ["tie", "doc_id", "ids", "counts"],
                 )
+        if total.any():
+            nothing = pa.nulls(1, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [nothing, nothing, pa.nulls(1, pa.binary()), pa.array([total.tobytes()], pa.binary())],
+                ["tie", "doc_id", "ids", "counts"],
+            )
 
-    rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    ordered = (
-        rows.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange("doc_id", "_tie")
-        .sortWithinPartitions("doc_id", "_tie")
+    rows = documents.select(
+        F.monotonically_increasing_id().alias("tie"), F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")
     )
-    placed = ordered.select(F.monotonically_increasing_id().alias("at"), "doc_id", "text")
-    return placed.mapInArrow(read, "at long, doc_id long, ids binary")
+    return rows.mapInArrow(read, "tie long, doc_id long, ids binary, counts binary")
 
 
-def frequencies(rows: DataFrame, tokenizer: str) -> DataFrame:
-    """(id, n) over all rows; a partition sends each id at most once."""
+def frequencies(written: DataFrame) -> DataFrame:
+    """(id, n) over the tasks' counts."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer)
-        total = np.zeros(own.size, np.int64)
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
         for batch in batches:
-            joined = np.frombuffer(b"".join(batch.column(0).to_pylist()), own.dtype)
-            total += np.bincount(joined, minlength=own.size)
+            for raw in batch.column(0).to_pylist():
+                own = np.frombuffer(raw, np.int64)
+                total = own.copy() if not len(total) else total + own
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
-    counted = rows.select("ids").mapInArrow(count, "id long, n long")
+    counted = written.where("counts is not null").select("counts").mapInArrow(spell, "id long, n long")
     return counted.groupBy("id").agg(F.sum("n").alias("n"))
 
 
@@ -70,8 +76,8 @@ def write_tokens(
 ) -> None:
     """Write every row's ids, a null text as empty, to the folder ``path``."""
     spark = documents.sparkSession
-    rows = Staged(tokenized(documents, tokenizer, end, key, text), "ids")
-    counts = {r["id"]: r["n"] for r in frequencies(rows.rows, tokenizer).collect()}  # one per id at most
+    written = Staged(tokenized(documents, tokenizer, end, key, text), "ids")
+    counts = {r["id"]: r["n"] for r in frequencies(written.rows).collect()}  # one per id at most
     table = np.zeros(max(counts, default=0) + 1, np.int64)
     table[list(counts)] = list(counts.values())
     table = scaled(table)
@@ -107,9 +113,17 @@ def write_tokens(
         if held:
             yield block()
 
-    blocks = rows.rows.select("at", "doc_id", "ids").mapInArrow(pack, BLOCKS)
+    # Ids, two bytes each for a small vocabulary, are ordered instead of texts.
+    ordered = (
+        written.rows.where("counts is null")
+        .select("tie", "doc_id", "ids")
+        .repartitionByRange("doc_id", "tie")
+        .sortWithinPartitions("doc_id", "tie")
+    )
+    placed = ordered.select(F.monotonically_increasing_id().alias("at"), "doc_id", "ids")
+    blocks = placed.mapInArrow(pack, BLOCKS)
     blocks.write.option("compression", "uncompressed").parquet(f"{path}/blocks")
-    rows.drop()
+    written.drop()
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

@@ -101,6 +101,11 @@ def test_ans_round_trip_and_checkpoints(n):
             coder.decode(block[:-1] + bytes([block[-1] ^ 1]))
 
 
+def test_too_many_symbols_are_an_error():
+    with pytest.raises(ValueError, match="do not fit"):
+        ans.scaled(np.ones((1 << 18) + 1, np.int64))
+
+
 def test_scaled_frequencies_keep_rare_symbols():
     table = ans.scaled(np.array([10**9, 0, 1, 1]))
     assert table.sum() == 1 << ans.SCALE and table[1] == 0 and (table[[2, 3]] >= 1).all()
