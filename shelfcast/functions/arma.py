@@ -1,10 +1,11 @@
-"""ARIMA(2,1,2) forecasts of a batch of series, vectorised across the series.
-
-The differenced series is an ARMA(2,2) without constant. Start values come from two linear
-regressions (Hannan and Rissanen 1982); Levenberg-Marquardt steps then maximise the exact
-Gaussian likelihood, written as a sum of squared standardised innovations (Harvey 1989).
-Parameters are kept stationary and invertible through partial autocorrelations (Monahan 1984).
-Every step advances all series of the batch at once; the time axis is the only Python loop.
+"""ARIMA(p, d, q) forecasts of a batch of series, vectorised across the series.
+
+The series, differenced d times, is an ARMA(p, q); without differences its mean is taken off. Start values
+come from two linear regressions (Hannan and Rissanen 1982); Levenberg-Marquardt steps then maximise the exact
+Gaussian likelihood, written as a sum of squared standardised innovations of a state-space filter
+(Harvey 1989). A missing value is stepped over: the state is predicted and nothing is learned.
+Parameters are kept stationary and invertible through partial autocorrelations (Monahan 1984). Every step
+advances all series of the batch at once; the time axis is the only Python loop.
 """
 
 from __future__ import annotations
@@ -13,169 +14,224 @@ from collections.abc import Sequence
 
 import numpy as np
 
-from shelfcast.constants import FORECAST_HORIZON, MIN_SERIES_POINTS
+from shelfcast.constants import ARIMA_ORDER, FORECAST_HORIZON, MIN_SERIES_POINTS
 from shelfcast.functions.shipping import ship_by_value
 
 ship_by_value(__name__)
 
-MAX_STEPS = 40
+MAX_STEPS = 500  # a series that still improves after so many is not fitted
+IMPROVES = 1e-6  # share of the cost by which one of SLOW steps in a row has to lower it
+SLOW = 3
 CHUNK = 256
+Order = tuple[int, int, int]
+
+
+def _levinson(r: np.ndarray) -> np.ndarray:
+    """Autoregressive coefficients of partial autocorrelations, row by row."""
+    out = r[:, :0]
+    for k in range(r.shape[1]):
+        last = r[:, k : k + 1]
+        out = np.concatenate([out - last * out[:, ::-1], last], axis=1)
+    return out
+
 
+def _reflections(coefficients: np.ndarray) -> np.ndarray:
+    """Inverse of the above; zeros for coefficients at or beyond the edge of stationarity."""
+    rest, found = coefficients, []
+    with np.errstate(divide="ignore", invalid="ignore"):
+        while rest.shape[1]:
+            last = rest[:, -1:]
+            found.append(last)
+            rest = (rest[:, :-1] + last * rest[:, -2::-1]) / (1 - last * last) if rest.shape[1] > 1 else rest[:, :0]
+    out = np.concatenate([*found[::-1], coefficients[:, :0]], axis=1)
+    inside = (np.abs(out) < 0.98).all(axis=1)
+    return np.where(inside[:, None], out, 0.0)
 
-def _to_coefficients(u: np.ndarray) -> np.ndarray:
-    """Unconstrained (n, 4) to (phi1, phi2, theta1, theta2), stationary and invertible."""
+
+def _to_coefficients(u: np.ndarray, p: int) -> np.ndarray:
+    """Unconstrained (n, p + q) to (phi_1 .. phi_p, theta_1 .. theta_q), stationary and invertible."""
     r = u / np.sqrt(1.0 + u * u)
-    return np.stack(
-        [r[:, 0] * (1 - r[:, 1]), r[:, 1], -r[:, 2] * (1 - r[:, 3]), -r[:, 3]], axis=1
-    )
-
-
-def _to_unconstrained(c: np.ndarray) -> np.ndarray:
-    """Inverse of the above; a pair outside the allowed region starts from zero."""
-    r = np.zeros_like(c)
-    for first, sign in ((0, 1.0), (2, -1.0)):
-        r2 = sign * c[:, first + 1]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            r1 = sign * c[:, first] / (1 - r2)
-        ok = (np.abs(r2) < 0.98) & (np.abs(r1) < 0.98)
-        r[:, first] = np.where(ok, r1, 0.0)
-        r[:, first + 1] = np.where(ok, r2, 0.0)
+    return np.concatenate([_levinson(r[:, :p]), -_levinson(r[:, p:])], axis=1)
+
+
+def _to_unconstrained(c: np.ndarray, p: int) -> np.ndarray:
+    r = np.concatenate([_reflections(c[:, :p]), _reflections(-c[:, p:])], axis=1)
     return r / np.sqrt(1.0 - r * r)
 
 
-def _start_values(w: np.ndarray) -> np.ndarray:
-    """Two-stage regression for one differenced series."""
-    n = len(w)
+def _start_values(w: np.ndarray, p: int, q: int) -> np.ndarray:
+    """Two-stage regression for one series without gaps."""
+    n, reach = len(w), max(p, q)
     order = min(max(5, int(np.log(n) ** 2 // 2)), n // 4)
+    if n - order - reach < p + q + 1 or order < 1 or not p + q:
+        return np.zeros(p + q)
     lags = np.stack([w[order - k : n - k] for k in range(1, order + 1)], axis=1)
-    long_ar = np.linalg.lstsq(lags, w[order:], rcond=None)[0]
-    e = w[order:] - lags @ long_ar
     tail = w[order:]
-    x = np.stack([tail[1:-1], tail[:-2], e[1:-1], e[:-2]], axis=1)
-    return np.linalg.lstsq(x, tail[2:], rcond=None)[0]
+    e = tail - lags @ np.linalg.lstsq(lags, tail, rcond=None)[0]
+    columns = [tail[reach - k : len(tail) - k] for k in range(1, p + 1)]
+    columns += [e[reach - k : len(e) - k] for k in range(1, q + 1)]
+    return np.linalg.lstsq(np.stack(columns, axis=1), tail[reach:], rcond=None)[0]
 
 
-def _stationary_covariance(c: np.ndarray) -> np.ndarray:
-    """State covariance before the first observation, per unit innovation variance."""
-    n = len(c)
-    move = np.zeros((n, 3, 3))
-    move[:, 0, 0], move[:, 1, 0] = c[:, 0], c[:, 1]
-    move[:, 0, 1] = move[:, 1, 2] = 1.0
-    shock = np.stack([np.ones(n), c[:, 2], c[:, 3]], axis=1)
-    noise = shock[:, :, None] * shock[:, None, :]
-    kron = np.einsum("nij,nkl->nikjl", move, move).reshape(n, 9, 9)
-    return np.linalg.solve(np.eye(9) - kron, noise.reshape(n, 9, 1)).reshape(n, 3, 3)
+def _moved_up(x: np.ndarray, axis: int) -> np.ndarray:
+    """The next entry along ``axis``, zero at its end."""
+    out = np.zeros_like(x)
+    if axis == 1:
+        out[:, :-1] = x[:, 1:]
+    else:
+        out[:, :, :-1] = x[:, :, 1:]
+    return out
 
 
-def _filter(w: np.ndarray, length: np.ndarray, c: np.ndarray):
-    """Scaled standardised innovations (n, T) whose squared sum is to be minimised, and the
-    predicted state after each series' last observation."""
+def _filter(w: np.ndarray, seen: np.ndarray, c: np.ndarray, p: int):
+    """Scaled standardised innovations (n, T) whose squared sum is to be minimised, and the predicted
+    state after the last step. Series end together; where ``seen`` is false there is no value."""
     n, steps = w.shape
-    phi1, phi2, th1, th2 = c.T
-    p = _stationary_covariance(c)
-    p00, p01, p02 = p[:, 0, 0], p[:, 0, 1], p[:, 0, 2]
-    p11, p12, p22 = p[:, 1, 1], p[:, 1, 2], p[:, 2, 2]
-    a0, a1, a2 = np.zeros(n), np.zeros(n), np.zeros(n)
-    out, log_f = np.zeros((n, steps)), np.zeros(n)
+    size = max(p, c.shape[1] - p + 1)
+    phi, shock = np.zeros((n, size)), np.zeros((n, size))
+    phi[:, :p], shock[:, 0], shock[:, 1 : c.shape[1] - p + 1] = c[:, :p], 1.0, c[:, p:]
+    noise = shock[:, :, None] * shock[:, None, :]
+    move = np.zeros((n, size, size))
+    move[:, :, 0] = phi
+    move[:, np.arange(size - 1), np.arange(1, size)] = 1.0
+    kron = np.einsum("nij,nkl->nikjl", move, move).reshape(n, size * size, size * size)
+    cov = np.linalg.solve(np.eye(size * size) - kron, noise.reshape(n, -1, 1)).reshape(n, size, size)
+    state = np.zeros((n, size))
+    out, log_f, known = np.zeros((n, steps)), np.zeros(n), seen.sum(axis=1)
+    gaps = np.flatnonzero(~seen.all(axis=0))
+    whole_from = gaps[-1] + 1 if len(gaps) else 0
     settled = False
     for t in range(steps):
-        live = t < length
-        v = w[:, t] - a0
-        f = p00
-        out[:, t] = np.where(live, v / np.sqrt(f), 0.0)
+        here = seen[:, t]
         if not settled:
-            log_f += np.where(live, np.log(f), 0.0)
-        gain = v / f
-        b0, b1, b2 = a0 + p00 * gain, a1 + p01 * gain, a2 + p02 * gain
-        a0 = np.where(live, phi1 * b0 + b1, a0)
-        a1 = np.where(live, phi2 * b0 + b2, a1)
-        a2 = np.where(live, 0.0, a2)
+            f = cov[:, 0, 0]
+            root, gain = np.sqrt(f), cov[:, :, 0] / f[:, None]
+        v = np.where(here, w[:, t] - state[:, 0], 0.0)
+        out[:, t] = v / root
+        log_f += np.where(here, np.log(f), 0.0)
+        after = state + gain * v[:, None]
+        state = phi * after[:, :1] + _moved_up(after, 1)
         if settled:
             continue
-        q11, q12, q22 = p11 - p01 * p01 / f, p12 - p01 * p02 / f, p22 - p02 * p02 / f
-        # The observed component is known after the update, so only q11, q12, q22 remain.
-        p00, p01, p02 = q11 + 1.0, q12 + th1, th2
-        p11, p12, p22 = q22 + th1 * th1, th1 * th2, th2 * th2
-        settled = max(np.abs(q11).max(), np.abs(q12).max(), np.abs(q22).max()) < 1e-13
-    scale = np.exp(0.5 * log_f / np.maximum(length, 1))
-    return out * scale[:, None], np.stack([a0, a1, a2], axis=1)
-
-
-def _maximise(w: np.ndarray, length: np.ndarray, u: np.ndarray) -> np.ndarray:
-    """Levenberg-Marquardt on all series at once; a series that cannot improve stays put."""
-    n, steps = w.shape
-    damping = np.full(n, 1e-2)
-    residual, _ = _filter(w, length, _to_coefficients(u))
+        left = np.where(here[:, None, None], cov - gain[:, :, None] * cov[:, None, 0, :], cov)
+        half = phi[:, :, None] * left[:, :1, :] + _moved_up(left, 1)
+        before, cov = cov, phi[:, None, :] * half[:, :, :1] + _moved_up(half, 2) + noise
+        settled = t >= whole_from and np.abs(cov - before).max() < 1e-13
+    scale = np.exp(0.5 * log_f / np.maximum(known, 1))
+    return out * scale[:, None], state
+
+
+def _maximise(w: np.ndarray, seen: np.ndarray, u: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
+    """(parameters, done) by Levenberg-Marquardt; a series leaves the batch when it can't improve."""
+    u, m = u.copy(), u.shape[1]
+    done = np.full(len(w), m == 0)
+    if m == 0:
+        return u, done
+    damping, slow = np.full(len(w), 1e-2), np.zeros(len(w), int)
+    residual, _ = _filter(w, seen, _to_coefficients(u, p), p)
     cost = np.sum(residual**2, axis=1)
-    done = np.zeros(n, bool)
     h = 1e-6
     for _ in range(MAX_STEPS):
-        nudged = np.concatenate([u + h * np.eye(4)[k] for k in range(4)])
-        moved, _ = _filter(np.tile(w, (4, 1)), np.tile(length, 4), _to_coefficients(nudged))
-        slope = (moved.reshape(4, n, steps) - residual) / h
-        gradient = np.einsum("knt,nt->nk", slope, residual)
+        rows = np.flatnonzero(~done)
+        if not len(rows):
+            break
+        own, now, there = w[rows], u[rows], seen[rows]
+        nudged = np.concatenate([now + h * np.eye(m)[k] for k in range(m)])
+        moved, _ = _filter(np.tile(own, (m, 1)), np.tile(there, (m, 1)), _to_coefficients(nudged, p), p)
+        slope = (moved.reshape(m, len(rows), -1) - residual[rows]) / h
+        gradient = np.einsum("knt,nt->nk", slope, residual[rows])
         normal = np.einsum("knt,lnt->nkl", slope, slope)
         diagonal = np.einsum("nkk->nk", normal)
-        damped = normal + np.eye(4) * (damping[:, None] * (diagonal + 1e-12))[:, None, :]
-        step = np.linalg.solve(damped + 1e-12 * np.eye(4), -gradient[:, :, None])[:, :, 0]
-        trial = np.clip(u + np.clip(step, -1.0, 1.0), -30.0, 30.0)
-        tried, _ = _filter(w, length, _to_coefficients(trial))
-        new_cost = np.sum(tried**2, axis=1)
-        better = (new_cost < cost) & ~done
-        done |= better & (cost - new_cost <= 1e-10 * cost)
-        u = np.where(better[:, None], trial, u)
-        residual = np.where(better[:, None], tried, residual)
-        cost = np.where(better, new_cost, cost)
-        damping = np.where(better, damping / 5.0, damping * 5.0)
-        done |= damping > 1e8
-        if done.all():
-            break
-    return u
-
-
-def _forecast_chunk(series: Sequence[np.ndarray], horizon: int) -> np.ndarray:
-    diffs = [np.diff(s) for s in series]
-    spread = np.array([np.sqrt(np.mean(d * d)) for d in diffs])
-    length = np.array([len(d) for d in diffs])
-    w = np.zeros((len(series), length.max()))
-    start = np.zeros((len(series), 4))
-    for i, d in enumerate(diffs):
+        damped = normal + np.eye(m) * (damping[rows, None] * (diagonal + 1e-12))[:, None, :]
+        step = np.linalg.solve(damped + 1e-12 * np.eye(m), -gradient[:, :, None])[:, :, 0]
+        trial = np.clip(now + np.clip(step, -1.0, 1.0), -30.0, 30.0)
+        tried, _ = _filter(own, there, _to_coefficients(trial, p), p)
+        after = np.sum(tried**2, axis=1)
+        better = after < cost[rows]
+        little = cost[rows] - after <= IMPROVES * cost[rows]
+        slow[rows] = np.where(better, np.where(little, slow[rows] + 1, 0), slow[rows])
+        done[rows] = (slow[rows] >= SLOW) | (damping[rows] > 1e8)
+        kept = rows[better]
+        u[kept], residual[kept], cost[kept] = trial[better], tried[better], after[better]
+        damping[rows] = np.where(better, damping[rows] / 5.0, damping[rows] * 5.0)
+    return u, done
+
+
+def _forecast_chunk(series: Sequence[np.ndarray], horizon: int, order: Order) -> tuple[np.ndarray, np.ndarray]:
+    """(forecasts, fitted) of series that begin and end with a value."""
+    p, d, q = order
+    changes = [np.diff(s, d) for s in series]
+    centre = np.array([0.0 if d else np.nanmean(x) for x in changes])
+    changes = [x - m for x, m in zip(changes, centre, strict=True)]
+    spread = np.array([np.sqrt(np.nanmean(x * x)) if np.isfinite(x).any() else 0.0 for x in changes])
+    w = np.zeros((len(series), max(map(len, changes))))
+    seen = np.zeros(w.shape, bool)
+    start = np.zeros((len(series), p + q))
+    for i, x in enumerate(changes):
         if spread[i] > 0:
-            w[i, : length[i]] = d / spread[i]
-            start[i] = _start_values(w[i, : length[i]])
-    coefficients = _to_coefficients(_maximise(w, length, _to_unconstrained(start)))
-    _, state = _filter(w, length, coefficients)
-    a0, a1, a2 = state.T
-    changes = np.zeros((len(series), horizon))
+            there = np.isfinite(x)
+            w[i, w.shape[1] - len(x) :] = np.where(there, x, 0.0) / spread[i]
+            seen[i, w.shape[1] - len(x) :] = there
+            start[i] = _start_values(w[i, w.shape[1] - len(x) :], p, q)
+    u, done = _maximise(w, seen, _to_unconstrained(start, p), p)
+    c = _to_coefficients(u, p)
+    _, state = _filter(w, seen, c, p)
+    phi = np.zeros_like(state)
+    phi[:, :p] = c[:, :p]
+    ahead = np.zeros((len(series), horizon))
     for k in range(horizon):
-        changes[:, k] = a0
-        a0, a1, a2 = coefficients[:, 0] * a0 + a1, coefficients[:, 1] * a0 + a2, 0.0 * a2
-    last = np.array([s[-1] for s in series])
-    return np.maximum(last[:, None] + spread[:, None] * np.cumsum(changes, axis=1), 0.0)
-
-
-def forecast_batch(
+        ahead[:, k] = state[:, 0]
+        state = phi * state[:, :1] + _moved_up(state, 1)
+    out = centre[:, None] + spread[:, None] * ahead
+    for i, s in enumerate(series):
+        tail = s[-(len(s) if not np.isfinite(s[-d - 1 :]).all() else d + 1) :]
+        missing = ~np.isfinite(tail)
+        if missing.any():  # the last levels are known or lie on the line between their neighbours
+            tail = np.interp(np.arange(len(tail)), np.flatnonzero(~missing), tail[~missing])
+        for j in reversed(range(d)):
+            out[i] = np.diff(tail, j)[-1] + np.cumsum(out[i])
+    return np.maximum(out, 0.0), done
+
+
+def fit_batch(
     series: Sequence[np.ndarray],
     horizon: int = FORECAST_HORIZON,
     min_points: int = MIN_SERIES_POINTS,
-) -> np.ndarray:
-    """(n, horizon) forecasts, never negative. Zeros for a series that is too short, holds a
-    missing value or cannot be fitted."""
-    result = np.zeros((len(series), horizon))
-    usable = [
-        i for i, s in enumerate(series) if len(s) >= min_points and np.isfinite(s).all()
-    ]
+    order: Order = ARIMA_ORDER,
+) -> tuple[np.ndarray, np.ndarray]:
+    """(n, horizon) forecasts, never negative, and for each series whether it was fitted. Zeros for one that
+    was not: too short, infinite, with too few values for its parameters, or still improving
+    after MAX_STEPS. Missing values are stepped over; behind the last value they only lengthen the forecast."""
+    result, fitted = np.zeros((len(series), horizon)), np.zeros(len(series), bool)
+    usable: list[tuple[int, np.ndarray, int]] = []
+    for i, s in enumerate(series):
+        there = np.flatnonzero(np.isfinite(s))
+        if len(s) >= min_points and len(there) > sum(order) + 1 and not np.isinf(s).any():
+            usable.append((i, s[there[0] : there[-1] + 1], len(s) - 1 - there[-1]))
     for at in range(0, len(usable), CHUNK):
         rows = usable[at : at + CHUNK]
+        longest = horizon + max(gap for _, _, gap in rows)
         try:
-            forecast = _forecast_chunk([series[i] for i in rows], horizon)
+            forecast, done = _forecast_chunk([s for _, s, _ in rows], longest, order)
         except np.linalg.LinAlgError:
-            forecast = np.zeros((len(rows), horizon))
-            for k, i in enumerate(rows):
+            forecast, done = np.zeros((len(rows), longest)), np.zeros(len(rows), bool)
+            for k, (_, s, _) in enumerate(rows):
                 try:
-                    forecast[k] = _forecast_chunk([series[i]], horizon)[0]
+                    one, ok = _forecast_chunk([s], longest, order)
+                    forecast[k], done[k] = one[0], ok[0]
                 except np.linalg.LinAlgError:
                     pass
-        finite = np.isfinite(forecast).all(axis=1)
-        result[rows] = np.where(finite[:, None], forecast, 0.0)
-    return result
+        for k, (i, _, gap) in enumerate(rows):
+            steps = forecast[k, gap : gap + horizon]
+            fitted[i] = done[k] and np.isfinite(steps).all()
+            result[i] = steps if fitted[i] else 0.0
+    return result, fitted
+
+
+def forecast_batch(
+    series: Sequence[np.ndarray],
+    horizon: int = FORECAST_HORIZON,
+    min_points: int = MIN_SERIES_POINTS,
+    order: Order = ARIMA_ORDER,
+) -> np.ndarray:
+    return fit_batch(series, horizon, min_points, order)[0]

@@ -10,15 +10,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from shelfcast.constants import FORECAST_HORIZON, MIN_SERIES_POINTS, SERIES, TARGET
-from shelfcast.functions.arma import forecast_batch
+from shelfcast.constants import ARIMA_ORDER, FORECAST_HORIZON, MIN_SERIES_POINTS, SERIES, TARGET
+from shelfcast.functions.arma import Order, fit_batch
 
 
-def _forecaster(horizon: int, min_points: int) -> Callable:
-    @pandas_udf("array<double>")
-    def forecast(history: pd.Series) -> pd.Series:
+FIT = "struct<forecast: array<double>, fitted: boolean>"
+
+
+def _forecaster(horizon: int, min_points: int, order: Order) -> Callable:
+    @pandas_udf(FIT)
+    def forecast(history: pd.Series) -> pd.DataFrame:
         series = [np.asarray(h, dtype=float) for h in history]
-        return pd.Series(list(forecast_batch(series, horizon, min_points)))
+        values, fitted = fit_batch(series, horizon, min_points, order)
+        return pd.DataFrame({"forecast": list(values), "fitted": fitted})
 
     return forecast
 
@@ -34,20 +38,21 @@ def series_forecasts(
     panel: DataFrame,
     horizon: int = FORECAST_HORIZON,
     min_points: int = MIN_SERIES_POINTS,
+    order: Order = ARIMA_ORDER,
 ) -> DataFrame:
-    """Every step of every series; ``eligible`` is false where the zeros stand for a series that
-    is too short."""
-    forecast = _forecaster(horizon, min_points)
+    """Every step of every series. ``eligible``: the series is long enough; ``fitted``: the fit ended at a maximum.
+    The forecasts of a series that was not fitted are zeros."""
+    forecast = _forecaster(horizon, min_points, order)
     series = histories(panel).select(
-        *SERIES,
-        (F.size("history") >= min_points).alias("eligible"),
-        F.posexplode(forecast("history")),
+        *SERIES, (F.size("history") >= min_points).alias("eligible"), forecast("history").alias("fit")
     )
-    return series.select(
+    steps = series.select(*SERIES, "eligible", F.col("fit.fitted").alias("fitted"), F.posexplode("fit.forecast"))
+    return steps.select(
         *SERIES,
         (F.col("pos") + 1).alias("forecast_step"),
         F.col("col").alias("arima_forecast"),
         "eligible",
+        "fitted",
     )
 
 
@@ -55,6 +60,20 @@ def forecast_all_skus_arima(
     panel: DataFrame,
     horizon: int = FORECAST_HORIZON,
     min_points: int = MIN_SERIES_POINTS,
+    order: Order = ARIMA_ORDER,
 ) -> DataFrame:
     """(store, item, forecast_step 1..horizon, arima_forecast), never negative."""
-    return series_forecasts(panel, horizon, min_points).drop("eligible")
+    return series_forecasts(panel, horizon, min_points, order).drop("eligible", "fitted")
+
+
+def fit_report(forecasts: DataFrame) -> DataFrame:
+    """One row per series of ``series_forecasts``: steps, least forecast, and what became of the fit."""
+    return forecasts.groupBy(*SERIES).agg(
+        F.count(F.lit(1)).alias("n_steps"),
+        F.min("forecast_step").alias("first_step"),
+        F.max("forecast_step").alias("last_step"),
+        F.bool_and("eligible").alias("eligible"),
+        F.bool_and("fitted").alias("fitted"),
+        F.bool_and(F.col("arima_forecast") >= 0).alias("never_negative"),
+        F.bool_and(F.col("fitted") | (F.col("arima_forecast") == 0)).alias("zero_unless_fitted"),
+    )

@@ -64,12 +64,13 @@ def ensemble_forecast(held: Holdout, horizon: int | None = None) -> DataFrame:
     """Held-out rows with both members' forecasts and the ensemble: all of them, or with a
     ``horizon`` the first so many of each series.
 
-    ``eligible`` is false for series too short for ARIMA, whose second member is zero.
+    ``eligible`` is false for series without a fit, whose second member is zero.
     """
     rows = held.forecast
     if horizon is None:
         horizon = rows.agg(F.max("forecast_step")).first()[0] or 0
-    arima = series_forecasts(held.before, horizon)
+    fits = series_forecasts(held.before, horizon)
+    arima = fits.withColumn("eligible", F.col("fitted")).drop("fitted")
     return align(rows.where(F.col("forecast_step") <= horizon), arima)
 
 

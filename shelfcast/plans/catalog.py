@@ -365,6 +365,14 @@ def arima_forecast(spark: SparkSession, folder: str) -> DataFrame:
     return arima.forecast_all_skus_arima(series_feature_rows(spark, folder))
 
 
+def arima_contract(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold of every series' forecast, whatever the fit finds: keys, steps, eligibility, zeros."""
+    report = arima.fit_report(arima.series_forecasts(series_feature_rows(spark, folder)))
+    fits = F.col("eligible") | ~F.col("fitted")
+    return report.select(*SERIES, "n_steps", "first_step", "last_step", "eligible", "never_negative",
+                         (F.col("zero_unless_fitted") & fits).alias("zero_unless_fitted"))
+
+
 def ensemble_forecast(spark: SparkSession, folder: str) -> DataFrame:
     return holdout.ensemble_forecast(_held(spark, folder))
 
@@ -487,6 +495,7 @@ QUERIES: dict[str, Query] = {
     "top_features": top_features,
     "score_skus": score_skus,
     "arima_forecast": arima_forecast,
+    "arima_contract": arima_contract,
     "ensemble_forecast": ensemble_forecast,
     "holdout_mape": holdout_mape,
 }

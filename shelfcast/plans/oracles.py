@@ -312,6 +312,12 @@ def oracle_sql() -> dict[str, str]:
     lags = ", ".join(f"units_lag_{n}w" for n in LAG_WEEKS)
     complete = " AND ".join(f"{c} IS NOT NULL" for c in FEATURE_COLUMNS)
     return {
+        "arima_contract": _query(
+            WARM_STEPS,
+            "SELECT store_nbr, item_nbr, 12 AS n_steps, 1 AS first_step, 12 AS last_step, "
+            "count(*) >= 24 AS eligible, TRUE AS never_negative, TRUE AS zero_unless_fitted "
+            "FROM warm GROUP BY store_nbr, item_nbr",
+        ),
         "tree_stumps": _query(WARM_STEPS, _STUMPS),
         "load_train": _query((TRAIN, DAILY), "SELECT * FROM daily"),
         "load_items": _query((ITEMS,), "SELECT * FROM items"),

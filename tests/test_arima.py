@@ -23,25 +23,37 @@ def simulate(n, c, seed):
     return w[200:]
 
 
-def dense_criterion(w, c):
-    """Concentrated exact Gaussian deviance from the full covariance matrix."""
-    n = len(w)
+def dense_criterion(w, c, p=2):
+    """Concentrated exact Gaussian deviance of the values that are there, from the full covariance matrix."""
+    phi, theta = list(c[:p]), [1.0, *c[p:]]
     psi = np.zeros(3000)
-    psi[0] = 1.0
-    for k in range(1, len(psi)):
-        psi[k] = (c[2] if k == 1 else c[3] if k == 2 else 0.0)
-        psi[k] += c[0] * psi[k - 1] + (c[1] * psi[k - 2] if k > 1 else 0.0)
+    for k in range(len(psi)):
+        psi[k] = theta[k] if k < len(theta) else 0.0
+        psi[k] += sum(phi[j] * psi[k - 1 - j] for j in range(min(p, k)))
+    n = len(w)
     gamma = np.array([psi[: len(psi) - h] @ psi[h:] for h in range(n)])
-    cov = gamma[np.abs(np.subtract.outer(np.arange(n), np.arange(n)))]
+    there = np.isfinite(w)
+    cov = gamma[np.abs(np.subtract.outer(np.arange(n), np.arange(n)))][np.ix_(there, there)]
     chol = np.linalg.cholesky(cov)
-    z = np.linalg.solve(chol, w)
+    z = np.linalg.solve(chol, w[there])
+    n = there.sum()
     return n * np.log(z @ z / n) + 2 * np.log(np.diag(chol)).sum()
 
 
-def fitted(w):
-    w = np.asarray(w)[None, :]
-    start = arma._to_unconstrained(arma._start_values(w[0])[None, :])
-    return arma._to_coefficients(arma._maximise(w, np.array([w.shape[1]]), start))[0]
+def criterion(w, c, p=2):
+    """The same from the filter."""
+    seen = np.isfinite(w)[None, :]
+    residual, _ = arma._filter(np.nan_to_num(w)[None, :], seen, np.asarray(c, float)[None, :], p)
+    return seen.sum() * np.log((residual**2).sum() / seen.sum())
+
+
+def fitted(w, p=2, q=2):
+    seen = np.isfinite(w)[None, :]
+    w = np.nan_to_num(w)[None, :]
+    start = arma._to_unconstrained(arma._start_values(w[0], p, q)[None, :], p)
+    u, done = arma._maximise(w, seen, start, p)
+    assert done.all()
+    return arma._to_coefficients(u, p)[0]
 
 
 def test_horizon_and_sign():
@@ -50,10 +62,75 @@ def test_horizon_and_sign():
 
 
 def test_short_and_broken_series_give_zeros():
-    broken = sales_series(60)
-    broken[7] = np.nan
-    got = forecast_batch([sales_series(23), broken, np.array([]), sales_series(24)], 12)
-    assert (got[:3] == 0).all() and (got[3] > 0).all()
+    broken, nothing = sales_series(60), np.full(60, np.nan)
+    broken[7] = np.inf
+    got, done = arma.fit_batch([sales_series(23), broken, np.array([]), nothing, sales_series(24)], 12)
+    assert (got[:4] == 0).all() and (got[4] > 0).all()
+    assert done.tolist() == [False] * 4 + [True]
+
+
+def test_a_series_that_still_improves_is_not_fitted(monkeypatch):
+    monkeypatch.setattr(arma, "MAX_STEPS", 1)
+    got, done = arma.fit_batch([sales_series(104)], 12)
+    assert not done.any() and not got.any()
+
+
+ORDERS = [(2, 2, (0.5, -0.3, 0.4, 0.2)), (1, 0, (0.7,)), (0, 1, (0.5,)), (3, 1, (0.5, -0.2, 0.1, 0.4)), (1, 3, (0.6, 0.3, -0.2, 0.1))]
+
+
+@pytest.mark.parametrize("p,q,c", ORDERS)
+@pytest.mark.parametrize("gaps", [(), (0, 1, 7, 30, 31, 32, 58)])
+def test_filter_equals_the_dense_likelihood(p, q, c, gaps):
+    w = np.random.default_rng(1).standard_normal(60)
+    w[list(gaps)] = np.nan
+    assert criterion(w, c, p) == pytest.approx(dense_criterion(w, c, p), rel=1e-9)
+
+
+@pytest.mark.parametrize("p,q,c", ORDERS)
+def test_fit_of_any_order_is_a_maximum_over_gaps(p, q, c):
+    rng = np.random.default_rng(p + 7 * q)
+    e = rng.standard_normal(400)
+    w = np.zeros(400)
+    for t in range(5, 400):
+        w[t] = sum(c[j] * w[t - 1 - j] for j in range(p)) + e[t] + sum(c[p + j] * e[t - 1 - j] for j in range(q))
+    w = w[250:]
+    w[rng.choice(150, 12, replace=False)] = np.nan
+    best = fitted(w, p, q)
+    at_best = dense_criterion(w, best, p)
+    for k in range(p + q):
+        for step in (-0.02, 0.02):
+            assert dense_criterion(w, best + step * np.eye(p + q)[k], p) >= at_best - 1e-6
+
+
+def test_coefficients_and_partial_autocorrelations_are_inverse():
+    u = np.random.default_rng(2).normal(0, 0.8, (50, 7))
+    np.testing.assert_allclose(arma._to_unconstrained(arma._to_coefficients(u, 4), 4), u, atol=1e-8)
+    assert not arma._reflections(np.array([[1.5, 0.2]])).any()
+
+
+@pytest.mark.parametrize("order", [(2, 1, 2), (1, 0, 0), (0, 1, 0), (0, 2, 1), (0, 0, 0), (1, 1, 1), (3, 2, 2)])
+def test_every_order_forecasts(order):
+    straight = 50 + 2.0 * np.arange(80) + 0.01 * np.random.default_rng(0).standard_normal(80)
+    got, done = arma.fit_batch([straight, sales_series(60)], 6, order=order)
+    assert done.all() and np.isfinite(got).all() and (got > 0).all()
+    if order[1] == 2:
+        np.testing.assert_allclose(got[0], 50 + 2.0 * np.arange(80, 86), atol=1.0)
+    if order == (0, 1, 0):
+        np.testing.assert_allclose(got[0], straight[-1])
+    if order == (0, 0, 0):
+        np.testing.assert_allclose(got[0], straight.mean())
+
+
+def test_missing_values_are_stepped_over():
+    whole = sales_series(120, noise=3.0)
+    holes = whole.copy()
+    holes[[5, 40, 41, 90]] = np.nan
+    got, done = arma.fit_batch([whole, holes, np.r_[np.nan, np.nan, whole], np.r_[whole, np.nan, np.nan]], 8)
+    assert done.all()
+    np.testing.assert_allclose(got[1], got[0], rtol=0.1)
+    np.testing.assert_allclose(got[2], got[0], rtol=1e-3)
+    longer = arma.forecast_batch([whole], 10)[0]
+    np.testing.assert_allclose(got[3], longer[2:], rtol=1e-3)
 
 
 def test_falling_series_is_clipped_at_zero():
@@ -65,13 +142,6 @@ def test_constant_series_stays():
     np.testing.assert_allclose(forecast_batch([np.full(40, 7.0)], 12), 7.0)
 
 
-def test_filter_equals_the_dense_likelihood():
-    w = simulate(60, (0.5, -0.3, 0.4, 0.2), 1)
-    c = np.array([0.4, -0.2, 0.3, 0.1])
-    residual, _ = arma._filter(w[None, :], np.array([60]), c[None, :])
-    assert 60 * np.log((residual**2).sum() / 60) == pytest.approx(dense_criterion(w, c), rel=1e-9)
-
-
 @pytest.mark.parametrize("seed", range(4))
 def test_fit_is_a_maximum_of_the_dense_likelihood(seed):
     w = simulate(150, (0.5, -0.3, 0.4, 0.2), seed)
@@ -94,7 +164,7 @@ def test_fit_is_not_worse_than_the_true_parameters(seed):
     w = simulate(1000, true, seed)
 
     def cost(c):
-        return (arma._filter(w[None, :], np.array([len(w)]), c[None, :])[0] ** 2).sum()
+        return (arma._filter(w[None, :], np.ones((1, len(w)), bool), c[None, :], 2)[0] ** 2).sum()
 
     assert cost(fitted(w)) <= cost(true) * (1 + 1e-9)
 
