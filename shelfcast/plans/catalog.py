@@ -207,17 +207,15 @@ def log_log_features(spark: SparkSession, folder: str) -> DataFrame:
 
 def elasticity_ols(spark: SparkSession, folder: str) -> DataFrame:
     per_item = elasticity.item_moments(elasticity.series_moments(_design(spark, folder)))
-    fitted = elasticity.fit_ols(per_item)
-    values = ["elasticity_promo", "elasticity_baseline", "r_squared"]
-    return rounded(fitted.select("sku", *values, "n_obs"), values)
+    values = ["elasticity_promo", "elasticity_baseline", "r_squared", "p_value_promo", "aic"]
+    return rounded(elasticity.fit_ols(per_item), values)
 
 
 def elasticity_did(spark: SparkSession, folder: str) -> DataFrame:
     rows = _design(spark, folder)
     per_item = elasticity.item_moments(elasticity.series_moments(rows))
     factors = stage(elasticity.did_factors(per_item), "did-factors")
-    values = ["did_att", "did_se", "did_r2"]
-    return rounded(elasticity.fit_did(rows, factors).select("sku", *values), values)
+    return rounded(elasticity.fit_did(rows, factors), ["did_att", "did_se", "did_pvalue", "did_r2"])
 
 
 def _elasticity(spark: SparkSession, folder: str) -> DataFrame:
@@ -225,11 +223,8 @@ def _elasticity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def elasticity_combined(spark: SparkSession, folder: str) -> DataFrame:
-    values = [
-        "elasticity_promo", "elasticity_baseline", "r_squared", "did_att", "did_se", "did_r2",
-    ]
-    rows = _elasticity(spark, folder).select("sku", *values, "n_obs")
-    return rounded(rows, values)
+    rows = _elasticity(spark, folder)
+    return rounded(rows, [c for c in rows.columns if c not in ("sku", "n_obs")])
 
 
 def elasticity_summary(spark: SparkSession, folder: str) -> DataFrame:

@@ -175,6 +175,24 @@ def _centered(name: str, columns: tuple[str, ...], by: str) -> str:
     )
 
 
+def _simpson(of: str, low: str, high: str) -> str:
+    """The integral of ``of``, an expression in x, by Simpson's rule on 2,000 pieces."""
+    x = f"({low} + ({high} - {low}) * i / 2000)"
+    weight = "CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    body = of.replace("x", x)
+    return f"(list_sum(list_transform(range(2001), lambda i: ({weight}) * {body})) * ({high} - {low}) / 6000)"
+
+
+def _t_tail(t: str, df: str) -> str:
+    """Share of the integral of cos(x) ** (df - 1) beyond atan(|t| / sqrt(df))."""
+    of = f"pow(cos(x), {df} - 1)"
+    return f"{_simpson(of, f'atan(abs({t}) / sqrt({df}))', 'pi() / 2')} / {_simpson(of, '0', 'pi() / 2')}"
+
+
+def _normal_tail(z: str) -> str:
+    return f"greatest(1 - sqrt(2 / pi()) * {_simpson('ezp(-(x) * (x) / 2)', '0', f'abs({z})')}, 0)".replace("ezp", "exp")
+
+
 _Y = "log_units"
 _PROMO_LAST = ("week_of_year", "t", "log_demand_baseline", "any_promo")
 _BASELINE_LAST = ("week_of_year", "t", "any_promo", "log_demand_baseline")
@@ -185,14 +203,19 @@ OLS_STEPS = (
     _centered("within", (*_PROMO_LAST, _Y), "PARTITION BY item_nbr, store_nbr"),
     _orthogonal("within", "promo_fit", _PROMO_LAST, _Y),
     _orthogonal("within", "baseline_fit", _BASELINE_LAST, _Y),
-    """ols AS (
+    f"""ols AS (
   SELECT CAST(p.item_nbr AS VARCHAR) AS sku, p.elasticity_promo, q.elasticity_baseline,
-         p.r_squared, p.n_obs
-  FROM (SELECT item_nbr, any_value(CASE WHEN ok_any_promo THEN b_any_promo END) AS elasticity_promo,
+         p.r_squared, p.n_obs, {_t_tail("elasticity_promo / promo_se", "df")} AS p_value_promo, p.aic
+  FROM (SELECT *, CASE WHEN df > 0 THEN sqrt(ssr / df / d) END AS promo_se,
+          CASE WHEN ssr > 0 THEN n_obs * (ln(2 * pi()) + ln(ssr / n_obs) + 1) + 2 * (n_obs - df) END AS aic
+        FROM (SELECT item_nbr, any_value(CASE WHEN ok_any_promo THEN b_any_promo END) AS elasticity_promo,
+               any_value(CASE WHEN ok_any_promo THEN d_any_promo END) AS d, sum(e * e) AS ssr,
+               count(*) - count(DISTINCT store_nbr) - any_value(ok_week_of_year::INT + ok_t::INT
+                 + ok_log_demand_baseline::INT + ok_any_promo::INT) AS df,
                CASE WHEN sum(about_grand_mean * about_grand_mean) > 0
                  THEN 1 - sum(e * e) / sum(about_grand_mean * about_grand_mean) END AS r_squared,
                count(*) AS n_obs
-        FROM promo_fit GROUP BY item_nbr HAVING count(*) >= 52) p
+        FROM promo_fit GROUP BY item_nbr HAVING count(*) >= 52)) p
   JOIN (SELECT item_nbr, any_value(CASE WHEN ok_log_demand_baseline THEN b_log_demand_baseline END)
                  AS elasticity_baseline
         FROM baseline_fit GROUP BY item_nbr) q USING (item_nbr))""",
@@ -201,7 +224,8 @@ OLS_STEPS = (
 DID_ONLY = (
     _centered("about_mean", (*_DID, _Y), "PARTITION BY item_nbr"),
     _orthogonal("about_mean", "did_fit", _DID, _Y),
-    """did AS (
+    f"""did AS (
+  SELECT *, {_normal_tail("did_att / did_se")} AS did_pvalue FROM (
   SELECT CAST(item_nbr AS VARCHAR) AS sku,
          any_value(CASE WHEN ok_treated_post THEN b_treated_post END) AS did_att,
          CASE WHEN bool_and(ok_treated_post) AND min(1 - h) >= 1e-9
@@ -210,7 +234,7 @@ DID_ONLY = (
                 / any_value(d_treated_post) END AS did_se,
          CASE WHEN sum(log_units * log_units) > 0
            THEN 1 - sum(e * e) / sum(log_units * log_units) END AS did_r2
-  FROM did_fit GROUP BY item_nbr HAVING count(*) >= 52)""",
+  FROM did_fit GROUP BY item_nbr HAVING count(*) >= 52))""",
 )
 DID_STEPS = (*WARM_STEPS, DESIGN, *DID_ONLY)
 ELASTICITY_STEPS = (
@@ -413,17 +437,19 @@ FROM oil""",
         ),
         "elasticity_ols": _query(
             OLS_STEPS,
-            f"SELECT sku, {_round('elasticity_promo', 'elasticity_baseline', 'r_squared')}, "
-            "n_obs FROM ols",
+            "SELECT sku, "
+            + _round("elasticity_promo", "elasticity_baseline", "r_squared", "p_value_promo", "aic")
+            + ", n_obs FROM ols",
         ),
         "elasticity_did": _query(
-            DID_STEPS, f"SELECT sku, {_round('did_att', 'did_se', 'did_r2')} FROM did"
+            DID_STEPS, f"SELECT sku, {_round('did_att', 'did_se', 'did_pvalue', 'did_r2')} FROM did"
         ),
         "elasticity_combined": _query(
             ELASTICITY_STEPS,
             "SELECT sku, "
             + _round(
-                "elasticity_promo", "elasticity_baseline", "r_squared", "did_att", "did_se", "did_r2"
+                "elasticity_promo", "elasticity_baseline", "r_squared", "p_value_promo", "aic", "did_att",
+                "did_se", "did_pvalue", "did_r2",
             )
             + ", n_obs FROM elasticity",
         ),
