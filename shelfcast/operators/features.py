@@ -25,8 +25,8 @@ from shelfcast.schemas import FEATURES
 Stage = Callable[[DataFrame, str], DataFrame]
 
 
-def sku_window(order_col: str = "week_start") -> WindowSpec:
-    return Window.partitionBy(*SERIES).orderBy(order_col)
+def sku_window() -> WindowSpec:
+    return Window.partitionBy(*SERIES).orderBy("week_start")
 
 
 def _previous(n: int) -> WindowSpec:
@@ -53,6 +53,28 @@ def add_rolling_features(df: DataFrame, windows: Sequence[int] = ROLLING_WINDOWS
     )
 
 
+def _weeks_back(first: int, last: int) -> WindowSpec:
+    """The weeks from ``first`` to ``last`` before the current one, by the calendar. Days since a fixed Monday
+    divide by seven without rest, as all weeks begin on one."""
+    number = F.unix_date("week_start") / F.lit(7)
+    return Window.partitionBy(*SERIES).orderBy(F.floor(number).cast("int")).rangeBetween(-first, -last)
+
+
+def add_calendar_features(
+    df: DataFrame, weeks: Sequence[int] = LAG_WEEKS, windows: Sequence[int] = ROLLING_WINDOWS
+) -> DataFrame:
+    """Lags and trailing statistics by week number instead of row: a week without a row is missing, and
+    moves no other week. A lag is NULL where that week has no row; statistics are over the rows there are,
+    ``weeks_seen_{n}w`` counts them."""
+    lags = {f"units_{n}w_ago": F.max(TARGET).over(_weeks_back(n, n)) for n in weeks}
+    stats = {"mean": F.avg, "std": F.stddev_samp, "max": F.max}
+    trailing = {
+        f"calendar_{name}_{n}w": stat(TARGET).over(_weeks_back(n, 1)) for n in windows for name, stat in stats.items()
+    }
+    seen = {f"weeks_seen_{n}w": F.count(TARGET).over(_weeks_back(n, 1)) for n in windows}
+    return df.withColumns(lags | trailing | seen)
+
+
 def add_yoy_features(df: DataFrame) -> DataFrame:
     """Relative change against 52 rows earlier; NULL unless that week sold something."""
     if "units_lag_52w" not in df.columns:

@@ -26,11 +26,13 @@ from shelfcast.operators import (
     features,
     holdout,
     ids,
+    refresh,
     run_selection,
     scoring,
     trees,
     weekly,
 )
+from shelfcast.schemas import FEATURES
 from shelfcast.sources import readers, sinks, star
 from shelfcast.sources.staging import fresh_path, stage
 
@@ -149,6 +151,30 @@ def features_cold_start(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(rows, ["avg_daily_units", *STATS, "yoy_growth", "promo_rate_4w", "price_gap_vs_family"])
 
 
+def calendar_lags(spark: SparkSession, folder: str) -> DataFrame:
+    """Lags and trailing statistics by week number."""
+    rows = features.add_calendar_features(weekly_facts(spark, folder))
+    own = [c for c in rows.columns if c.startswith(("units_", "calendar_", "weeks_seen_"))]
+    return rounded(rows.select(*PANEL_KEY, *own), [c for c in own if c.startswith("calendar_")])
+
+
+def features_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """Features built before the last months were known and before some rows of earlier years were corrected, then
+    refreshed by what changed: equal to those built at once."""
+    weekly_rows = written_panel(spark, folder)
+    late = F.col("week_start") >= F.date_sub(F.lit(weekly_rows.agg(F.max("week_start")).scalar()), 7 * 20)
+    corrected = (F.pmod(F.xxhash64(*PANEL_KEY), F.lit(199)) == 0) & ~late
+    before = weekly_rows.where(~late).withColumn(
+        "weekly_units", F.when(corrected, F.col("weekly_units") + 7).otherwise(F.col("weekly_units"))
+    )
+    path = fresh_path(spark, "features-by-year")
+    sinks.write_by_year(features.feature_table(stage(before, "weekly-before"), stage), path)
+    refresh.refresh_features(weekly_rows, path, weekly_rows.where(late | corrected).select(*PANEL_KEY), stage)
+    rows = spark.read.parquet(path).withColumn("year", F.col("year").cast("int"))
+    rows = rows.select(*FEATURES.fieldNames())
+    return rounded(rows, ["avg_daily_units", *STATS, "yoy_growth", "promo_rate_4w", "price_gap_vs_family"])
+
+
 # ---- model inputs ----------------------------------------------------------------------------
 
 
@@ -458,6 +484,8 @@ QUERIES: dict[str, Query] = {
     "promo_rate": promo_rate,
     "price_gap": price_gap,
     "features_cold_start": features_cold_start,
+    "calendar_lags": calendar_lags,
+    "features_refresh": features_refresh,
     "entity_ids": entity_ids,
     "training_matrix": training_matrix,
     "cv_folds": cv_folds,

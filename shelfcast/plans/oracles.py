@@ -303,6 +303,33 @@ def _member(name: str) -> str:
     )
 
 
+def _calendar_lags() -> str:
+    lags = [
+        f"(SELECT max(p.weekly_units) FROM facts p WHERE p.store_nbr = f.store_nbr AND p.item_nbr = f.item_nbr "
+        f"AND p.week_start = f.week_start - INTERVAL {n} WEEK) AS units_{n}w_ago"
+        for n in (1, 2, 4, 8, 12, 26, 52)
+    ]
+    joins, stats = [], []
+    for n in (4, 12, 26):
+        joins.append(
+            f"t{n} AS (SELECT f.week_start, f.store_nbr, f.item_nbr, avg(p.weekly_units) AS a, "
+            "stddev_samp(p.weekly_units) AS s, max(p.weekly_units) AS m, count(p.weekly_units) AS c "
+            "FROM facts f LEFT JOIN facts p ON p.store_nbr = f.store_nbr AND p.item_nbr = f.item_nbr "
+            f"AND p.week_start < f.week_start AND p.week_start >= f.week_start - INTERVAL {n} WEEK GROUP BY ALL)"
+        )
+        stats.append(
+            f"round(t{n}.a, 6) AS calendar_mean_{n}w, round(t{n}.s, 6) AS calendar_std_{n}w, "
+            f"round(t{n}.m, 6) AS calendar_max_{n}w, t{n}.c AS weeks_seen_{n}w"
+        )
+    using = " ".join(f"JOIN t{n} USING (week_start, store_nbr, item_nbr)" for n in (4, 12, 26))
+    return (
+        ", " + ", ".join(joins)
+        + f" SELECT week_start, store_nbr, item_nbr, {', '.join(lags)}, {', '.join(stats)} FROM facts f {using}"
+    )
+
+
+_CALENDAR_LAGS = _calendar_lags()
+
 _STUMPS = """, rows AS (
   SELECT weekly_units - avg(weekly_units) OVER () AS r, any_promo, week_of_year, month, quarter,
          is_holiday_season, store_nbr FROM warm
@@ -335,7 +362,8 @@ def oracle_sql() -> dict[str, str]:
     )
     lags = ", ".join(f"units_lag_{n}w" for n in LAG_WEEKS)
     complete = " AND ".join(f"{c} IS NOT NULL" for c in FEATURE_COLUMNS)
-    return {
+    found = {
+        "calendar_lags": _query(PANEL_STEPS, _CALENDAR_LAGS),
         "arima_contract": _query(
             WARM_STEPS,
             "SELECT store_nbr, item_nbr, 12 AS n_steps, 1 AS first_step, 12 AS last_step, "
@@ -551,3 +579,4 @@ FROM oil""",
             "FROM runs ORDER BY runs.mape, run_id LIMIT 10",
         ),
     }
+    return found | {"features_refresh": found["features_cold_start"]}
