@@ -107,6 +107,16 @@ def clustered_layout(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def bucketed_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Lags and trailing means over a weekly table laid out by series: the windows read it without a shuffle."""
+    path = fresh_path(spark, "by-series")
+    sinks.write_bucketed(weekly_facts(spark, folder), path, SERIES, ("week_start",))
+    rows = features.add_rolling_features(features.add_lag_features(sinks.read_bucketed(spark, path)))
+    means = [c for c in STATS if "mean" in c]
+    lags = [c for c in rows.columns if c.startswith("units_lag_")]
+    return rounded(rows.select(*PANEL_KEY, *lags, *means), means)
+
+
 # ---- features --------------------------------------------------------------------------------
 
 STATS = [f"rolling_{s}_{n}w" for n in (4, 12, 26) for s in ("mean", "std", "max")]
@@ -472,6 +482,7 @@ QUERIES: dict[str, Query] = {
     "oil_ffill": lambda spark, folder: readers.fill_forward(star.oil(spark, folder), "dcoilwtico"),
     "sink_roundtrip": sink_roundtrip,
     "clustered_layout": clustered_layout,
+    "bucketed_features": bucketed_features,
     "aggregate_weekly": lambda spark, folder: rounded(
         weekly_facts(spark, folder), ["avg_daily_units"]
     ),

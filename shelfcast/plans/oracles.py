@@ -363,6 +363,11 @@ def oracle_sql() -> dict[str, str]:
     lags = ", ".join(f"units_lag_{n}w" for n in LAG_WEEKS)
     complete = " AND ".join(f"{c} IS NOT NULL" for c in FEATURE_COLUMNS)
     found = {
+        "bucketed_features": _query(
+            FEATURE_STEPS,
+            f"SELECT {_KEY}, units_lag_1w, units_lag_2w, units_lag_4w, units_lag_8w, units_lag_12w, units_lag_26w, "
+            f"units_lag_52w, {_round('rolling_mean_4w', 'rolling_mean_12w', 'rolling_mean_26w')} FROM features",
+        ),
         "calendar_lags": _query(PANEL_STEPS, _CALENDAR_LAGS),
         "arima_contract": _query(
             WARM_STEPS,

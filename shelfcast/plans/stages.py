@@ -19,6 +19,7 @@ from shelfcast.constants import (
     MIN_OBS_PER_SKU,
     PARITY_EXPERIMENT,
     SCORING_THRESHOLD,
+    SERIES,
     TREE_SETTINGS,
     TREE_WEIGHT,
     TREES_PARAM,
@@ -44,7 +45,14 @@ from shelfcast.sources.readers import (
     load_train,
     read_or_empty,
 )
-from shelfcast.sources.sinks import write_by_year, write_small_csv, write_table
+from shelfcast.sources.sinks import (
+    read_bucketed,
+    write_bucketed,
+    write_by_year,
+    write_clustered,
+    write_small_csv,
+    write_table,
+)
 from shelfcast.sources.staging import stage
 
 STAGES = ("ingest", "features", "elasticity", "forecast", "score", "export")
@@ -57,14 +65,17 @@ def _at(spark: SparkSession, out: str, table: str) -> DataFrame:
 def ingest(spark: SparkSession, source: Warehouse, out: str) -> dict[str, int]:
     items, stores = load_items(spark, source), load_stores(spark, source)
     panel = weekly.enrich(weekly.aggregate_weekly(load_train(spark, source)), items, stores)
-    tables = {
-        "train_weekly": panel, "items": items, "stores": stores, "oil": load_oil(spark, source),
+    return {
+        # Every later window is over a series: the weekly table is laid out for them.
+        "train_weekly": write_bucketed(panel, f"{out}/train_weekly", SERIES, ("week_start",)),
+        "items": write_clustered(items, f"{out}/items", ("family",)),
+        "stores": write_table(stores, f"{out}/stores"),
+        "oil": write_table(load_oil(spark, source), f"{out}/oil"),
     }
-    return {name: write_table(df, f"{out}/{name}") for name, df in tables.items()}
 
 
 def build_features(spark: SparkSession, out: str) -> int:
-    rows = features.feature_table(_at(spark, out, "train_weekly"), stage)
+    rows = features.feature_table(read_bucketed(spark, f"{out}/train_weekly"), stage)
     return write_by_year(rows, f"{out}/features")
 
 

@@ -5,6 +5,7 @@ from frames import rows_of
 from pyspark.sql import functions as F
 
 from shelfcast import schemas
+from shelfcast.operators import features
 from shelfcast.sources import readers, sinks, staging
 from shelfcast.sources.readers import Warehouse, clean_sales, fill_forward, read_or_empty
 
@@ -117,3 +118,31 @@ def test_staged_table_lives_in_the_checkpoint_folder(spark):
     assert staged.count() == 10
     root = staging.staging_root(spark)
     assert all(root in f for f in staged.inputFiles())
+
+
+def _exchanges_under_windows(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[plan.index("Window") :].count("Exchange")
+
+
+def test_a_bucketed_table_needs_no_shuffle_for_its_series(spark, tmp_path):
+    rows = spark.range(600).selectExpr(
+        "date_add(date'2018-01-01', int(7 * (id % 60))) AS week_start", "int(id / 300) AS store_nbr",
+        "int((id / 60) % 5) AS item_nbr", "double(id % 37) AS weekly_units",
+    )
+    path = f"{tmp_path}/series"
+    assert sinks.write_bucketed(rows, path, ("store_nbr", "item_nbr"), ("week_start",), 3) == 600
+    back = sinks.read_bucketed(spark, path)
+    assert rows_of(back) == rows_of(rows)
+    windowed = features.add_rolling_features(features.add_lag_features(back))
+    assert _exchanges_under_windows(windowed) == 0
+    assert _exchanges_under_windows(features.add_lag_features(rows)) > 0
+    assert rows_of(windowed) == rows_of(features.add_rolling_features(features.add_lag_features(rows)))
+    # Another session knows the path alone.
+    spark.sql(f"DROP TABLE {sinks._table_name(path)}")
+    again = features.add_lag_features(sinks.read_bucketed(spark, path))
+    assert _exchanges_under_windows(again) == 0 and again.count() == 600
+    # Written anew with other rows and buckets.
+    assert sinks.write_bucketed(rows.where("item_nbr > 1"), path, ("store_nbr", "item_nbr"), ("week_start",), 2) == 360
+    assert sinks.read_bucketed(spark, path).count() == 360
+    assert len(list((tmp_path / "series").glob("*.parquet"))) <= 2
