@@ -7,6 +7,7 @@ set count one, and only the rest go through the merges.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.frames import worker_memory
-from shelfcast.llm.tokens import LONG_PIECE, REMEMBERED, arrow_texts, load, pieces, whole
+from shelfcast.llm.tokens import LONG_PIECE, PLAIN, REMEMBERED, arrow_texts, load, pieces, whole
 
 # Fixed value: the pattern of the byte-level pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -35,6 +36,12 @@ class Counter:
 
     def __init__(self, path: str):
         self.library = load(path)
+        settings = json.loads(self.library.to_str())
+        cutter = settings["pre_tokenizer"] or {}
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        marks = [t.single_word or t.lstrip or t.rstrip for t in self.library.get_added_tokens_decoder().values()]
+        if settings["normalizer"] is not None or not plain.items() <= cutter.items() or any(marks):
+            raise ValueError("the tokenizer does not cut texts by the byte-level pattern alone")
         self.model = self.library.model
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.letters = {b: letter for b, letter in enumerate(byte_letters())}
@@ -60,7 +67,8 @@ class Counter:
         return len(self.model.tokenize(pre_token.encode().decode("latin-1").translate(self.letters)))
 
     def piece(self, text: str) -> int:
-        if any(s in text for s in self.special):
+        # Beyond, the pattern's character tables here and in the library may be of different years.
+        if not text.isascii() and max(text) >= PLAIN or any(s in text for s in self.special):
             return len(self.library.encode(text, add_special_tokens=False).ids)
         proven = self.proven
         return sum(1 if p in proven else self.merged(p) for p in self.find(text))
