@@ -28,7 +28,8 @@ PIVOT_ROWS = 2048
 TREE_ROWS = 8192
 TREE_QUERIES = 2048
 LEAF, FAN = 128, 16
-LARGEST = 1 << 22  # of a component; products are then exact in doubles for up to 512 dimensions
+EXACT = 1 << 53  # up to this squared norm all products are exact in doubles; beyond, they are Python's integers
+LARGEST = 1 << 62  # of a component, either sign
 PAGES = (
     "cell int, tree long, node int, parent int, leaf boolean, center array<double>, radius double, "
     "to_parent double, distances array<double>, ids array<array<long>>, vectors array<array<long>>"
@@ -36,10 +37,11 @@ PAGES = (
 FOUND = "query long, query_id long, vec_id long, score long"
 
 
-def _lift(vectors: np.ndarray, norm: int) -> np.ndarray:
+def _lift(vectors: np.ndarray, norm: float) -> np.ndarray:
     """One more coordinate, so that every row has squared norm ``norm``."""
-    rest = norm - (vectors * vectors).sum(axis=1)
-    return np.column_stack([vectors, np.sqrt(np.maximum(rest, 0))]).astype(float)
+    points = np.asarray(vectors, float)
+    rest = norm - (points * points).sum(axis=1)
+    return np.column_stack([points, np.sqrt(np.maximum(rest, 0))])
 
 
 def _to(points: np.ndarray, center: np.ndarray) -> np.ndarray:
@@ -94,9 +96,10 @@ def build(ids: list, vectors: np.ndarray, norm: int) -> list[dict]:
 class Tree:
     """The pages of a tree, read back."""
 
-    def __init__(self, pages: pd.DataFrame, norm: int):
+    def __init__(self, pages: pd.DataFrame, norm: float):
         pages = pages.sort_values("node")
         self.norm = norm
+        self.kind = float if norm < EXACT else object
         self.leaf = pages["leaf"].to_numpy()
         self.center, self.radius = matrix(pages["center"]), pages["radius"].to_numpy()
         self.to_parent = pages["to_parent"].to_numpy()
@@ -104,10 +107,13 @@ class Tree:
         self.children = [np.flatnonzero(parents == i) for i in range(len(pages))]
         self.distances = [np.asarray(d) for d in pages["distances"]]
         self.ids = pages["ids"].tolist()
-        self.vectors = [np.array([list(v) for v in vs], dtype=float) for vs in pages["vectors"]]
+        self.vectors = [np.array([list(map(int, v)) for v in vs], dtype=self.kind) for vs in pages["vectors"]]
 
     def search(self, query_id: int, query: np.ndarray, k: int, floor: float) -> list[tuple[int, int]]:
-        """(score, id) of the k best, by score and then smaller id, that reach ``floor``."""
+        """(score, id) of the k best, by score and then smaller id, that reach ``floor``. ``query`` has whole numbers; bounds
+        are floating-point numbers with a slack far above their error, whatever the size."""
+        asked = np.array(list(map(int, query)), dtype=self.kind)
+        query = np.asarray(query, float)
         square = float(query @ query) + self.norm
         slack = 1e-6 * (1 + square**0.5)
         point = np.append(query, 0.0)
@@ -136,14 +142,14 @@ class Tree:
                 continue
             stored = self.distances[node]
             near = np.flatnonzero(np.abs(far - stored) <= limit)
-            scores = self.vectors[node][near] @ query
+            scores = self.vectors[node][near] @ asked if len(near) else np.zeros(0)
             if len(best) == k:
                 ok = scores >= worst
                 near, scores = near[ok], scores[ok]
             for i, score in zip(near.tolist(), scores.tolist(), strict=True):
                 for v in self.ids[node][i]:
                     if v != query_id and score > best.get(v, -np.inf):
-                        best[v] = int(score)
+                        best[v] = min(max(int(score), -(1 << 63)), (1 << 63) - 1)
             if len(best) > k:
                 best = dict(heapq.nlargest(k, best.items(), key=lambda e: (e[1], -e[0])))
             if len(best) == k:
@@ -153,8 +159,10 @@ class Tree:
 
 
 def whole_numbers(rows: DataFrame, factor: int = 256) -> DataFrame:
+    most = F.lit(float(LARGEST))
     return rows.withColumn(
-        "vector", F.transform("vector", lambda x: F.floor(x.cast("double") * factor).cast("long"))
+        "vector",
+        F.transform("vector", lambda x: F.floor(F.least(F.greatest(x.cast("double") * factor, -most), most)).cast("long")),
     )
 
 
@@ -167,18 +175,16 @@ def top_products(
 
     Null and non-finite vectors, null ids and vectors of another than the table's most frequent length
     take no part. Rows repeated in id and vector count once; an id with several vectors is a query for
-    each and a candidate with its best. Components of 2**22 and more raise an error. An empty
-    table gives no rows; other columns are not read.
+    each and a candidate with its best. Products are exact at any size; a component counts as at most
+    2**62, and a product beyond a long as the end of the longs. An empty table gives no rows; other
+    columns are not read.
     """
     good = usable(embeddings, key, vector, nonzero=False)
     rows = Staged(whole_numbers(good).distinct(), "whole").rows
     index = Staged(classes(rows, k + 1), "classes").rows
-    square = F.aggregate("vector", F.lit(0).cast("long"), lambda s, x: s + x * x)
-    largest = F.array_max(F.transform("vector", F.abs))
-    n, norm, top = index.agg(F.count(F.lit(1)), F.max(square), F.max(largest)).first()
-    if top is not None and top >= LARGEST:
-        raise ValueError(f"components reach {top}; whole-numbered vectors are limited to {LARGEST - 1}")
-    norm = norm or 0
+    square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    n, norm = index.agg(F.count(F.lit(1)), F.max(square)).first()
+    norm = norm or 0.0
     count = min(PIVOTS, max(1, n // PIVOT_ROWS))
     drawn = index.orderBy(F.xxhash64("vector"), "vector").limit(count).select("vector").collect()
     pivots = _lift(np.array([list(r["vector"]) for r in drawn], np.int64), norm) if drawn else np.zeros((1, 1))
@@ -261,7 +267,7 @@ def top_products(
             tree = Tree(data, norm)
             for q in queries.itertuples(index=False):
                 floor = -np.inf if q.floor is None or np.isnan(q.floor) else q.floor
-                found = tree.search(q.query_id, np.asarray(q.vector, dtype=float), k, floor)
+                found = tree.search(q.query_id, q.vector, k, floor)
                 out.extend((q.query, q.query_id, v, score) for score, v in found)
         return pd.DataFrame(out, columns=["query", "query_id", "vec_id", "score"])
 

@@ -1,5 +1,8 @@
 """Vector searches against brute force, the classifier on held-out labels, the pipeline's stages."""
 
+import math
+import random
+
 import duckdb
 import numpy as np
 import pytest
@@ -147,3 +150,22 @@ def test_pipeline_runs_on_nothing(spark, nothing):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, DATA)
     assert docs.count() == 0
+
+
+def test_mtree_is_exact_at_any_size(spark, monkeypatch):
+    monkeypatch.setattr(mtree, "PIVOT_ROWS", 40)
+    monkeypatch.setattr(mtree, "TREE_ROWS", 30)
+    monkeypatch.setattr(mtree, "LEAF", 6)
+    rng, kind = random.Random(12), "vec_id long, embedding array<double>"
+    for sizes in ((1.0, 16384.0), (1.0, 3e6, 9e6)):
+        rows = [(i, [rng.choice(sizes) * rng.uniform(-1, 1) for _ in range(6)]) for i in range(150)]
+        whole = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+        got = {}
+        for r in mtree.top_products(clashing(spark.createDataFrame(rows, kind))).collect():
+            got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+        for q in (i for i in whole if i % 50 == 0):
+            scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)
+            assert sorted(got[q]) == [(n + 1, i, -s) for n, (s, i) in enumerate(scores[:5])]
+    # Beyond the longs: no error, and the ends of the longs instead.
+    far = mtree.top_products(clashing(spark.createDataFrame([(0, [1e300, 0.0]), (1, [1e300, 1.0]), (2, [-1e300, 1.0]), (3, [1.0, 1.0])], kind)))
+    assert [(r.vec_id, r.score) for r in sorted(far.collect())][0] == (1, 2**63 - 1)
