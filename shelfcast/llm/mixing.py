@@ -1,7 +1,7 @@
 """Mixing sources to target weights, block by block, with DataFrame functions only.
 
-The words of a source, documents in key order, form a stream that is packed into blocks of fixed
-length (the last one may be shorter). A source gets as many slots as its target needs. The slots
+The words of a source, documents in key order, form a stream that is packed into blocks of one
+length, shorter for a small source (the last one may be shorter still). A source gets as many slots as its target needs. The slots
 of all sources are dealt to output shards by one keyed permutation: each shard's source counts are a
 multinomial draw conditioned on the sources' totals, so no source misses its target by chance
 and none outgrows its limit. A source's slots run through its blocks in a pseudorandom order,
@@ -21,7 +21,8 @@ from shelfcast.llm.sharding import permute
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_REPEATS = 2
-BLOCK_WORDS = 64
+BLOCK_WORDS = 64  # at most; a source has at least LEAST_BLOCKS blocks, or one for each word
+LEAST_BLOCKS = 128
 SHARD_SLOTS = 4096
 SHUFFLES = 24  # swap-or-not rounds of a source's block order
 CHUNK = 1 << 14
@@ -121,10 +122,13 @@ class Mixture:
             total="size",
         ).drop("_last", "_crc")
         by_source = first.rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-        blocks = F.ceil(F.col("source_size") / block_words)
+        # Half a block at most is what rounding to whole blocks costs a target.
+        own = F.greatest(F.lit(1).cast("long"), F.least(F.lit(block_words).cast("long"), F.expr(f"source_size div {LEAST_BLOCKS}")))
+        blocks = F.ceil(F.col("source_size") / F.col("block_size"))
         wanted = F.round(F.col("target") * F.col("blocks") / F.greatest("source_size", F.lit(1)))
         self.sources = Staged(
             targets(by_source, weights, share, most)
+            .withColumn("block_size", own)
             .withColumn("blocks", blocks)
             .withColumn("quota", F.least(F.col("blocks") * most, wanted.cast("long")))
             .withColumn(
@@ -146,7 +150,7 @@ class Mixture:
         first.drop()
         total = self.sources.agg(F.sum("quota")).first()[0] or 0
         self.slots = Staged(self._slots(total, shard_slots, seed), "slots").rows
-        self.spans = self._spans(block_words)
+        self.spans = self._spans()
 
     def _slots(self, total: int, shard_slots: int, seed: int) -> DataFrame:
         """(shard, slot, rank, block): two expansions, so that a source with most of the slots is
@@ -172,15 +176,15 @@ class Mixture:
             "block",
         )
 
-    def _spans(self, block_words: int) -> DataFrame:
+    def _spans(self) -> DataFrame:
         """(shard, slot, rank, block, row_number, word, words): ``words`` words of the document from
         its ``word``-th on. Joined on (rank, block), of which no value has more rows than a block
         has words and a block has uses."""
-        has = self.rows.where("size > 0").select("rank", "row_number", "size", "from")
-        last = F.expr(f"(`from` + size - 1) div {block_words}")
-        parts = has.withColumn("block", F.explode(F.sequence(F.expr(f"`from` div {block_words}"), last)))
-        low = F.greatest(F.col("block") * block_words, "from")
-        high = F.least((F.col("block") + 1) * block_words, F.col("from") + F.col("size"))
+        has = self.rows.where("size > 0").select("rank", "row_number", "size", "from", "block_size")
+        last = F.expr("(`from` + size - 1) div block_size")
+        parts = has.withColumn("block", F.explode(F.sequence(F.expr("`from` div block_size"), last)))
+        low = F.greatest(F.col("block") * F.col("block_size"), "from")
+        high = F.least((F.col("block") + 1) * F.col("block_size"), F.col("from") + F.col("size"))
         parts = parts.select(
             "rank", "block", "row_number", (low - F.col("from")).alias("word"), (high - low).alias("words")
         )
@@ -195,7 +199,8 @@ class Mixture:
 
     def texts(self) -> DataFrame:
         """(row_number, own, repeat, text): a row's ``repeat``-th copy in the mix has the words of
-        those of its spans that are used at least so often; with all words it is the text itself.
+        those of its spans that are used at least so often, joined by single spaces (line breaks are not
+        kept); with all words it is the text itself.
         ``own`` must carry the text."""
         used = self.spans.groupBy("row_number", "word", "words").agg(F.count(F.lit(1)).alias("uses"))
         by_row = used.groupBy("row_number").agg(
