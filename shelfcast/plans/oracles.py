@@ -190,7 +190,8 @@ def _t_tail(t: str, df: str) -> str:
 
 
 def _normal_tail(z: str) -> str:
-    return f"greatest(1 - sqrt(2 / pi()) * {_simpson('ezp(-(x) * (x) / 2)', '0', f'abs({z})')}, 0)".replace("ezp", "exp")
+    inside = _simpson("ezp(-(x) * (x) / 2)", "0", f"abs({z})").replace("ezp", "exp")
+    return f"CASE WHEN {z} IS NOT NULL THEN greatest(1 - sqrt(2 / pi()) * {inside}, 0) END"
 
 
 _Y = "log_units"
@@ -205,7 +206,7 @@ OLS_STEPS = (
     _orthogonal("within", "baseline_fit", _BASELINE_LAST, _Y),
     f"""ols AS (
   SELECT CAST(p.item_nbr AS VARCHAR) AS sku, p.elasticity_promo, q.elasticity_baseline,
-         p.r_squared, p.n_obs, {_t_tail("elasticity_promo / promo_se", "df")} AS p_value_promo, p.aic
+         p.r_squared, p.n_obs, {_t_tail("elasticity_promo / nullif(promo_se, 0)", "df")} AS p_value_promo, p.aic
   FROM (SELECT *, CASE WHEN df > 0 THEN sqrt(ssr / df / d) END AS promo_se,
           CASE WHEN ssr > 0 THEN n_obs * (ln(2 * pi()) + ln(ssr / n_obs) + 1) + 2 * (n_obs - df) END AS aic
         FROM (SELECT item_nbr, any_value(CASE WHEN ok_any_promo THEN b_any_promo END) AS elasticity_promo,
@@ -225,7 +226,7 @@ DID_ONLY = (
     _centered("about_mean", (*_DID, _Y), "PARTITION BY item_nbr"),
     _orthogonal("about_mean", "did_fit", _DID, _Y),
     f"""did AS (
-  SELECT *, {_normal_tail("did_att / did_se")} AS did_pvalue FROM (
+  SELECT *, {_normal_tail("did_att / nullif(did_se, 0)")} AS did_pvalue FROM (
   SELECT CAST(item_nbr AS VARCHAR) AS sku,
          any_value(CASE WHEN ok_treated_post THEN b_treated_post END) AS did_att,
          CASE WHEN bool_and(ok_treated_post) AND min(1 - h) >= 1e-9
