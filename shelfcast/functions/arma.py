@@ -20,7 +20,7 @@ from shelfcast.functions.shipping import ship_by_value
 ship_by_value(__name__)
 
 MAX_STEPS = 500  # a series that still improves after so many is not fitted
-IMPROVES = 1e-6  # share of the cost by which one of SLOW steps in a row has to lower it
+IMPROVES = 1e-5  # share of the cost by which one of SLOW steps in a row has to lower it
 SLOW = 3
 CHUNK = 256
 Order = tuple[int, int, int]
