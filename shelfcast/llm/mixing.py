@@ -208,18 +208,19 @@ class Mixture:
         )
         rows = self.rows.select("row_number", "own", "size").join(by_row, "row_number")
         most = F.aggregate("_spans", F.lit(0).cast("long"), lambda m, s: F.greatest(m, s["uses"]))
-        copies = rows.withColumn("repeat", F.explode(F.sequence(F.lit(1).cast("long"), most)))
-        chosen = copies.withColumn("_spans", F.filter("_spans", lambda s: s["uses"] >= F.col("repeat")))
         count = F.aggregate("_spans", F.lit(0).cast("long"), lambda n, s: n + s["words"])
+        # A text is cut into words below the explode: above it, the planner would move the cut into the
+        # function that runs for every span.
+        even = (count == F.col("size")) & ~F.exists("_spans", lambda s: s["uses"] != F.col("_most"))
         words = F.regexp_extract_all(F.col("own.text"), F.lit(WORD), F.lit(0))
-        cut = F.transform(
+        cut = rows.withColumn("_most", most).withColumn("_words", F.when(~even, words))
+        copies = cut.withColumn("repeat", F.explode(F.sequence(F.lit(1).cast("long"), "_most")))
+        chosen = copies.withColumn("_spans", F.filter("_spans", lambda s: s["uses"] >= F.col("repeat")))
+        taken = F.transform(
             "_spans", lambda s: F.slice("_words", (s["word"] + 1).cast("int"), s["words"].cast("int"))
         )
-        whole = chosen.withColumn("_all", count == F.col("size")).withColumn(
-            "_words", F.when(~F.col("_all"), words)
-        )
-        text = F.when(F.col("_all"), F.col("own.text")).otherwise(F.array_join(F.flatten(cut), " "))
-        return whole.select("row_number", "own", "repeat", text.alias("text"))
+        text = F.when(count == F.col("size"), F.col("own.text")).otherwise(F.array_join(F.flatten(taken), " "))
+        return chosen.select("row_number", "own", "repeat", text.alias("text"))
 
 
 def mixed_sizes(documents: DataFrame, **options) -> DataFrame:
