@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
+from itertools import pairwise
+from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,18 +18,63 @@ from shelfcast import schemas
 FILE_FORMATS = ("parquet", "orc", "csv", "json", "avro", "text", "delta")
 
 
+@dataclass(frozen=True)
+class Split:
+    """A connector's table read in ranges of ``column`` (numbers, dates or timestamps), each by a connection of its own.
+
+    ``parts`` ranges of equal width lie between ``low`` and ``high``, which one aggregation looks up
+    where they are not given. They decide the size of ranges only: the first has all that is smaller,
+    the last all that is larger, and NULLs have a range of their own.
+    """
+
+    column: str
+    parts: int
+    low: Any = None
+    high: Any = None
+
+    def read(self, load: Callable[[], DataFrame]) -> DataFrame:
+        """The rows of ``load()``, which is called for every range: some connectors keep what was pushed
+        to a scan with the loaded table, and ranges that share it would get each other's filters."""
+        table = load()
+        kind = table.schema[self.column].dataType
+        if not isinstance(kind, T.NumericType | T.DateType | T.TimestampType | T.TimestampNTZType):
+            raise ValueError(f"no ranges of {self.column}: {kind.simpleString()}")
+        low, high = self.low, self.high
+        if low is None or high is None:
+            ends = table.agg(F.min(self.column), F.max(self.column)).first()
+            low, high = (own if own is not None else found for own, found in zip((low, high), ends))
+        if low is None or high is None:  # no rows, or NULLs only
+            return load()
+        inner = {low + (high - low) * n // self.parts for n in range(1, self.parts)} - {low}
+        place = F.col(self.column)
+        # Plain comparisons with literals, which connectors push down.
+        ranges = [load().where(place.isNull())] if table.schema[self.column].nullable else []
+        for start, end in pairwise([None, *sorted(inner), None]):
+            rows = load().where(place.isNotNull()) if start is None and end is None else load()
+            rows = rows if start is None else rows.where(place >= F.lit(start))
+            ranges.append(rows if end is None else rows.where(place < F.lit(end)))
+        return reduce(DataFrame.unionAll, ranges)
+
+
 @dataclass(frozen=True)
 class Warehouse:
-    """Where raw tables live: a folder of files, or a connector that takes ``dbtable``."""
+    """Where raw tables live: a folder of files, or a connector that takes ``dbtable``.
+
+    ``own_options`` adds options for single tables. ``splits`` names the tables that a connector reads in
+    ranges; files are split by Spark itself.
+    """
 
     fmt: str = "parquet"
     location: str = ""
     options: dict[str, str] = field(default_factory=dict)
+    own_options: dict[str, dict[str, str]] = field(default_factory=dict)
+    splits: dict[str, Split] = field(default_factory=dict)
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
-        reader = spark.read.format(self.fmt).options(**self.options)
+        reader = spark.read.format(self.fmt).options(**self.options | self.own_options.get(name, {}))
         if self.fmt not in FILE_FORMATS:
-            return reader.option("dbtable", name).load()
+            named = reader.option("dbtable", name)
+            return self.splits[name].read(named.load) if name in self.splits else named.load()
         if self.fmt in ("csv", "json") and name.upper() in schemas.RAW:
             reader = reader.schema(schemas.RAW[name.upper()])
         return reader.load(f"{self.location}/{name}")
