@@ -7,15 +7,19 @@ narrowing down, and Gram-Schmidt over the rows instead of covariance matrices.
 
 from __future__ import annotations
 
-from shelfcast.constants import (
-    BUCKET_EDGES,
-    BUCKET_LABELS,
-    CV_SPLITS,
-    FEATURE_COLUMNS,
-    LAG_WEEKS,
-    RECOMMENDATION_COLOURS,
-    ROLLING_WINDOWS,
-)
+# Written out again, so that a change of the library's values shows as a difference.
+LAG_WEEKS = (1, 2, 4, 8, 12, 26, 52)
+ROLLING_WINDOWS = (4, 12, 26)
+CV_SPLITS = 5
+BUCKET_EDGES = (-0.5, -0.1, 0.1, 0.5)
+BUCKET_LABELS = ("highly_elastic", "elastic", "inelastic", "slightly_inelastic", "highly_inelastic")
+RECOMMENDATION_COLOURS = {"OVERPRICED": "#E63946", "UNDERPRICED": "#2A9D8F", "MARKET_RATE": "#457B9D"}
+FEATURE_COLUMNS = (
+    *(f"units_lag_{n}w" for n in LAG_WEEKS),
+    *(f"rolling_mean_{n}w" for n in ROLLING_WINDOWS),
+    "rolling_std_4w", "rolling_std_12w", "any_promo", "promo_rate_4w", "week_of_year", "month", "quarter",
+    "is_holiday_season", "yoy_growth", "price_gap_vs_family",
+)
 
 TRAIN = """train AS (
   SELECT CAST(l_shipdate AS DATE) AS date, n_regionkey + 1 AS store_nbr,
