@@ -23,22 +23,36 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """No vertex has two links to smaller ones, or links on both sides: the stars are the components."""
+    ends = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1))
+    )
+    sides = ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return sides.where("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+
 def components(links: DataFrame) -> Staged:
     """(u, v): each linked vertex u that isn't the smallest of its component, and that smallest
     vertex v. Minima are found by partial aggregation and joined back, so a vertex with very many
-    links is never gathered in a task. Each round is written to the shared folder."""
-
-    def mark(step: Staged):
-        return step.rows.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-
+    links is never gathered in a task. Each round is written to the shared folder; links that are stars take none."""
     now = Staged(
         links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
         "links",
     )
-    seen = mark(now)
-    while True:
+    while not _settled(now.rows):
         after = Staged(_small_star(_large_star(now.rows)), "stars")
         now.drop()
-        now, before, seen = after, seen, mark(after)
-        if seen == before:
-            return now
+        now = after
+    return now
+
+
+def contracted(stars: Staged, links: DataFrame) -> Staged:
+    """``stars`` of ``components`` with links (u, v) between their centres, or vertices that are in none."""
+    joined = components(links)
+    onto = joined.rows.select(F.col("u").alias("v"), F.col("v").alias("_onto"))
+    moved = stars.rows.join(onto, "v", "left").select("u", F.coalesce("_onto", "v").alias("v"))
+    out = Staged(moved.union(joined.rows), "stars")
+    joined.drop()
+    stars.drop()
+    return out

@@ -1,8 +1,8 @@
 """Jaccard join on three-word shingles by T-occurrence search.
 
 A text that reaches the similarity with a query shares at least T of the query's shingles. Among inverted
-lists of documents, those found in T of the query's lists are wanted. DivideSkip merges the shorter lists with a
-heap, skipping what cannot reach the count any more, and probes the L longest ones by binary search.
+lists of documents, those found in T of the query's lists are wanted. As in DivideSkip, the shorter lists are merged
+and the L longest ones probed by binary search, without the documents that cannot reach the count any more.
 
 Which documents have to meet at all is settled first, without losing a pair. Two linked sets differ in at most a
 nineteenth of both sizes, so of a few more parts into which a hash deals all shingles, some are
@@ -16,10 +16,9 @@ rows are made for pairs within a list.
 
 from __future__ import annotations
 
-import heapq
 import math
-from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.components import components
+from shelfcast.llm.components import components, contracted
 from shelfcast.llm.frames import Staged, same_row, spread, text_marks
 from shelfcast.llm.tokens import arrow_texts
 
@@ -144,94 +143,79 @@ class Index:
         similar to the query."""
         n = len(query)
         least = needed(n)
-        apart = self.part[:before] != own
-        apart &= (100 * self.sizes[:before] >= PERCENT * n) & (100 * n >= PERCENT * self.sizes[:before])
+        apart = np.zeros(len(self.part), bool)
+        apart[:before] = self.part[:before] != own
+        apart &= (100 * self.sizes >= PERCENT * n) & (100 * n >= PERCENT * self.sizes)
         if not apart.any():
             return
         at = np.minimum(np.searchsorted(self.shingle, query), len(self.shingle) - 1)
         at = at[self.shingle[at] == query]
         if len(at) < least:
             return
-        starts, lengths = self.bounds[at], self.bounds[at + 1] - self.bounds[at]
-        offsets = np.cumsum(lengths) - lengths
-        entries = self.owner[np.arange(lengths.sum()) - np.repeat(offsets - starts, lengths)]
-        wanted = np.append(apart, np.zeros(len(self.part) - before, bool))[entries]
-        left = np.add.reduceat(wanted, offsets, dtype=np.int64)
-        if np.count_nonzero(left) < least:
-            return
-        cuts = np.cumsum(left)[:-1]
-        lists = sorted((some.tolist() for some in np.split(entries[wanted], cuts) if len(some)), key=len)
-        for doc, common in occurring(lists, least):
+        starts, ends = self.bounds[at], self.bounds[at + 1]
+        order = np.argsort(ends - starts, kind="stable")
+        lists = [self.owner[a:b] for a, b in zip(starts[order].tolist(), ends[order].tolist(), strict=True)]
+        for doc, common in occurring(lists, least, apart):
             if 100 * common >= PERCENT * (n + int(self.sizes[doc]) - common):
                 yield doc, common
 
 
-def occurring(lists: list[list[int]], least: int) -> Iterator[tuple[int, int]]:
-    """(document, number of lists) of the documents in at least ``least`` of the lists, which come shortest first."""
+def occurring(
+    lists: list[Sequence[int]], least: int, wanted: np.ndarray | None = None
+) -> Iterator[tuple[int, int]]:
+    """(document, number of lists) of the documents, marked in ``wanted`` if given, in at least ``least`` of the lists,
+    which come shortest first. All documents of the shorter lists are counted at once; those that can still
+    reach the count are looked up together in one longer list after the other."""
     probed = min(least - 1, int(least / (MU * math.log2(len(lists[-1]) + 1) + 1)))
     short, long = lists[: len(lists) - probed], lists[len(lists) - probed :]
-    enough = least - probed
-    heap = [(own[0], i, 0) for i, own in enumerate(short)]
-    heapq.heapify(heap)
-    while len(heap) >= enough:
-        doc, taken = heap[0][0], []
-        while heap and heap[0][0] == doc:
-            taken.append(heapq.heappop(heap))
-        if len(taken) >= enough:
-            common, rest = len(taken), len(long)
-            for own in long:
-                if common + rest < least:
-                    break
-                place = bisect_left(own, doc)
-                common += place < len(own) and own[place] == doc
-                rest -= 1
-            if common >= least:
-                yield doc, common
-            beyond = doc + 1
-        else:
-            while heap and len(taken) < enough - 1:
-                taken.append(heapq.heappop(heap))
-            if not heap:
-                return
-            beyond = heap[0][0]
-        for _, i, place in taken:
-            place = bisect_left(short[i], beyond, place)
-            if place < len(short[i]):
-                heapq.heappush(heap, (short[i][place], i, place))
-
-
-def _linked(rows: pa.Table) -> tuple[list[int], list[int]]:
-    """A spanning forest of the links between the parts of a cell: of two blocks the documents of the
-    second are searched for in the first, of one each among those before it."""
-    ids, part, block = (rows.column(c).to_numpy() for c in ("id", "part", "block"))
+    counts = np.bincount(np.concatenate(short))
+    docs = np.flatnonzero(counts >= least - probed)
+    if wanted is not None:
+        docs = docs[wanted[docs]]
+    common = counts[docs]
+    for rest, own in zip(reversed(range(len(long))), map(np.asarray, long)):
+        if not len(docs):
+            return
+        common += own.take(own.searchsorted(docs), mode="clip") == docs
+        reach = common >= least - rest
+        if not reach.all():
+            docs, common = docs[reach], common[reach]
+    yield from zip(docs.tolist(), common.tolist())
+
+
+def _linked(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Components that the links of a cell join, each with the smallest of those it is joined to: of two blocks the
+    documents of the second are searched for in the first, of one each among those before it."""
+    block = rows.column("block").to_numpy()
+    names, own = np.unique(rows.column("part").to_numpy(), return_inverse=True)
     lists = rows.column("shingles").combine_chunks()
     values = lists.flatten().to_numpy().view(np.uint64)
     bounds = np.append(0, np.cumsum(np.diff(lists.offsets.to_numpy())))
-    split = int(np.searchsorted(block, block[-1])) or len(ids)
-    alone = split == len(ids)
+    split = int(np.searchsorted(block, block[-1])) or len(own)
+    alone = split == len(own)
     sizes = np.diff(bounds)
-    part = np.unique(part, return_inverse=True)[1]
+    part = own.copy()
     few = min(FEW, split)
     # Most queries of a family are linked with one of its first documents and need no other then.
     indices = [Index(values[: bounds[stop]], sizes[:stop], part[:stop]) for stop in sorted({few, split})]
-    u, v = [], []
-    for q in range(1 if alone else split, len(ids)):
+    for q in range(1 if alone else split, len(own)):
         query = values[bounds[q] : bounds[q + 1]]
         for index in indices:
             reach = min(q, len(index.sizes)) if alone else len(index.sizes)
-            while True:
-                # Each search ends with its first link: the component that was found is left out of the next.
-                doc = next((doc for doc, _ in index.search(query, part[q], reach)), None)
-                if doc is None:
-                    break
-                u.append(int(ids[q]))
-                v.append(int(ids[doc]))
-                part[part == part[doc]] = part[q]
-    return u, v
+            for doc, _ in list(index.search(query, part[q], reach)):
+                if part[doc] != part[q]:
+                    part[part == part[doc]] = part[q]
+    joined = np.empty_like(part, shape=len(names))
+    joined[own] = part
+    least = np.full(len(names), len(names))
+    np.minimum.at(least, joined, np.arange(len(names)))
+    least = least[joined]
+    moved = least < np.arange(len(names))
+    return names[moved], names[least[moved]]
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of each cell; the rows of a cell follow each other."""
+    """Joined components of each cell; the rows of a cell follow each other."""
     held: list[pa.RecordBatch] = []
     now = None
 
@@ -308,10 +292,7 @@ class _Join:
         return Staged(found.mapInArrow(read, "id long, shingles array<long>"), "sets")
 
     def link(self, links: DataFrame) -> None:
-        before = self.stars
-        self.stars = components(links.union(before.rows) if before else links)
-        if before:
-            before.drop()
+        self.stars = contracted(self.stars, links) if self.stars else components(links)
 
     def gather(self, opened: DataFrame, other: str, sets: DataFrame) -> None:
         """Search in cells of members that have an end of their lists in common, the least over a member's lists. A
@@ -333,7 +314,7 @@ class _Join:
         pieces.drop()
 
     def find(self, cells: DataFrame, sets: DataFrame) -> None:
-        """Add the links within cells (_x, _y, block, id, part)."""
+        """Join the components that have links within cells (_x, _y, block, id, part)."""
         ordered = spread(cells.join(sets, "id"), "_x", "_y").sortWithinPartitions("_x", "_y", "block", "id")
         self.link(ordered.select("_x", "_y", "block", "id", "part", "shingles").mapInArrow(_cells, "u long, v long"))
 

@@ -1,12 +1,15 @@
 """T-occurrence join against a comparison of all pairs."""
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shelfcast.llm import t_occurrence
+from shelfcast.llm.components import components, contracted
 from shelfcast.llm.t_occurrence import Index, needed, occurring, signatures, similar_groups
 from tests.llm.conftest import edge_rows, prose
 
@@ -127,3 +130,43 @@ def test_unlinked_sets_share_few_keys():
     keys = np.concatenate([signatures(s) for s in sets])
     assert len(np.unique(keys)) > 0.8 * len(keys)
     assert len(signatures(sets[0])) < 0.3 * len(sets[0])
+
+
+def test_a_family_that_is_not_one_component_is_searched_quickly():
+    """Variants of one text of which most pairs miss the similarity: every search has many candidates."""
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 62, 145).astype(np.uint64)
+    sets = []
+    for _ in range(700):
+        own = base.copy()
+        changed = rng.choice(145, rng.integers(2, 14), replace=False)
+        own[changed] = rng.integers(0, 1 << 62, len(changed)).astype(np.uint64)
+        sets.append(np.unique(own))
+    ids = pa.array(range(700), pa.int64())
+    shingles = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+    rows = pa.table({"id": ids, "part": ids, "block": pa.array([0] * 700, pa.int64()), "shingles": shingles})
+    began = time.process_time()
+    u, v = t_occurrence._linked(rows)
+    took = time.process_time() - began
+    parent = list(range(700))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    held = np.array([np.isin(base, s) for s in sets]).astype(int)
+    for a, b in zip(*np.nonzero(np.triu(held @ held.T * 100 >= 90 * (290 - held @ held.T), 1))):
+        a, b = root(int(a)), root(int(b))
+        parent[max(a, b)] = min(a, b)
+    assert dict(zip(u.tolist(), v.tolist(), strict=True)) == {x: root(x) for x in range(700) if root(x) != x}
+    assert 1 < len(set(map(root, range(700)))) < 600
+    assert took < 3  # 0.4 s; one entry after the other it was 8
+
+
+def test_stars_are_settled_and_contracted(spark):
+    stars = components(spark.createDataFrame([(5, 1), (5, 3), (8, 3), (9, 7), (4, 4)], "u long, v long"))
+    assert {(3, 1), (5, 1), (8, 1), (9, 7)} == {tuple(r) for r in stars.rows.collect()}
+    out = contracted(stars, spark.createDataFrame([(7, 1), (7, 2), (20, 21)], "u long, v long"))
+    want = {(2, 1), (3, 1), (5, 1), (7, 1), (8, 1), (9, 1), (21, 20)}
+    assert want == {tuple(r) for r in out.rows.collect()}
