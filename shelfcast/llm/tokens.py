@@ -2,19 +2,24 @@
 
 A text may be cut before a space or a line feed that stands between two characters which are not
 white space: no pre-token of the byte-level pattern spans such a place, and what stands on one
-side does not change the other. So a text's ids are those of its pieces in a row. Pieces that a worker has met before are
-looked up; new ones are encoded by the library, many in one call.
+side does not change the other. So a text's ids are those of its pieces in a row. The distinct pieces of some texts
+are looked up among those that a worker has met before; new ones are encoded by the library, many in one call.
 """
 
 from __future__ import annotations
 
 import os
 import re
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from shelfcast.llm.frames import worker_memory
 
-REMEMBERED = 700_000  # pieces a worker keeps in each of two generations
+REMEMBERED = 700_000  # pieces whose counts a worker keeps in each of two generations
+KEPT = 500_000  # the same for ids
+SLICE = 1 << 24  # characters of texts that are encoded together
 LONG_PIECE = 80  # longer pieces are not remembered in counts
 TOGETHER = 500  # new pieces in one text
 SPACE, FEED = "Ġ", "Ċ"  # how byte-level vocabularies write the bytes 0x20 and 0x0A
@@ -41,33 +46,6 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
-class _Places(dict):
-    """piece -> place in ``values``. A piece that is met first gets a place at once and, if the
-    older generation does not have it, is noted in ``new``."""
-
-    def __init__(self, older: _Places | None = None):
-        super().__init__()
-        self.values: list[bytes | None] = []
-        self.new: list[str] = []
-        #: (place, place of the word, stop): a word of plain letters and a stop are two pre-tokens.
-        self.stopped: list[tuple[int, int, str]] = []
-        self.older = older
-        if older is not None:
-            older.older = None
-
-    def __missing__(self, piece: str) -> int:
-        place = self[piece] = len(self.values)
-        known = self.older.get(piece) if self.older is not None else None
-        self.values.append(None if known is None else self.older.values[known])
-        if known is None:
-            word = piece[:-1]
-            if piece[-1:] in STOPS and word.isalpha() and (word.isascii() or max(word) < PLAIN):
-                self.stopped.append((place, self[word], piece[-1]))
-            else:
-                self.new.append(piece)
-        return place
-
-
 class Encoder:
     """Ids of texts as bytes of little-endian unsigned integers of ``width`` bytes."""
 
@@ -82,7 +60,8 @@ class Encoder:
         for token, number in vocabulary.items():
             if token[0] in self.opens:
                 self.opens[token[0]][number] = True
-        self.places = _Places()
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.stops = {stop: self.plain(stop) for stop in STOPS}
 
     def plain(self, text: str) -> bytes:
@@ -90,11 +69,10 @@ class Encoder:
             self.library.encode(text, add_special_tokens=False).ids, dtype=self.dtype
         ).tobytes()
 
-    def _learn(self) -> None:
-        """Fill in the values of new pieces, many pieces in one text where spaces tell them apart."""
-        places = self.places
-        fed = [piece for piece in places.new if piece[:1] == "\n"]
-        spaced = [piece for piece in places.new if piece[:1] != "\n"]
+    def _learn(self, new: list[str]) -> None:
+        """Remember the ids of new pieces, many pieces in one text where spaces tell them apart."""
+        fed = [piece for piece in new if piece[:1] == "\n"]
+        spaced = [piece for piece in new if piece[:1] != "\n"]
         some = [(SPACE, " ", spaced[at : at + TOGETHER]) for at in range(0, len(spaced), TOGETHER)]
         some += [(FEED, "\n", fed[at : at + TOGETHER]) for at in range(0, len(fed), TOGETHER)]
         texts = ["".join(map(whole, group)) for _, _, group in some]
@@ -110,27 +88,78 @@ class Encoder:
                 own = [raw[a:b] for a, b in zip(starts, ends, strict=True)]
             else:
                 own = [self.plain(whole(piece)) for piece in group]
-            for piece, value in zip(group, own, strict=True):
-                places.values[places[piece]] = value
-        for place, word, stop in places.stopped:
-            places.values[place] = places.values[word] + self.stops[stop]
-        places.new, places.stopped = [], []
+            self.young.update(zip(group, own, strict=True))
+
+    def _values(self, distinct: list[str]) -> list[bytes]:
+        """Ids of distinct pieces, from memory or the library."""
+        if len(self.young) > KEPT:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        values = list(map(young.get, distinct))
+        missing = [i for i, value in enumerate(values) if value is None]
+        new: dict[str, None] = {}
+        stopped = []
+        for i in missing:
+            piece = distinct[i]
+            if piece in old:
+                young[piece] = old[piece]
+                continue
+            word = piece[:-1]
+            # A word of plain letters and a stop are two pre-tokens.
+            if piece[-1:] in self.stops and word.isalpha() and (word.isascii() or max(word) < PLAIN):
+                stopped.append(piece)
+                if word in young:
+                    continue
+                if word not in old:
+                    new[word] = None
+                else:
+                    young[word] = old[word]
+            else:
+                new[piece] = None
+        self._learn(list(new))
+        for piece in stopped:
+            young[piece] = young[piece[:-1]] + self.stops[piece[-1]]
+        for i in missing:
+            values[i] = young[distinct[i]]
+        return values
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for at in range(0, len(texts), 200):
-            out.extend(self._encode(texts[at : at + 200]))
-        return out
+        out, held, size = [], [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= SLICE:
+                out += self._encode(held)
+                held, size = [], 0
+        return out + self._encode(held)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.places) > REMEMBERED:
-            self.places = _Places(self.places)
-        parts = [pieces(text) for text in texts]
-        place = self.places.__getitem__
-        found = [list(map(place, p[1:])) for p in parts]
-        self._learn()
-        value = self.places.values.__getitem__
-        return [self.plain(p[0]) + b"".join(map(value, f)) for p, f in zip(parts, found, strict=True)]
+        """A text's first piece by the library, the others as places in the list of distinct pieces."""
+        out, tails, owners = [], [], []
+        for i, text in enumerate(texts):
+            flat = text.replace("\n", " ")
+            # Printable characters hold no white space but the space itself.
+            if "  " in flat or not flat.isprintable() and _ODD.search(text):
+                first, *rest = pieces(text)
+                distinct = [*{*rest}]
+                known = dict(zip(distinct, self._values(distinct), strict=True))
+                out.append(self.plain(first) + b"".join(map(known.get, rest)))
+                continue
+            first, cut, tail = text.replace("\n", " \n").partition(" ")
+            out.append(self.plain(first))
+            if cut:
+                tails.append(tail)
+                owners.append(i)
+        if tails:
+            found = pc.split_pattern(pa.array(tails, pa.large_string()), " ")
+            met = found.values.dictionary_encode()
+            distinct = met.dictionary.to_numpy(zero_copy_only=False).tolist()
+            ids = pa.array(self._values(distinct), pa.large_binary()).take(met.indices)
+            ends = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset :][found.offsets.to_numpy()].tolist()
+            raw = memoryview(ids.buffers()[2] or b"")
+            for i, a, b in zip(owners, ends, ends[1:]):
+                out[i] += raw[a:b]
+        return out
 
 
 def encoder(path: str) -> Encoder:

@@ -1,5 +1,6 @@
 """Sharding, token counts, token files, packing and mixing on defined edge cases."""
 
+import random
 import re
 import zlib
 from collections import Counter
@@ -7,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from shelfcast.llm import ans, packing
+from shelfcast.llm import ans, packing, tokens
 from shelfcast.llm.mixing import Mixture, mixed_sizes, swap_or_not
 from shelfcast.llm.packing import packed
 from shelfcast.llm.queries import tokenizer_path
@@ -242,3 +243,20 @@ def test_another_way_of_cutting_is_refused(tmp_path):
     other.save(f"{tmp_path}/other.json")
     with pytest.raises(ValueError, match="byte-level"):
         Tokens(f"{tmp_path}/other.json")
+
+
+def test_ids_by_distinct_pieces_equal_the_library(monkeypatch):
+    """White space of all kinds, stops and special strings, while the memory of pieces is replaced again and again. A
+    piece is remembered once and the two generations are bounded by what one slice adds."""
+    monkeypatch.setattr(tokens, "KEPT", 50)
+    monkeypatch.setattr(tokens, "SLICE", 200)
+    own, rng = Encoder(tokenizer_path()), random.Random(9)
+    parts = [" ", " ", " ", " ", "\n", "\n", "\t", "  ", "\r", "\x1c", "\x85", "\xa0", "\u3000", "\u200b", "\x00", "a", "The"]
+    parts += ["word", "word,", "\xe9.", "\u4e2d\u6587", "don't", "12", ",", ".", "<|endoftext|>", "x" * 90]
+    for size in (1, 4, 12, 60):
+        texts = ["".join(rng.choices(parts, k=rng.randrange(size + 1))) for _ in range(400)]
+        assert own.encode(texts) == [own.plain(text) for text in texts]
+    assert own.encode([]) == []
+    texts = [" ".join(f"w{i}" for i in range(at, at + 40)) for at in range(0, 8000, 40)]
+    assert own.encode(texts) == [own.plain(text) for text in texts]
+    assert len(own.young) + len(own.old) < 500
