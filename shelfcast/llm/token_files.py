@@ -34,8 +34,8 @@ def tokenized(documents: DataFrame, tokenizer: str, end: int, key: str, text: st
         last = np.array([end], own.dtype).tobytes()
         total = np.zeros(max(own.size, end + 1), np.int64)
         for batch in batches:
-            for low in range(0, len(batch), 5000):
-                some = batch.slice(low, 5000)
+            for low in range(0, len(batch), 2000):
+                some = batch.slice(low, 2000)
                 ids = [raw + last for raw in own.encode(arrow_texts(some.column(2)))]
                 total += np.bincount(np.frombuffer(b"".join(ids), own.dtype), minlength=len(total))
                 yield pa.RecordBatch.from_arrays(

@@ -18,10 +18,11 @@ import pyarrow.compute as pc
 from shelfcast.llm.frames import worker_memory
 
 REMEMBERED = 700_000  # pieces whose counts a worker keeps in each of two generations
-KEPT = 500_000  # the same for ids
-SLICE = 1 << 24  # characters of texts that are encoded together
+KEPT = 250_000  # the same for ids
+SLICE = 1 << 22  # characters of texts that are encoded together
 LONG_PIECE = 80  # longer pieces are not remembered in counts
 TOGETHER = 500  # new pieces in one text
+AT_ONCE = 16  # such texts in one call: the library's results take some 100 bytes a token
 SPACE, FEED = "Ġ", "Ċ"  # how byte-level vocabularies write the bytes 0x20 and 0x0A
 PLAIN = "\u0530"  # letters below are letters in every version of the character tables
 STOPS = ",."
@@ -76,10 +77,13 @@ class Encoder:
         some = [(SPACE, " ", spaced[at : at + TOGETHER]) for at in range(0, len(spaced), TOGETHER)]
         some += [(FEED, "\n", fed[at : at + TOGETHER]) for at in range(0, len(fed), TOGETHER)]
         texts = ["".join(map(whole, group)) for _, _, group in some]
-        for (mark, lead, group), text, found in zip(
-            some, texts, self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True
-        ):
-            ids = np.array(found.ids, dtype=self.dtype)
+        encoded = (
+            ids
+            for at in range(0, len(texts), AT_ONCE)
+            for ids in self.library.encode_batch_fast(texts[at : at + AT_ONCE], add_special_tokens=False)
+        )
+        for (mark, lead, group), text, own in zip(some, texts, encoded, strict=True):
+            ids = np.array(own.ids, dtype=self.dtype)
             starts = np.flatnonzero(self.opens[mark][ids]) * self.width
             apart = len(starts) == len(group) == text.count(lead) and "" not in group
             if apart and not any(s in text for s in self.special):
