@@ -22,6 +22,7 @@ from shelfcast.llm.frames import Staged, running
 from shelfcast.llm.tokens import arrow_texts, encoder
 
 PLAN = "length long, low long, high long, bin long, per long, at long"
+TOGETHER = 2000  # rows whose texts and ids a worker holds at once
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -42,21 +43,23 @@ def pieces(
         own = encoder(tokenizer)
         last = np.array([end], own.dtype).tobytes()
         for batch in batches:
-            columns = [[], [], [], [], []]
-            keys = batch.column(0).to_pylist()
-            for doc, raw in zip(keys, own.encode(arrow_texts(batch.column(1))), strict=True):
-                ids = np.frombuffer(raw + last, own.dtype).astype("<u4").tobytes()
-                start = 0
-                for place, length in enumerate(cut_lengths(len(ids) // 4, capacity)):
-                    crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
-                    for column, value in zip(columns, (doc, place, start, length, crc), strict=True):
-                        column.append(value)
-                    start += length
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                ["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+            for low in range(0, len(batch), TOGETHER):
+                some = batch.slice(low, TOGETHER)
+                columns = [[], [], [], [], []]
+                keys = some.column(0).to_pylist()
+                for doc, raw in zip(keys, own.encode(arrow_texts(some.column(1))), strict=True):
+                    ids = np.frombuffer(raw + last, own.dtype).astype("<u4").tobytes()
+                    start = 0
+                    for place, length in enumerate(cut_lengths(len(ids) // 4, capacity)):
+                        crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
+                        for column, value in zip(columns, (doc, place, start, length, crc), strict=True):
+                            column.append(value)
+                        start += length
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                    ["doc_id", "piece", "start", "length", "ids_crc32"],
+                )
 
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(cut, PIECES)

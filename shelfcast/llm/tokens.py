@@ -3,7 +3,8 @@
 A text may be cut before a space or a line feed that stands between two characters which are not
 white space: no pre-token of the byte-level pattern spans such a place, and what stands on one
 side does not change the other. So a text's ids are those of its pieces in a row. The distinct pieces of some texts
-are looked up among those that a worker has met before; new ones are encoded by the library, many in one call.
+are looked up together among those that a worker has met before, which are Arrow columns and no Python objects; new
+ones are encoded by the library, many in one call.
 """
 
 from __future__ import annotations
@@ -18,9 +19,9 @@ import pyarrow.compute as pc
 from shelfcast.llm.frames import worker_memory
 
 REMEMBERED = 700_000  # pieces whose counts a worker keeps in each of two generations
-KEPT = 250_000  # the same for ids
-SLICE = 1 << 22  # characters of texts that are encoded together
-LONG_PIECE = 80  # longer pieces are not remembered in counts
+KEPT = 500_000  # the same for ids, in Arrow columns of some 40 bytes a piece
+SLICE = 1 << 23  # characters of texts that are encoded together
+LONG_PIECE = 80  # longer pieces are not remembered
 TOGETHER = 500  # new pieces in one text
 AT_ONCE = 16  # such texts in one call: the library's results take some 100 bytes a token
 SPACE, FEED = "Ġ", "Ċ"  # how byte-level vocabularies write the bytes 0x20 and 0x0A
@@ -61,8 +62,7 @@ class Encoder:
         for token, number in vocabulary.items():
             if token[0] in self.opens:
                 self.opens[token[0]][number] = True
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.young = self.old = _table([], [])
         self.stops = {stop: self.plain(stop) for stop in STOPS}
 
     def plain(self, text: str) -> bytes:
@@ -70,8 +70,9 @@ class Encoder:
             self.library.encode(text, add_special_tokens=False).ids, dtype=self.dtype
         ).tobytes()
 
-    def _learn(self, new: list[str]) -> None:
-        """Remember the ids of new pieces, many pieces in one text where spaces tell them apart."""
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """The ids of new pieces, many pieces in one text where spaces tell them apart."""
+        learned: dict[str, bytes] = {}
         fed = [piece for piece in new if piece[:1] == "\n"]
         spaced = [piece for piece in new if piece[:1] != "\n"]
         some = [(SPACE, " ", spaced[at : at + TOGETHER]) for at in range(0, len(spaced), TOGETHER)]
@@ -92,40 +93,58 @@ class Encoder:
                 own = [raw[a:b] for a, b in zip(starts, ends, strict=True)]
             else:
                 own = [self.plain(whole(piece)) for piece in group]
-            self.young.update(zip(group, own, strict=True))
+            learned.update(zip(group, own, strict=True))
+        return learned
 
-    def _values(self, distinct: list[str]) -> list[bytes]:
-        """Ids of distinct pieces, from memory or the library."""
+    def _places(self, distinct: pa.LargeStringArray) -> np.ndarray:
+        """Where the young generation, once it has met them all, holds distinct pieces."""
         if len(self.young) > KEPT:
-            self.young, self.old = {}, self.young
+            self.young, self.old = _table([], []), self.young
         young, old = self.young, self.old
-        values = list(map(young.get, distinct))
-        missing = [i for i, value in enumerate(values) if value is None]
+        known, ids = (pa.concat_arrays([young[name], old[name]]) for name in ("piece", "ids"))
+        # A word of plain letters and a stop are two pre-tokens; the word is looked up too.
+        ends = np.zeros(len(distinct), bool)
+        for stop in self.stops:
+            ends |= pc.ends_with(distinct, stop).to_numpy(zero_copy_only=False)
+        words = pc.utf8_slice_codeunits(distinct.filter(pa.array(ends)), 0, -1)
+        found = pc.index_in(pa.concat_arrays([distinct, words]), value_set=known)
+        found = found.fill_null(-1).to_numpy().astype(np.int64)
+        places, of_words = found[: len(distinct)], found[len(distinct) :]
+        missing = np.flatnonzero(places < 0)
+        unknown = distinct.take(pa.array(missing)).to_numpy(zero_copy_only=False).tolist()
+        before = np.full(len(distinct), -2)  # where the word before a stop was found
+        before[ends] = of_words
         new: dict[str, None] = {}
-        stopped = []
-        for i in missing:
-            piece = distinct[i]
-            if piece in old:
-                young[piece] = old[piece]
+        stopped, met, met_at = [], [], []
+        for piece, at in zip(unknown, before[missing].tolist(), strict=True):
+            if at == -2:
+                new[piece] = None
                 continue
             word = piece[:-1]
-            # A word of plain letters and a stop are two pre-tokens.
-            if piece[-1:] in self.stops and word.isalpha() and (word.isascii() or max(word) < PLAIN):
+            if not (word.isalpha() and (word.isascii() or max(word) < PLAIN)):
+                new[piece] = None
+            elif at == -1:
+                new[word] = None
                 stopped.append(piece)
-                if word in young:
-                    continue
-                if word not in old:
-                    new[word] = None
-                else:
-                    young[word] = old[word]
             else:
-                new[piece] = None
-        self._learn(list(new))
+                met.append(piece)
+                met_at.append(at)
+        learned = self._learn(list(new))
         for piece in stopped:
-            young[piece] = young[piece[:-1]] + self.stops[piece[-1]]
-        for i in missing:
-            values[i] = young[distinct[i]]
-        return values
+            learned[piece] = learned[piece[:-1]] + self.stops[piece[-1]]
+        raws = ids.take(pa.array(met_at, pa.int64())).to_numpy(zero_copy_only=False)
+        for piece, raw in zip(met, raws, strict=True):
+            learned[piece] = raw + self.stops[piece[-1]]
+        moved = np.flatnonzero(places >= len(young))
+        again = old.take(pa.array(places[moved] - len(young)))
+        places[moved] = np.arange(len(young), len(young) + len(moved))
+        order = {piece: at for at, piece in enumerate(learned, len(young) + len(moved))}
+        places[missing] = [order[piece] for piece in unknown]
+        grown = [young, again, _table(list(learned), list(learned.values()))]
+        self.young = pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([part[name] for part in grown]) for name in young.schema.names], schema=young.schema
+        )
+        return places
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out, held, size = [], [], 0
@@ -138,34 +157,54 @@ class Encoder:
         return out + self._encode(held)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        """A text's first piece by the library, the others as places in the list of distinct pieces."""
+        """A text's first piece by the library, the others as places among the remembered pieces."""
         out, tails, owners = [], [], []
+        odd, odd_sizes, odd_owners = [], [], []
         for i, text in enumerate(texts):
             flat = text.replace("\n", " ")
             # Printable characters hold no white space but the space itself.
             if "  " in flat or not flat.isprintable() and _ODD.search(text):
                 first, *rest = pieces(text)
-                distinct = [*{*rest}]
-                known = dict(zip(distinct, self._values(distinct), strict=True))
-                out.append(self.plain(first) + b"".join(map(known.get, rest)))
+                odd += rest
+                odd_sizes.append(len(rest))
+                odd_owners.append(i)
+                out.append(self.plain(first))
                 continue
             first, cut, tail = text.replace("\n", " \n").partition(" ")
             out.append(self.plain(first))
             if cut:
                 tails.append(tail)
                 owners.append(i)
-        if tails:
+        if tails or odd:
             found = pc.split_pattern(pa.array(tails, pa.large_string()), " ")
-            met = found.values.dictionary_encode()
-            distinct = met.dictionary.to_numpy(zero_copy_only=False).tolist()
-            ids = pa.array(self._values(distinct), pa.large_binary()).take(met.indices)
-            ends = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset :][found.offsets.to_numpy()].tolist()
+            cuts = found.offsets.to_numpy().astype(np.int64)
+            cuts = np.concatenate([cuts, cuts[-1] + np.cumsum(odd_sizes, dtype=np.int64)])
+            met = pa.concat_arrays([found.values, pa.array(odd, pa.large_string())]).dictionary_encode()
+            places = self._places(met.dictionary)[met.indices.to_numpy()]
+            ids = self.young["ids"].take(pa.array(places))
+            ends = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset :][cuts].tolist()
             raw = memoryview(ids.buffers()[2] or b"")
-            for i, a, b in zip(owners, ends, ends[1:]):
+            for i, a, b in zip(owners + odd_owners, ends, ends[1:]):
                 out[i] += raw[a:b]
+            # Long pieces are not kept, so that memory is bounded by the number of pieces.
+            if max(map(len, texts)) > LONG_PIECE and _longest(self.young) > LONG_PIECE:
+                self.young = _short(self.young)
         return out
 
 
+def _table(pieces: list[str], ids: list[bytes]) -> pa.RecordBatch:
+    columns = [pa.array(pieces, pa.large_string()), pa.array(ids, pa.large_binary())]
+    return pa.RecordBatch.from_arrays(columns, ["piece", "ids"])
+
+
+def _longest(table: pa.RecordBatch) -> int:
+    return pc.max(pc.binary_length(table["piece"])).as_py() or 0
+
+
+def _short(table: pa.RecordBatch) -> pa.RecordBatch:
+    return table.filter(pc.less_equal(pc.binary_length(table["piece"]), LONG_PIECE))
+
+
 def encoder(path: str) -> Encoder:
     memory = worker_memory()
     key = ("encoder", path)

@@ -260,3 +260,41 @@ def test_ids_by_distinct_pieces_equal_the_library(monkeypatch):
     texts = [" ".join(f"w{i}" for i in range(at, at + 40)) for at in range(0, 8000, 40)]
     assert own.encode(texts) == [own.plain(text) for text in texts]
     assert len(own.young) + len(own.old) < 500
+
+
+def test_remembered_pieces_are_columns_looked_up_once_a_slice(monkeypatch):
+    """Texts with white space beside spaces share one lookup with the others, remembered pieces cost few bytes,
+    long ones are not kept, and what was met before needs no new ids."""
+    own, looked = Encoder(tokenizer_path()), []
+    places = own._places
+    monkeypatch.setattr(own, "_places", lambda distinct: looked.append(len(distinct)) or places(distinct))
+    texts = [" ".join(f"w{i}" for i in range(at, at + 50)) + ("  x, y." if at % 100 else " x, y.") for at in range(0, 5000, 50)]
+    texts += ["a " + "z" * 200 + " b", "one  \t two", "one,  two.  one"]
+    want = [own.plain(text) for text in texts]
+    assert own.encode(texts) == want
+    assert len(looked) == 1
+    assert own.young.nbytes / len(own.young) < 60
+    assert "z" * 200 not in own.young["piece"].to_pylist()
+    learned, learn = [], own._learn
+    monkeypatch.setattr(own, "_learn", lambda new: learned.extend(new) or learn(new))
+    assert own.encode(texts) == want
+    assert learned == ["z" * 200]
+    monkeypatch.setattr(tokens, "KEPT", 10)  # a generation is full: pieces come back from the old one
+    assert own.encode(texts[:60]) == want[:60]
+    assert learned == ["z" * 200] and len(own.old) > 4000
+    assert own.encode(["w7, w8. w7"]) == [own.plain("w7, w8. w7")]
+
+
+def test_packing_holds_few_rows_at_once(spark, monkeypatch):
+    monkeypatch.setattr(packing, "TOGETHER", 7)
+    rows = [(i, prose(i, 5 + 40 * (i % 3)) if i % 5 else None) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted(map(tuple, packing.pieces(frame, PATH, 64).collect()))
+    own, want = Encoder(PATH), []
+    for doc, text in rows:
+        ids = [*np.frombuffer(own.plain(text or ""), own.dtype).tolist(), 0]
+        start = 0
+        for place, length in enumerate(packing.cut_lengths(len(ids), 64)):
+            want.append((doc, place, start, length, crc(ids[start : start + length])))
+            start += length
+    assert got == sorted(want)
