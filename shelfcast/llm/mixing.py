@@ -179,7 +179,8 @@ class Mixture:
     def _spans(self) -> DataFrame:
         """(shard, slot, rank, block, row_number, word, words): ``words`` words of the document from
         its ``word``-th on. Joined on (rank, block), of which no value has more rows than a block
-        has words and a block has uses."""
+        has words and a block has uses. Sorted and merged at any size: the planner takes the parts to be as
+        small as the compressed files of ``rows``, and would broadcast hundreds of times its limit."""
         has = self.rows.where("size > 0").select("rank", "row_number", "size", "from", "block_size")
         last = F.expr("(`from` + size - 1) div block_size")
         parts = has.withColumn("block", F.explode(F.sequence(F.expr("`from` div block_size"), last)))
@@ -188,7 +189,7 @@ class Mixture:
         parts = parts.select(
             "rank", "block", "row_number", (low - F.col("from")).alias("word"), (high - low).alias("words")
         )
-        return self.slots.join(parts, ["rank", "block"])
+        return self.slots.join(parts.hint("merge"), ["rank", "block"])
 
     def taken(self) -> DataFrame:
         """``rows`` with ``taken``: the words of each row in the mix, repeats counted."""

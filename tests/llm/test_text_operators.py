@@ -206,6 +206,16 @@ def test_mixed_texts_are_the_taken_words(spark):
             assert set(r.text.split()) <= set(r.own.text.split())
 
 
+def test_parts_of_texts_are_not_broadcast(spark):
+    """Their number is not known when the join is planned: a few compressed rows can hold any number of them."""
+    docs = spark.createDataFrame([(i, prose(i, 500), "ab"[i % 2]) for i in range(20)], "doc_id long, text string, source string")
+    spans = Mixture(docs).spans
+    assert spans.count() > 100
+    spans.collect()
+    plan = spans._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 @pytest.mark.parametrize("sources,words", [(3, 60), (300, 20), (40, 1), (25, 700)])
 def test_small_sources_meet_their_targets(spark, sources, words):
     rows = [(10 * s + i, prose(s, words - words // 2 if i else words // 2), f"s{s:04d}") for s in range(sources) for i in range(2)]
